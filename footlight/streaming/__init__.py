@@ -1,0 +1 @@
+"""Empty on purpose: every source this library covers is a batch table, so there is no stream to process."""
