@@ -6,7 +6,7 @@ import sys
 import unicodedata
 from functools import lru_cache
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # --- Fixed values -----------------------------------------------------------
@@ -32,7 +32,8 @@ UNKNOWN = "unknown"
 
 def _replace_each(text: Column, pairs: dict[str, str]) -> Column:
     """Replace every key by its value; rows without any of the keys are passed through untouched."""
-    table = F.array(*[F.struct(F.lit(k).alias("k"), F.lit(v).alias("v")) for k, v in pairs.items()])
+    keys, values = (F.split(F.lit("\t".join(side)), "\t") for side in (pairs.keys(), pairs.values()))
+    table = F.arrays_zip(keys.alias("k"), values.alias("v"))
     found = text.rlike("[" + "".join(pairs) + "]")
     return F.when(found, F.aggregate(table, text, lambda acc, e: F.replace(acc, e["k"], e["v"]))).otherwise(text)
 
@@ -76,8 +77,7 @@ def fingerprint(text: Column) -> Column:
 
 def category_key(text: Column) -> Column:
     """Fingerprint with null and empty values named 'unknown'."""
-    key = fingerprint(text)
-    return F.when(key == "", F.lit(UNKNOWN)).otherwise(key)
+    return F.regexp_replace(fingerprint(text), "^$", UNKNOWN)
 
 
 def words(text: Column) -> Column:
@@ -102,3 +102,10 @@ def char_ngrams(text: Column, shortest: int = 2, longest: int = 4) -> Column:
     """All word-bounded character n-grams of a text, with repeats; empty for a null or blank text."""
     grams = F.flatten(F.transform(words(text), lambda w: word_ngrams(w, shortest, longest)))
     return F.coalesce(grams, F.array().cast("array<string>"))
+
+
+def ngram_counts(df: DataFrame, column: str, shortest: int = 2, longest: int = 4) -> DataFrame:
+    """(ngram, n) over all texts.  Words are counted first, so each distinct word is cut once."""
+    counted = df.select(F.explode(words(F.col(column))).alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+    grams = counted.select(F.explode(word_ngrams(F.col("word"), shortest, longest)).alias("ngram"), "n")
+    return grams.groupBy("ngram").agg(F.sum("n").alias("n"))

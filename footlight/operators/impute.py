@@ -16,7 +16,6 @@ from pyspark.ml.feature import (
     StringIndexer,
     VectorAssembler,
 )
-from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F

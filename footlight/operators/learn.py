@@ -150,13 +150,14 @@ def sample_trials(n: int = TRIALS, seed: int = 42, bounds: dict | None = None) -
 
 def cross_validate(training: DataFrame, trials: list[dict], widest: int = 0, parallelism: int = 2) -> DataFrame:
     """(trial, <parameters>, auc_mean_fold) per parameter set, folds taken from the table's fold column."""
-    estimators = [classifier(t, widest) for t in trials]
+    estimator = classifier(trials[0], widest)
+    own_names = {"max_depth": "maxDepth", "learning_rate": "stepSize", "n_estimators": "maxIter"}
+    if SparkXGBClassifier is not None:
+        own_names = {name: name for name in trials[0]}
     evaluator = BinaryClassificationEvaluator(labelCol="label", metricName="areaUnderROC")
-    # Each parameter set is one entry of the estimator's parameter grid.
-    grid = [e.extractParamMap() for e in estimators]
     fitted = CrossValidator(
-        estimator=estimators[0],
-        estimatorParamMaps=grid,
+        estimator=estimator,
+        estimatorParamMaps=[{estimator.getParam(p): t[name] for name, p in own_names.items()} for t in trials],
         evaluator=evaluator,
         numFolds=FOLDS,
         foldCol="fold",
