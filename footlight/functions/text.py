@@ -31,17 +31,17 @@ UNKNOWN = "unknown"
 
 
 def _replace_each(text: Column, pairs: dict[str, str]) -> Column:
-    """Replace every key by its value; rows without any of the keys are passed through untouched."""
+    """Replace every key by its value, folding over one constant table however many pairs there are."""
     keys, values = (F.split(F.lit("\t".join(side)), "\t") for side in (pairs.keys(), pairs.values()))
     table = F.arrays_zip(keys.alias("k"), values.alias("v"))
-    found = text.rlike("[" + "".join(pairs) + "]")
-    return F.when(found, F.aggregate(table, text, lambda acc, e: F.replace(acc, e["k"], e["v"]))).otherwise(text)
+    return F.aggregate(table, text, lambda acc, e: F.replace(acc, e["k"], e["v"]))
 
 
 def normalise_text(text: Column) -> Column:
     """Trim, squeeze runs of two or more blanks, spell out special letters, drop accents, lower-case."""
     squeezed = F.regexp_replace(F.trim(text), r"\s{2,}", " ")
-    return F.lower(F.translate(_replace_each(squeezed, EXPANSIONS), ACCENTED, PLAIN))
+    spelled = F.when(text.rlike("[" + "".join(EXPANSIONS) + "]"), _replace_each(squeezed, EXPANSIONS)).otherwise(squeezed)
+    return F.lower(F.translate(spelled, ACCENTED, PLAIN))
 
 
 @lru_cache(maxsize=1)
@@ -62,17 +62,27 @@ def _ascii_folding() -> tuple[str, str, dict[str, str]]:
 
 
 def fold_to_ascii(text: Column) -> Column:
-    """Compatibility-decompose, then drop whatever is not ASCII.  Pure ASCII rows skip the work."""
+    """Compatibility-decompose, then drop whatever is not ASCII.
+
+    Letters with a one-letter form are mapped first; the long replacement table is applied only to rows in
+    which one of its characters is left.  (A hashed ``translate`` finds them: a regex class of hundreds of
+    characters would test each one per character of text.)
+    """
     single, plain, several = _ascii_folding()
-    folded = F.regexp_replace(F.translate(_replace_each(text, several), single, plain), r"[^\x00-\x7F]", "")
-    return F.when(text.rlike(r"[^\x00-\x7F]"), folded).otherwise(text)
+    mapped = F.translate(text, single, plain)
+    left = F.regexp_replace(mapped, r"[\x00-\x7F]+", "")
+    spelled = F.when(F.translate(left, "".join(several), "") != left, _replace_each(mapped, several)).otherwise(mapped)
+    return F.regexp_replace(spelled, r"[^\x00-\x7F]+", "")
 
 
 def fingerprint(text: Column) -> Column:
     """Order-, case-, accent- and punctuation-insensitive key: the sorted distinct tokens; '' for null."""
-    bare = F.replace(fold_to_ascii(F.lower(text)), F.lit("-"), F.lit(""))
-    tokens = F.filter(F.split(F.regexp_replace(bare, r"[^\w]+", " "), " "), lambda t: t != "")
-    return F.coalesce(F.array_join(F.array_sort(F.array_distinct(tokens)), " "), F.lit(""))
+    lowered = F.lower(text)
+    plain = F.when(text.rlike(r"[^\x00-\x7F]"), fold_to_ascii(lowered)).otherwise(lowered)
+    spaced = F.regexp_replace(F.replace(plain, F.lit("-"), F.lit("")), r"[^\w]+", " ")
+    tokens = F.array_sort(F.array_distinct(F.split(spaced, " ")))
+    # The empty token, if any, sorts first.
+    return F.coalesce(F.trim(F.array_join(tokens, " ")), F.lit(""))
 
 
 def category_key(text: Column) -> Column:
