@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from footlight.functions.cells import guarded_ratio, product_or_zero
-from footlight.operators.categorical import normalise_category
+from footlight.functions.text import category_key
+from footlight.operators.categorical import apply_vocabulary, collapse_rare, fit_vocabulary
+from footlight.session import materialise
 
 # (column, frequency below which a value counts as unknown): fixed values.
 CATEGORIES = [
@@ -65,9 +69,15 @@ def enrich_titles(
     if {"runtimeMinutes", "tmdb_runtime"} <= set(out.columns):
         out = coalesce_sources(out, "runtimeMinutes", "tmdb_runtime")
     out = out.drop("tmdb_fetched_at")
-    fitted = None
-    for column, min_frequency in CATEGORIES:
-        if column in out.columns:
-            out, vocabulary = normalise_category(out, column, vocabularies, min_frequency)
-            fitted = vocabulary if fitted is None or vocabularies is not None else fitted.unionByName(vocabulary)
-    return add_interactions(out), fitted
+    categories = [(c, k) for c, k in CATEGORIES if c in out.columns]
+    # Written once: the vocabularies read single columns of it.
+    out = materialise(out.withColumns({c: category_key(F.col(c)) for c, _ in categories}), "enriched")
+    fitted = []
+    for column, min_frequency in categories:
+        if vocabularies is not None:
+            out = apply_vocabulary(out, column, vocabularies)
+        else:
+            fitted.append(fit_vocabulary(out, column, min_frequency))
+            out = collapse_rare(out, column, min_frequency) if min_frequency else out
+    vocabularies = reduce(DataFrame.unionByName, fitted) if fitted else vocabularies
+    return add_interactions(out), vocabularies

@@ -99,10 +99,10 @@ def misclassification_rate(df: DataFrame, label: str, score: str) -> DataFrame:
 
 
 def ordered_predictions(keys: DataFrame, predictions: DataFrame, key: str, order: list[str], label: str = "predicted_label") -> DataFrame:
-    """'True' / 'False' for every input key in input order; a key without prediction is 'False'."""
+    """'True' / 'False' for every input key; a key without prediction is 'False'.  ``order`` columns keep the input order."""
     flag = F.coalesce(F.col(label), F.lit(0)) == 1
     merged = keys.join(predictions.select(key, label), key, "left")
-    return merged.select(*order, key, truth_text(flag).alias("prediction")).orderBy(*order)
+    return merged.select(*order, key, truth_text(flag).alias("prediction"))
 
 
 def align_features(df: DataFrame, columns: list[str], extra: tuple[str, ...] = ()) -> DataFrame:

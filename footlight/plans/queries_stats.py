@@ -204,7 +204,7 @@ from documents d left join {SCORED} s on d.doc_id = s.doc_id order by d.doc_id
 def ordered_predictions(spark: SparkSession, sf: str) -> DataFrame:
     predictions = _scored(spark, sf).select("doc_id", evaluate.predicted("score").alias("predicted_label"))
     keys = table(spark, sf, "documents").select("doc_id", F.col("doc_id").alias("position"))
-    return evaluate.ordered_predictions(keys, predictions, "doc_id", ["position"]).drop("position")
+    return evaluate.ordered_predictions(keys, predictions, "doc_id", ["position"]).orderBy("position").drop("position")
 
 
 @query(f"select doc_id, score, 0 as absent, label from {SCORED}")
