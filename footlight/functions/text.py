@@ -90,9 +90,13 @@ def category_key(text: Column) -> Column:
     return F.regexp_replace(fingerprint(text), "^$", UNKNOWN)
 
 
+# Every character that counts as a blank in Unicode text (fixed value).
+BLANKS = r"[\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+"
+
+
 def words(text: Column) -> Column:
     """Lower-cased blank-separated words."""
-    return F.filter(F.split(F.lower(text), r"(?U)\s+"), lambda w: w != "")
+    return F.filter(F.split(F.lower(text), BLANKS), lambda w: w != "")
 
 
 def word_ngrams(word: Column, shortest: int = 2, longest: int = 4) -> Column:

@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from footlight.operators.ordering import count_values, quantiles, running_totals
+from footlight.operators.ordering import quantiles, running_values
 
 # --- Fixed values -----------------------------------------------------------
 KS_ALPHA = 0.05
@@ -28,7 +28,7 @@ def _both(baseline: DataFrame, serving: DataFrame, column: str) -> DataFrame:
 
 def cumulative_distribution(df: DataFrame, column: str) -> DataFrame:
     """(value, n, cum_n, share): empirical distribution function over distinct values."""
-    totals = running_totals(count_values(df, column), column, ["n"])
+    totals = running_values(df, column)
     share = F.col("cum_n").cast("double") / F.col("all_n")
     return totals.select(F.col(column).alias("value"), "n", "cum_n", share.alias("share"))
 
@@ -39,7 +39,7 @@ def ks_two_sample(baseline: DataFrame, serving: DataFrame, column: str) -> DataF
     The p-value is the asymptotic two-sided one; null when a side is empty.
     """
     measures = {"base": F.sum("is_base"), "serve": F.sum(1 - F.col("is_base"))}
-    totals = running_totals(count_values(_both(baseline, serving, column), "value", measures), "value", ["base", "serve"])
+    totals = running_values(_both(baseline, serving, column), "value", measures)
     n, m = F.max("all_base"), F.max("all_serve")
     gap = F.abs(F.col("cum_base").cast("double") / F.col("all_base") - F.col("cum_serve").cast("double") / F.col("all_serve"))
     filled = (F.col("all_base") > 0) & (F.col("all_serve") > 0)

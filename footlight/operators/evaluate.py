@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from footlight.functions.cells import truth_text
-from footlight.operators.ordering import count_values, running_totals
+from footlight.operators.ordering import running_values
 
 THRESHOLD = 0.5  # fixed value
 
@@ -51,7 +51,7 @@ def classification_metrics(df: DataFrame, label: str, score: str, threshold: flo
 
 def _score_totals(df: DataFrame, label: str, score: str, by: tuple[str, ...] = ()) -> DataFrame:
     measures = {"pos": F.count_if(F.col(label) == 1), "neg": F.count_if(F.col(label) == 0)}
-    return running_totals(count_values(df, score, measures, by=by), score, ["pos", "neg"], by)
+    return running_values(df, score, measures, by)
 
 
 def roc_auc(df: DataFrame, label: str, score: str, by: tuple[str, ...] = ()) -> DataFrame:

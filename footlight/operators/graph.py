@@ -38,24 +38,15 @@ def person_degree(relation: DataFrame, dedupe: bool = False) -> DataFrame:
 def degree_features(relation: DataFrame, prefix: str, dedupe: bool = False) -> DataFrame:
     """(tconst, <prefix>_avg_centrality, <prefix>_count): mean degree and number of a title's people.
 
-    Repeated edges are folded into a weight before the join, and the two sums are combined per map task, so
-    neither a hot person nor a hot title lands in one task.
+    The join leaves the edges where they are or splits hot people off (see ``lookup_join``), and the sums of a
+    hot title are combined per map task: the edges cross the network at most once before that.
     """
     edges = _edges(relation, dedupe)
-    degrees = person_degree(edges)
-    degrees = materialise(degrees.where(F.col("nconst").isNotNull()), "degree")
-    weighted = lookup_join(_multiplicities(edges), degrees, ["nconst"], weight="degree")
-    known = F.when(F.col("nconst").isNotNull(), F.col("m"))
+    degrees = materialise(person_degree(edges.where(F.col("nconst").isNotNull())), "degree")
     return (
-        weighted.groupBy("tconst")
-        .agg(F.sum(known * F.col("degree")).alias("_total"), F.coalesce(F.sum(known), F.lit(0)).alias(f"{prefix}_count"))
-        .select(
-            "tconst",
-            F.when(F.col(f"{prefix}_count") > 0, F.col("_total").cast("double") / F.col(f"{prefix}_count")).alias(
-                f"{prefix}_avg_centrality"
-            ),
-            f"{prefix}_count",
-        )
+        lookup_join(edges, degrees, ["nconst"], weight="degree")
+        .groupBy("tconst")
+        .agg(F.avg("degree").alias(f"{prefix}_avg_centrality"), F.count("nconst").alias(f"{prefix}_count"))
     )
 
 

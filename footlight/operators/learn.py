@@ -5,7 +5,9 @@ from __future__ import annotations
 import math
 import random
 from functools import reduce
+from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
@@ -96,11 +98,12 @@ def widest_category(model: PipelineModel) -> int:
 def prepare(df: DataFrame, label: str = "label", key: str = "tconst", dropped: list[str] | None = None) -> tuple[DataFrame, PipelineModel]:
     """Training table (key, label, features, fold, is_holdout), written once, and the fitted feature pipeline.
 
-    Iterative training reads the written table, not the work that led to it.
+    The labelled rows are written before the pipeline is fitted on them, and the features again after it:
+    neither fitting nor training repeats the work that led to its input.
     """
     dropped = [*(DROPPED if dropped is None else dropped), key]
     numeric, texts = feature_columns(df, label, dropped)
-    labelled = df.where(F.col(label).isNotNull())
+    labelled = materialise(df.where(F.col(label).isNotNull()).select(key, label, *numeric, *texts), "labelled")
     model = feature_pipeline(labelled, numeric, texts)
     assembled = model.transform(typed(labelled, numeric, texts))
     ready = assembled.select(key, F.col(label).cast("double").alias("label"), "features")
@@ -186,15 +189,14 @@ def positive_probability():
 
 def out_of_fold(training: DataFrame, params: dict, key: str = "tconst", widest: int = 0) -> DataFrame:
     """(key, fold, true_label, predicted_prob): every row scored by the model that did not see its fold; written once."""
-    parts = []
-    for k in range(FOLDS):
+
+    def scored(k: int) -> DataFrame:
         model = classifier(params, widest).fit(training.where(F.col("fold") != k))
-        scored = model.transform(training.where(F.col("fold") == k))
-        parts.append(
-            scored.select(
-                key, "fold", F.col("label").cast("int").alias("true_label"), positive_probability().alias("predicted_prob")
-            )
-        )
+        columns = [key, "fold", F.col("label").cast("int").alias("true_label"), positive_probability().alias("predicted_prob")]
+        return model.transform(training.where(F.col("fold") == k)).select(*columns)
+
+    with ThreadPool(FOLDS) as pool:  # one driver thread per fold; the fits share the cluster
+        parts = pool.map(inheritable_thread_target(training.sparkSession)(scored), range(FOLDS))
     return materialise(reduce(DataFrame.unionByName, parts), "out_of_fold")
 
 

@@ -9,14 +9,17 @@ split, never the result.
 from __future__ import annotations
 
 import math
+from functools import reduce
+from operator import or_
 
 from pyspark.ml.feature import Bucketizer
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from footlight.session import materialise
 
 MAX_BUCKETS = 1000
+QUANTILE_BUCKETS = 256
 
 
 def _bucket_count(spark: SparkSession) -> int:
@@ -36,13 +39,18 @@ def cut_points(df: DataFrame, columns: list[str], buckets: int | None = None) ->
         ]
     ).first()
     return {
-        c: sorted({v for v in (row[i] or []) if not math.isnan(v) and not math.isinf(v)}) for i, c in enumerate(columns)
+        c: sorted({v + 0.0 for v in (row[i] or []) if not math.isnan(v) and not math.isinf(v)})
+        for i, c in enumerate(columns)
     }
 
 
 def with_buckets(df: DataFrame, cuts: dict[str, list[float]], prefix: str = "_b_") -> DataFrame:
-    """Add an integer bucket per column; larger values never get a smaller bucket."""
+    """Add an integer bucket per column; larger values never get a smaller bucket.
+
+    The bucketizer tells -0.0 from 0.0, SQL does not: both are given the bucket of 0.0.
+    """
     split = {c: v for c, v in cuts.items() if v}
+    number = {c: F.col(c).cast("double") for c in split}
     out = df
     if split:
         out = Bucketizer(
@@ -50,31 +58,43 @@ def with_buckets(df: DataFrame, cuts: dict[str, list[float]], prefix: str = "_b_
             outputCols=[f"{prefix}{c}" for c in split],
             splitsArray=[[-math.inf, *v, math.inf] for v in split.values()],
             handleInvalid="keep",
-        ).transform(df.withColumns({f"_d_{c}": F.col(c).cast("double") for c in split}))
+        ).transform(df.withColumns({f"_d_{c}": F.when(v == 0, F.lit(0.0)).otherwise(v) for c, v in number.items()}))
         out = out.drop(*[f"_d_{c}" for c in split])
     return out.withColumns({f"{prefix}{c}": F.col(f"{prefix}{c}").cast("int") if v else F.lit(0) for c, v in cuts.items()})
 
 
-def count_values(
-    df: DataFrame,
-    value: str,
-    measures: dict | None = None,
-    cuts: list[float] | None = None,
-    by: tuple[str, ...] = (),
+def running_values(
+    df: DataFrame, value: str, measures: dict[str, Column] | None = None, by: tuple[str, ...] = ()
 ) -> DataFrame:
-    """One row per distinct non-null value: (<by>, bucket, value, <measures>).  The default measure is the row count ``n``."""
+    """One row per distinct non-null value: (<by>, bucket, value, <m>, cum_<m>, all_<m>) for every measure ``m``.
+
+    The default measure is the row count ``n``.  Bucket totals come straight from the rows, so the counts per
+    value are shuffled once.
+    """
     known = df.where(F.col(value).isNotNull())
-    if cuts is None:
-        cuts = cut_points(known, [value])[value]
+    cuts = cut_points(known, [value])
+    bucketed = with_buckets(known, cuts).withColumnRenamed(f"_b_{value}", "bucket")
     measures = measures or {"n": F.count(F.lit(1))}
-    bucketed = with_buckets(known, {value: cuts}).withColumnRenamed(f"_b_{value}", "bucket")
-    return bucketed.groupBy(*by, "bucket", value).agg(*[e.alias(k) for k, e in measures.items()])
+    aggregates = [e.alias(k) for k, e in measures.items()]
+    return running_totals(
+        bucketed.groupBy(*by, "bucket", value).agg(*aggregates),
+        value,
+        list(measures),
+        by,
+        bucketed.groupBy(*by, "bucket").agg(*aggregates),
+    )
 
 
-def running_totals(per_value: DataFrame, value: str, sums: list[str], by: tuple[str, ...] = ()) -> DataFrame:
-    """Add ``cum_<s>`` (running total in value order, inclusive) and ``all_<s>`` (grand total) to bucketed values."""
+def running_totals(
+    per_value: DataFrame, value: str, sums: list[str], by: tuple[str, ...] = (), totals: DataFrame | None = None
+) -> DataFrame:
+    """Add ``cum_<s>`` (running total in value order, inclusive) and ``all_<s>`` (grand total) to bucketed values.
+
+    ``totals`` gives the sums per bucket when the caller has a cheaper way to them than the values.
+    """
     keys = [*by, "bucket"]
-    totals = per_value.groupBy(*keys).agg(*[F.sum(s).alias(s) for s in sums])
+    if totals is None:
+        totals = per_value.groupBy(*keys).agg(*[F.sum(s).alias(s) for s in sums])
     # One row per bucket (at most MAX_BUCKETS + 1 for each ``by`` group): the only globally ordered step.
     before = Window.partitionBy(*by).orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.partitionBy(*by)
@@ -90,77 +110,93 @@ def running_totals(per_value: DataFrame, value: str, sums: list[str], by: tuple[
     )
 
 
+def _bucket_of(counts: list[tuple[int, int]], rank: int) -> tuple[int, int]:
+    """(bucket, rows before it) holding the value of ``rank``, from (bucket, rows) in bucket order."""
+    before = 0
+    for bucket, n in counts:
+        if rank <= before + n:
+            return bucket, before
+        before += n
+    raise ValueError(f"rank {rank} is beyond the {before} rows counted")
+
+
+def _ends(n: int, fraction: float, interpolate: bool) -> tuple[list[tuple[str, int]], float]:
+    """1-based ranks that decide a quantile of ``n`` values, and the weight of the higher one."""
+    if not interpolate:
+        return [("low", max(math.ceil(n * fraction), 1))], 0.0
+    at = (n - 1) * fraction
+    return [("low", math.floor(at) + 1), ("high", math.ceil(at) + 1)], at - math.floor(at)
+
+
+def _in_bucket(column: str, cuts: list[float], bucket: int) -> Column:
+    """Rows of a bucket as a range of the plain column, which a scan can use to skip data."""
+    value = F.col(column)
+    if not cuts:
+        return value.isNotNull()
+    if bucket > len(cuts):  # not-a-number, which sorts last
+        return F.isnan(value)
+    low = value >= F.lit(cuts[bucket - 1]) if bucket > 0 else F.lit(True)
+    high = value < F.lit(cuts[bucket]) if bucket < len(cuts) else ~F.isnan(value)
+    return value.isNotNull() & low & high
+
+
 def quantiles(df: DataFrame, columns: list[str], fractions: list[float], interpolate: bool = False) -> DataFrame:
     """Exact quantiles of many columns at once: (column, n, fraction, value), |columns| x |fractions| rows.
 
     ``interpolate=False`` returns an element of the data (discrete quantile), ``True`` the linear interpolation.
     Nulls are ignored; a column without values has no rows.
+
+    Rows are first counted per bucket, at most ``QUANTILE_BUCKETS`` + 1 counts per column, which tells the bucket of
+    every wanted rank.  Only those buckets, a small share of the data, are then counted per value and ordered.
     """
-    cuts = cut_points(df, columns)
-    wide = with_buckets(df.select(*[F.col(c).cast("double").alias(c) for c in columns]), cuts)
-    cells = F.array(
-        *[F.struct(F.lit(c).alias("column"), F.col(f"_b_{c}").alias("bucket"), F.col(c).alias("value")) for c in columns]
-    )
-    per_value = (
-        wide.select(F.inline(cells))
-        .where(F.col("value").isNotNull())
-        .groupBy("column", "bucket", "value")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
+    plain = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
+    cuts = cut_points(plain, columns, QUANTILE_BUCKETS)
 
-    by_column = Window.partitionBy("column")
-    before = by_column.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    buckets = (
-        per_value.groupBy("column", "bucket")
-        .agg(F.sum("n").alias("n_bucket"))
-        .withColumns(
-            {"before": F.coalesce(F.sum("n_bucket").over(before), F.lit(0)), "n": F.sum("n_bucket").over(by_column)}
-        )
-    )
-    wanted = []
-    for f in fractions:
-        if interpolate:
-            at = (F.col("n") - 1) * F.lit(float(f))
-            ends = [("low", F.floor(at) + 1), ("high", F.ceil(at) + 1)]
-            share = at - F.floor(at)
-        else:
-            ends = [("low", F.greatest(F.ceil(F.col("n") * F.lit(float(f))), F.lit(1)))]
-            share = F.lit(0.0)
-        wanted += [
-            F.struct(
-                F.lit(float(f)).alias("fraction"),
-                F.lit(end).alias("end"),
-                rank.cast("long").alias("rank"),
-                share.cast("double").alias("share"),
-            )
-            for end, rank in ends
+    def cells(rows: DataFrame, kept: dict[str, Column]) -> DataFrame:
+        made = [
+            F.struct(F.lit(c).alias("column"), F.col(f"_b_{c}").alias("bucket"), F.when(k, F.col(c)).alias("value"))
+            for c, k in kept.items()
         ]
-    targets = buckets.select("column", "bucket", "before", "n_bucket", "n", F.inline(F.array(*wanted))).where(
-        (F.col("rank") > F.col("before")) & (F.col("rank") <= F.col("before") + F.col("n_bucket"))
-    )
-    # At most two targets per column and fraction; only the buckets they fall in are ordered.
-    needed = targets.select("column", "bucket", "before").distinct()
-    inside = Window.partitionBy("column", "bucket").orderBy("value")
-    ordered = (
-        per_value.join(F.broadcast(needed), ["column", "bucket"])
-        .withColumn("cum", F.col("before") + F.sum("n").over(inside.rowsBetween(Window.unboundedPreceding, 0)))
-        .select("column", "bucket", "value", "cum")
+        return with_buckets(rows, cuts).select(F.inline(F.array(*made))).where(F.col("value").isNotNull())
+
+    sizes = cells(plain, {c: F.lit(True) for c in columns}).groupBy("column", "bucket").agg(F.count(F.lit(1)).alias("n"))
+    found = sorted(tuple(r) for r in sizes.collect())
+    targets, kept = [], {}
+    for c in columns:
+        counts = [(b, n) for name, b, n in found if name == c]
+        total = sum(n for _, n in counts)
+        for f in fractions if total else []:
+            ends, share = _ends(total, f, interpolate)
+            for end, rank in ends:
+                bucket, before = _bucket_of(counts, rank)
+                targets.append((c, bucket, before, total, float(f), end, rank, share))
+                kept.setdefault(c, {})[bucket] = _in_bucket(c, cuts[c], bucket)
+    schema = "column string, bucket int, before long, n long, fraction double, end string, rank long, share double"
+    wanted = df.sparkSession.createDataFrame(targets, schema)
+    if not kept:
+        return wanted.select("column", "n", "fraction", F.lit(None).cast("double").alias("value"))
+
+    ranges = {c: reduce(or_, k.values()) for c, k in kept.items()}
+    counted = cells(plain.where(reduce(or_, ranges.values())), ranges).groupBy("column", "bucket", "value").agg(
+        F.count(F.lit(1)).alias("m")
     )
-    low = F.min(F.when((F.col("end") == "low"), F.col("value")))
-    high = F.min(F.when((F.col("end") == "high"), F.col("value")))
+    inside = Window.partitionBy("column", "bucket").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
+    ordered = counted.withColumn("cum", F.sum("m").over(inside))
+    low = F.min(F.when(F.col("end") == "low", F.col("value")))
+    high = F.min(F.when(F.col("end") == "high", F.col("value")))
     value = low + (high - low) * F.first("share") if interpolate else low
+    # ``wanted`` has at most two rows per column and fraction.
     return (
-        ordered.join(F.broadcast(targets.drop("before", "n_bucket")), ["column", "bucket"])
-        .where(F.col("cum") >= F.col("rank"))
+        ordered.join(F.broadcast(wanted), ["column", "bucket"])
+        .where(F.col("before") + F.col("cum") >= F.col("rank"))
         .groupBy("column", "n", "fraction")
         .agg(value.alias("value"))
     )
 
 
-def average_ranks(per_value: DataFrame, value: str, by: tuple[str, ...] = ()) -> DataFrame:
-    """Rank of each distinct value, ties sharing the mean of the places they take."""
-    ranked = running_totals(per_value, value, ["n"], by)
-    return ranked.withColumn("avg_rank", F.col("cum_n") - (F.col("n") - 1) / F.lit(2.0).cast("double"))
+def average_rank_of(running: DataFrame) -> Column:
+    """Rank of each distinct value, ties sharing the mean of the places they take, from running counts ``n``."""
+    return running["cum_n"] - (running["n"] - 1) / F.lit(2.0).cast("double")
 
 
 def sorted_positions(values: DataFrame, column: str, one_bucket: int = 10_000) -> DataFrame:

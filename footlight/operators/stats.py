@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from footlight.operators.ordering import average_ranks, count_values, cut_points, with_buckets
+from footlight.operators.ordering import average_rank_of, cut_points, running_totals, running_values, with_buckets
 from footlight.operators.skew import lookup_join
 from footlight.session import materialise
 
@@ -111,8 +111,8 @@ def overall_rate(df: DataFrame, label: str) -> DataFrame:
 
 def average_rank(df: DataFrame, column: str, output: str = "avg_rank") -> DataFrame:
     """Add the tie-averaged rank of ``column`` (null stays null)."""
-    ranks = average_ranks(count_values(df, column), column)
-    table = materialise(ranks.select(column, "n", F.col("avg_rank").alias(output)), "ranks")
+    running = running_values(df, column)
+    table = materialise(running.select(column, "n", average_rank_of(running).alias(output)), "ranks")
     return lookup_join(df, table, [column], weight="n").drop("n")
 
 
@@ -130,9 +130,12 @@ def _rank_cells(df: DataFrame, columns: list[str]) -> DataFrame:
     cast = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
     wide = with_buckets(cast, cut_points(cast, columns))
     cells = [F.struct(F.lit(c).alias("column"), F.col(f"_b_{c}").alias("bucket"), F.col(c).alias("value")) for c in columns]
-    counts = wide.select(F.inline(F.array(*cells))).groupBy("column", "bucket", "value").agg(F.count(F.lit(1)).alias("n"))
-    ranks = average_ranks(counts, "value", by=("column",))
-    return materialise(ranks.select("column", "value", "n", F.col("avg_rank").alias("rank")), "ranks")
+    long = wide.select(F.inline(F.array(*cells)))
+    n = F.count(F.lit(1)).alias("n")
+    running = running_totals(
+        long.groupBy("column", "bucket", "value").agg(n), "value", ["n"], ("column",), long.groupBy("column", "bucket").agg(n)
+    )
+    return materialise(running.select("column", "value", "n", average_rank_of(running).alias("rank")), "ranks")
 
 
 def _dense_pairs(df: DataFrame, columns: list[str], n: int) -> DataFrame:
@@ -170,8 +173,8 @@ def _sparse_pairs(df: DataFrame, pairs: list[tuple[str, str]]) -> DataFrame:
     out = joint
     for side in ("x", "y"):
         margin = joint.groupBy(*pair, F.col(f"b{side}").alias("bucket"), f"v{side}").agg(F.sum("w").alias("n"))
-        ranks = average_ranks(margin, f"v{side}", by=pair)
-        table = ranks.select(*pair, f"v{side}", "n", F.col("avg_rank").alias(f"r{side}"), F.col("all_n").alias(f"n{side}"))
+        ranks = running_totals(margin, f"v{side}", ["n"], pair)
+        table = ranks.select(*pair, f"v{side}", "n", average_rank_of(ranks).alias(f"r{side}"), F.col("all_n").alias(f"n{side}"))
         out = lookup_join(out, materialise(table, "pair_ranks"), [*pair, f"v{side}"], weight="n").drop("n")
     found = out.groupBy(*pair, "nx").agg(_correlation("rx", "ry", F.col("nx"), F.col("w")).alias("rho")).drop("nx")
     # Pairs that share no row have a null correlation.
