@@ -91,12 +91,20 @@ def category_key(text: Column) -> Column:
 
 
 # Every character that counts as a blank in Unicode text (fixed value).
-BLANKS = r"[\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+"
+BLANKS = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
+)
+
+
+def _split_words(text: Column) -> Column:
+    """Lower-cased pieces between blanks, empty ones included; one character to split at is much faster than a class."""
+    return F.split(F.translate(F.lower(text), BLANKS, " " * len(BLANKS)), " ")
 
 
 def words(text: Column) -> Column:
     """Lower-cased blank-separated words."""
-    return F.filter(F.split(F.lower(text), BLANKS), lambda w: w != "")
+    return F.filter(_split_words(text), lambda w: w != "")
 
 
 def word_ngrams(word: Column, shortest: int = 2, longest: int = 4) -> Column:
@@ -120,6 +128,7 @@ def char_ngrams(text: Column, shortest: int = 2, longest: int = 4) -> Column:
 
 def ngram_counts(df: DataFrame, column: str, shortest: int = 2, longest: int = 4) -> DataFrame:
     """(ngram, n) over all texts.  Words are counted first, so each distinct word is cut once."""
-    counted = df.select(F.explode(words(F.col(column))).alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+    found = df.select(F.explode(_split_words(F.col(column))).alias("word")).where(F.col("word") != "")
+    counted = found.groupBy("word").agg(F.count(F.lit(1)).alias("n"))
     grams = counted.select(F.explode(word_ngrams(F.col("word"), shortest, longest)).alias("ngram"), "n")
     return grams.groupBy("ngram").agg(F.sum("n").alias("n"))

@@ -19,8 +19,8 @@ def value_counts(df: DataFrame, column: str) -> DataFrame:
 def collapse_rare(df: DataFrame, column: str, min_frequency: int) -> DataFrame:
     """Values seen fewer than ``min_frequency`` times become 'unknown'; nulls stay."""
     rare = (F.col("n") < min_frequency).alias("_rare")
-    counts = materialise(value_counts(df, column).select(F.col("value").alias(column), rare, "n"), "value_counts")
-    marked = lookup_join(df, counts, [column], weight="n")
+    counts = value_counts(df, column).select(F.col("value").alias(column), rare, F.col("n").alias("_rows"))
+    marked = lookup_join(df, materialise(counts, "value_counts"), [column], weight="_rows")
     return marked.withColumn(column, F.when(F.col("_rare"), UNKNOWN).otherwise(F.col(column))).select(*df.columns)
 
 
@@ -39,13 +39,14 @@ def fit_vocabulary(df: DataFrame, column: str, min_frequency: int = 0) -> DataFr
 
 
 def _entries(vocabulary: DataFrame, column: str) -> DataFrame:
-    return vocabulary.where(F.col("column") == column).select(F.col("value").alias(column), F.col("code").alias("_code"), "n")
+    own = vocabulary.where(F.col("column") == column)
+    return own.select(F.col("value").alias(column), F.col("code").alias("_code"), F.col("n").alias("_rows"))
 
 
 def apply_vocabulary(df: DataFrame, column: str, vocabulary: DataFrame) -> DataFrame:
     """Values outside the vocabulary become 'unknown'."""
     known = materialise(_entries(vocabulary, column), "known_values")
-    marked = lookup_join(df, known, [column], weight="n").withColumn(
+    marked = lookup_join(df, known, [column], weight="_rows").withColumn(
         column, F.when(F.col("_code").isNotNull(), F.col(column)).otherwise(UNKNOWN)
     )
     return marked.select(*df.columns)
@@ -71,9 +72,9 @@ def normalise_category(
 def category_codes(df: DataFrame, column: str, output: str) -> DataFrame:
     """Position of each value among the sorted distinct values; null gets -1."""
     codes = sorted_positions(value_counts(df, column), "value")
-    table = materialise(codes.select(F.col("value").alias(column), F.col("code").alias(output), "n"), "codes")
-    coded = lookup_join(df, table, [column], weight="n")
-    return coded.withColumn(output, F.coalesce(output, F.lit(-1)).cast("int")).drop("n")
+    table = materialise(codes.select(F.col("value").alias(column), F.col("code").alias(output), F.col("n").alias("_rows")), "codes")
+    coded = lookup_join(df, table, [column], weight="_rows")
+    return coded.withColumn(output, F.coalesce(output, F.lit(-1)).cast("int")).drop("_rows")
 
 
 def apply_category_map(df: DataFrame, columns: list[str], mapping: DataFrame, fill: str = "Unknown") -> DataFrame:
@@ -82,5 +83,5 @@ def apply_category_map(df: DataFrame, columns: list[str], mapping: DataFrame, fi
     for c in columns:
         entries = materialise(_entries(mapping, c), "category_map")
         filled = out.withColumn(c, F.coalesce(F.col(c), F.lit(fill)))
-        out = lookup_join(filled, entries, [c], weight="n").drop("n").withColumnRenamed("_code", f"{c}_code")
+        out = lookup_join(filled, entries, [c], weight="_rows").drop("_rows").withColumnRenamed("_code", f"{c}_code")
     return out

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from footlight.operators.skew import lookup_join
 from footlight.session import materialise
 
-CROWD = 256
+CROWD = 128
 _KEYS = ["tconst", "nconst"]
 
 

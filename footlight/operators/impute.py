@@ -84,9 +84,14 @@ def fill_high_cardinality(df: DataFrame, column: str, limit: int = MAX_CLASSES)
 
 def standard_scale(df: DataFrame, columns: list[str]) -> DataFrame:
     """Centre on the mean and divide by the population deviation; nulls take the median first, a constant gives 0."""
-    medians = {r["column"]: r["value"] for r in quantiles(df, columns, [0.5], interpolate=True).collect()}
-    known = [c for c in columns if c in medians]
-    filled = {c: F.coalesce(F.col(c).cast("double"), F.lit(medians[c])) for c in known}
+    counts = df.agg(F.count(F.lit(1)).alias("_all"), *[F.count(c).alias(c) for c in columns]).first()
+    known = [c for c in columns if counts[c]]
+    partial = [c for c in known if counts[c] < counts["_all"]]
+    found = quantiles(df, partial, [0.5], interpolate=True).collect() if partial else []
+    medians = {r["column"]: F.lit(r["value"]) for r in found}
+    filled = {c: F.coalesce(F.col(c).cast("double"), medians.get(c, F.lit(None))) for c in known}
+    if not filled:
+        return df
     row = df.agg(*[F.struct(F.avg(e).alias("m"), F.stddev_pop(e).alias("s")).alias(c) for c, e in filled.items()]).first()
     return df.withColumns({c: (e - F.lit(row[c]["m"])) / F.lit(row[c]["s"] or 1.0) for c, e in filled.items()})
 

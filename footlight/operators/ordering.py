@@ -73,15 +73,15 @@ def running_values(
     """
     known = df.where(F.col(value).isNotNull())
     cuts = cut_points(known, [value])
-    bucketed = with_buckets(known, cuts).withColumnRenamed(f"_b_{value}", "bucket")
+    bucketed = with_buckets(known, cuts).withColumnRenamed(f"_b_{value}", "_bucket")
     measures = measures or {"n": F.count(F.lit(1))}
     aggregates = [e.alias(k) for k, e in measures.items()]
     return running_totals(
-        bucketed.groupBy(*by, "bucket", value).agg(*aggregates),
+        bucketed.groupBy(*by, "_bucket", value).agg(*aggregates),
         value,
         list(measures),
         by,
-        bucketed.groupBy(*by, "bucket").agg(*aggregates),
+        bucketed.groupBy(*by, "_bucket").agg(*aggregates),
     )
 
 
@@ -92,11 +92,11 @@ def running_totals(
 
     ``totals`` gives the sums per bucket when the caller has a cheaper way to them than the values.
     """
-    keys = [*by, "bucket"]
+    keys = [*by, "_bucket"]
     if totals is None:
         totals = per_value.groupBy(*keys).agg(*[F.sum(s).alias(s) for s in sums])
     # One row per bucket (at most MAX_BUCKETS + 1 for each ``by`` group): the only globally ordered step.
-    before = Window.partitionBy(*by).orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    before = Window.partitionBy(*by).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.partitionBy(*by)
     offsets = totals.select(
         *keys,
@@ -154,12 +154,12 @@ def quantiles(df: DataFrame, columns: list[str], fractions: list[float], interpo
 
     def cells(rows: DataFrame, kept: dict[str, Column]) -> DataFrame:
         made = [
-            F.struct(F.lit(c).alias("column"), F.col(f"_b_{c}").alias("bucket"), F.when(k, F.col(c)).alias("value"))
+            F.struct(F.lit(c).alias("column"), F.col(f"_b_{c}").alias("_bucket"), F.when(k, F.col(c)).alias("value"))
             for c, k in kept.items()
         ]
         return with_buckets(rows, cuts).select(F.inline(F.array(*made))).where(F.col("value").isNotNull())
 
-    sizes = cells(plain, {c: F.lit(True) for c in columns}).groupBy("column", "bucket").agg(F.count(F.lit(1)).alias("n"))
+    sizes = cells(plain, {c: F.lit(True) for c in columns}).groupBy("column", "_bucket").agg(F.count(F.lit(1)).alias("n"))
     found = sorted(tuple(r) for r in sizes.collect())
     targets, kept = [], {}
     for c in columns:
@@ -171,23 +171,23 @@ def quantiles(df: DataFrame, columns: list[str], fractions: list[float], interpo
                 bucket, before = _bucket_of(counts, rank)
                 targets.append((c, bucket, before, total, float(f), end, rank, share))
                 kept.setdefault(c, {})[bucket] = _in_bucket(c, cuts[c], bucket)
-    schema = "column string, bucket int, before long, n long, fraction double, end string, rank long, share double"
+    schema = "column string, _bucket int, before long, n long, fraction double, end string, rank long, share double"
     wanted = df.sparkSession.createDataFrame(targets, schema)
     if not kept:
         return wanted.select("column", "n", "fraction", F.lit(None).cast("double").alias("value"))
 
     ranges = {c: reduce(or_, k.values()) for c, k in kept.items()}
-    counted = cells(plain.where(reduce(or_, ranges.values())), ranges).groupBy("column", "bucket", "value").agg(
+    counted = cells(plain.where(reduce(or_, ranges.values())), ranges).groupBy("column", "_bucket", "value").agg(
         F.count(F.lit(1)).alias("m")
     )
-    inside = Window.partitionBy("column", "bucket").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
+    inside = Window.partitionBy("column", "_bucket").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
     ordered = counted.withColumn("cum", F.sum("m").over(inside))
     low = F.min(F.when(F.col("end") == "low", F.col("value")))
     high = F.min(F.when(F.col("end") == "high", F.col("value")))
     value = low + (high - low) * F.first("share") if interpolate else low
     # ``wanted`` has at most two rows per column and fraction.
     return (
-        ordered.join(F.broadcast(wanted), ["column", "bucket"])
+        ordered.join(F.broadcast(wanted), ["column", "_bucket"])
         .where(F.col("before") + F.col("cum") >= F.col("rank"))
         .groupBy("column", "n", "fraction")
         .agg(value.alias("value"))
@@ -213,6 +213,6 @@ def sorted_positions(values: DataFrame, column: str, one_bucket: int = 10_000) -
     sample = values.where(F.col(column).isNotNull() & (F.pmod(F.xxhash64(column), F.lit(step)) == 0))
     cuts = sorted(r[0] for r in sample.select(column).collect())
     below = F.filter(F.array(*[F.lit(c) for c in cuts]), lambda c: c <= F.col(column))
-    bucketed = values.withColumns({"bucket": F.size(below), "n": F.lit(1)})
+    bucketed = values.withColumns({"_bucket": F.size(below), "n": F.lit(1)})
     numbered = running_totals(bucketed, column, ["n"])
-    return numbered.withColumn("code", (F.col("cum_n") - 1).cast("int")).drop("bucket", "n", "cum_n", "all_n")
+    return numbered.withColumn("code", (F.col("cum_n") - 1).cast("int")).drop("_bucket", "n", "cum_n", "all_n")

@@ -112,8 +112,8 @@ def overall_rate(df: DataFrame, label: str) -> DataFrame:
 def average_rank(df: DataFrame, column: str, output: str = "avg_rank") -> DataFrame:
     """Add the tie-averaged rank of ``column`` (null stays null)."""
     running = running_values(df, column)
-    table = materialise(running.select(column, "n", average_rank_of(running).alias(output)), "ranks")
-    return lookup_join(df, table, [column], weight="n").drop("n")
+    ranks = running.select(column, F.col("n").alias("_rows"), average_rank_of(running).alias(output))
+    return lookup_join(df, materialise(ranks, "ranks"), [column], weight="_rows").drop("_rows")
 
 
 def _correlation(x: str, y: str, n, weight=None):
@@ -129,11 +129,11 @@ def _rank_cells(df: DataFrame, columns: list[str]) -> DataFrame:
     """(column, value, n, rank) of several columns from one pass."""
     cast = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
     wide = with_buckets(cast, cut_points(cast, columns))
-    cells = [F.struct(F.lit(c).alias("column"), F.col(f"_b_{c}").alias("bucket"), F.col(c).alias("value")) for c in columns]
+    cells = [F.struct(F.lit(c).alias("column"), F.col(f"_b_{c}").alias("_bucket"), F.col(c).alias("value")) for c in columns]
     long = wide.select(F.inline(F.array(*cells)))
     n = F.count(F.lit(1)).alias("n")
     running = running_totals(
-        long.groupBy("column", "bucket", "value").agg(n), "value", ["n"], ("column",), long.groupBy("column", "bucket").agg(n)
+        long.groupBy("column", "_bucket", "value").agg(n), "value", ["n"], ("column",), long.groupBy("column", "_bucket").agg(n)
     )
     return materialise(running.select("column", "value", "n", average_rank_of(running).alias("rank")), "ranks")
 
@@ -143,8 +143,10 @@ def _dense_pairs(df: DataFrame, columns: list[str], n: int) -> DataFrame:
     ranks = _rank_cells(df, columns)
     ranked = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
     for c in columns:
-        own = ranks.where(F.col("column") == c).select(F.col("value").alias(c), "n", F.col("rank").alias(f"_r_{c}"))
-        ranked = lookup_join(ranked, own, [c], weight="n").drop(c, "n")
+        own = ranks.where(F.col("column") == c).select(
+            F.col("value").alias(c), F.col("n").alias("_rows"), F.col("rank").alias(f"_r_{c}")
+        )
+        ranked = lookup_join(ranked, own, [c], weight="_rows").drop(c, "_rows")
     pairs = list(combinations(columns, 2))
     row = ranked.agg(*[_correlation(f"_r_{x}", f"_r_{y}", F.lit(n)).alias(f"r{i}") for i, (x, y) in enumerate(pairs)])
     cells = [F.struct(F.lit(x).alias("x"), F.lit(y).alias("y"), F.col(f"r{i}").alias("rho")) for i, (x, y) in enumerate(pairs)]
@@ -172,7 +174,7 @@ def _sparse_pairs(df: DataFrame, pairs: list[tuple[str, str]]) -> DataFrame:
     pair = ("x", "y")
     out = joint
     for side in ("x", "y"):
-        margin = joint.groupBy(*pair, F.col(f"b{side}").alias("bucket"), f"v{side}").agg(F.sum("w").alias("n"))
+        margin = joint.groupBy(*pair, F.col(f"b{side}").alias("_bucket"), f"v{side}").agg(F.sum("w").alias("n"))
         ranks = running_totals(margin, f"v{side}", ["n"], pair)
         table = ranks.select(*pair, f"v{side}", "n", average_rank_of(ranks).alias(f"r{side}"), F.col("all_n").alias(f"n{side}"))
         out = lookup_join(out, materialise(table, "pair_ranks"), [*pair, f"v{side}"], weight="n").drop("n")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -51,12 +52,30 @@ def impute_chain(spark: SparkSession, sf: str) -> DataFrame:
     return impute.impute_chain(parts, ["p_size", "p_retailprice"], SETTINGS, text=[], ignored=["p_partkey"])
 
 
-@query()
+FEATURES = ["n_chars", "n_words", "n_digits", "n_stops", "n_lines", "lang", "source"]
+
+
+# Codes of text columns go by falling frequency, then by value.
+@query("""
+with joined as (
+  select d.*, l.quality,
+    row_number() over (partition by l.quality order by md5(cast(d.doc_id as varchar) || '|42'), d.doc_id) as place,
+    count(*) over (partition by l.quality) as size
+  from documents d join labels l on d.doc_id = l.doc_id),
+langs as (select lang, row_number() over (order by count(*) desc, lang) - 1 as code from joined group by lang),
+sources as (select source, row_number() over (order by count(*) desc, source) - 1 as code from joined group by source)
+select doc_id, quality::double as label, cast((place - 1) % 3 as integer) as fold,
+  place <= ceil(cast(0.15 as double) * size) as is_holdout,
+  n_chars::double as n_chars, len(string_split(text, ' '))::double as n_words,
+  length(regexp_replace(text, '[^0-9]', '', 'g'))::double as n_digits,
+  length(regexp_replace(text, '[^.!?]', '', 'g'))::double as n_stops,
+  len(string_split(text, chr(10)))::double as n_lines, langs.code::double as lang, sources.code::double as source
+from joined join langs on joined.lang = langs.lang join sources on joined.source = sources.source
+""")
 def ml_prepare(spark: SparkSession, sf: str) -> DataFrame:
     training, _ = _training(spark, sf)
-    from pyspark.ml.functions import vector_to_array
-
-    return training.select("doc_id", "label", vector_to_array("features").alias("features"), "fold", "is_holdout")
+    values = vector_to_array("features")
+    return training.select("doc_id", "label", "fold", "is_holdout", *[values[i].alias(c) for i, c in enumerate(FEATURES)])
 
 
 @query()
