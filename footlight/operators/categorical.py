@@ -69,9 +69,12 @@ def normalise_category(
     return (collapse_rare(keyed, column, min_frequency) if min_frequency > 0 else keyed), fitted
 
 
-def category_codes(df: DataFrame, column: str, output: str) -> DataFrame:
-    """Position of each value among the sorted distinct values; null gets -1."""
-    codes = sorted_positions(value_counts(df, column), "value")
+def category_codes(df: DataFrame, column: str, output: str, source: DataFrame | None = None) -> DataFrame:
+    """Position of each value among the sorted distinct values; null gets -1.
+
+    ``source`` gives the table to take the values from when ``df`` is a longer way to the same column.
+    """
+    codes = sorted_positions(value_counts(df if source is None else source, column), "value")
     table = materialise(codes.select(F.col("value").alias(column), F.col("code").alias(output), F.col("n").alias("_rows")), "codes")
     coded = lookup_join(df, table, [column], weight="_rows")
     return coded.withColumn(output, F.coalesce(output, F.lit(-1)).cast("int")).drop("_rows")
