@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from footlight.llm import minhash
+from footlight.llm import minhash, recompression
 from footlight.plans.registry import Query, table
 
 QUERIES: dict[str, Query] = {}
@@ -27,3 +28,11 @@ def query(sql: str | None = None):
 def op10_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """Links at 0.85 over three-word shingles: twin is quadratic in SQL, so tests compare with brute force."""
     return minhash.near_duplicates(table(spark, folder, "documents"), words=3, share=(85, 100), bands=26, rows=6)
+
+
+@query()
+def op5_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Windows of 35 words that start anywhere else are removed; tests compare with all windows listed."""
+    cut = recompression.remove_repeats(table(spark, folder, "documents"), window=35)
+    words = F.trim(F.regexp_replace("kept", r"[\x20\x09-\x0D]+", " "))
+    return cut.select("doc_id", "n_words", "n_removed", F.sha2(F.coalesce(words, F.lit("")), 256).alias("kept_sha256"))

@@ -83,18 +83,24 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return out[0], out[1]
 
 
-@lru_cache(8)
-def _byte_values(seed: int) -> np.ndarray:
-    return np.random.default_rng(seed).integers(0, 1 << 64, 256, np.uint64)
+_MASKS = np.array([(1 << (8 * i)) - 1 for i in range(9)], np.uint64)
 
 
 def hash_spans(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed: int = 0) -> np.ndarray:
-    """64-bit hash of each byte span, by prefix sums of a polynomial whose leading power is divided out."""
-    size = 1 << max(int(len(data)).bit_length(), 16)
-    power, inverse = _powers(size)
-    sums = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(_byte_values(seed)[data] * power[: len(data)], dtype=np.uint64, out=sums[1:])
-    return mix((sums[ends] - sums[starts]) * inverse[starts] + (ends - starts).astype(np.uint64))
+    """64-bit hash of each byte span, taken eight bytes at a time over all spans at once."""
+    if not len(starts):
+        return np.zeros(0, np.uint64)
+    padded = np.concatenate([data, np.zeros(8, np.uint8)])
+    eight = np.lib.stride_tricks.as_strided(padded.view(np.uint8)[:8].view(np.uint64), (len(data) + 1,), (1,))
+    size = ends - starts
+    acc = mix((eight[starts] & _MASKS[np.minimum(size, 8)]) + size.astype(np.uint64) * _BASE + np.uint64(seed))
+    at, rest = 8, np.flatnonzero(size > 8)
+    while len(rest):
+        part = eight[starts[rest] + at] & _MASKS[np.minimum(size[rest] - at, 8)]
+        acc[rest] = mix((acc[rest] * _BASE) ^ part)
+        at += 8
+        rest = rest[size[rest] > at]
+    return acc
 
 
 def hash_runs(h: np.ndarray, k: int) -> np.ndarray:
@@ -114,3 +120,11 @@ def lists(values: np.ndarray, counts: np.ndarray, kind: pa.DataType) -> pa.Array
     at = np.zeros(len(counts) + 1, np.int32)
     np.cumsum(counts, out=at[1:])
     return pa.ListArray.from_arrays(pa.array(at), pa.array(values, kind))
+
+
+def rolling(h: np.ndarray, first: np.ndarray, k: int) -> np.ndarray:
+    """Hash of the ``k`` symbols that begin at each of ``first``, by prefix sums."""
+    power, inverse = _powers(1 << max(len(h).bit_length(), 16))
+    sums = np.zeros(len(h) + 1, np.uint64)
+    np.cumsum(h * power[: len(h)], dtype=np.uint64, out=sums[1:])
+    return mix((sums[first + k] - sums[first]) * inverse[first])
