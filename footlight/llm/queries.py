@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from footlight.llm import minhash, recompression
+from footlight.llm import languages, minhash, pieces, recompression
 from footlight.plans.registry import Query, table
 
 QUERIES: dict[str, Query] = {}
@@ -36,3 +36,25 @@ def op5_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     cut = recompression.remove_repeats(table(spark, folder, "documents"), window=35)
     words = F.trim(F.regexp_replace("kept", r"[\x20\x09-\x0D]+", " "))
     return cut.select("doc_id", "n_words", "n_removed", F.sha2(F.coalesce(words, F.lit("")), 256).alias("kept_sha256"))
+
+
+@query()
+def op1_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
+    """Piece ids of every whole text, and whether decoding them gives the text again; tests compare with the library."""
+    documents = table(spark, folder, "documents").select("doc_id", "text")
+    model = pieces.load_model()
+    digest = F.sha2(F.translate("text", "\u2581", " "), 256)  # the mark's own character is a blank to the model
+    ids = pieces.encode(documents.withColumn("sha256", digest), ["doc_id", "sha256"], model=model)
+    back = pieces.decode(ids, ["doc_id", "sha256", "ids"], model=model)
+    same = F.sha2("text", 256).eqNullSafe(F.col("sha256"))
+    return back.select("doc_id", F.size("ids").cast("long").alias("n_ids"), "ids", same.alias("round_trip"))
+
+
+@query()
+def op8_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    """Predictions for all documents by a model of the documents that are not held out; tests measure accuracy."""
+    documents = table(spark, folder, "documents")
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 4 == 2, F.lit(False))
+    marked = documents.withColumn("held_out", held_out)
+    model = languages.fit(marked.where(~F.col("held_out") & F.col("doc_id").isNotNull()), "doc_id", "text", "lang")
+    return languages.identify(marked, model, ["doc_id", "held_out"])
