@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from footlight.llm import languages, minhash, pieces, recompression
+from footlight.llm import languages, minhash, mixing, pieces, recompression, sharding
 from footlight.plans.registry import Query, table
 
 QUERIES: dict[str, Query] = {}
@@ -58,3 +58,70 @@ def op8_language_id(spark: SparkSession, folder: str) -> DataFrame:
     marked = documents.withColumn("held_out", held_out)
     model = languages.fit(marked.where(~F.col("held_out") & F.col("doc_id").isNotNull()), "doc_id", "text", "lang")
     return languages.identify(marked, model, ["doc_id", "held_out"])
+
+
+# Weights 3, 1 and 2 over the whole run: falling, rising and even.
+_SCHEDULES = [[(0.0, 4.5), (1.0, 1.5)], [(0.0, 0.5), (0.5, 0.75), (1.0, 2.0)], [(0.0, 2.0), (1.0, 2.0)]]
+
+
+@query(
+    r"""
+    WITH sized AS (
+        SELECT doc_id, source, md5(doc_id::VARCHAR) AS place,
+               coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size
+        FROM documents
+    ), s AS (
+        SELECT source, sum(size)::BIGINT AS words, [3.0, 1.0, 2.0][1 + (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3]::DOUBLE AS weight,
+               row_number() OVER (ORDER BY source NULLS LAST) AS rank
+        FROM sized GROUP BY source
+    ), e AS (
+        SELECT *, 2 * words / weight AS early,
+               (sum(words) OVER () * 3 / 2.0::DOUBLE - coalesce(sum(2 * words) OVER (ORDER BY 2 * words / weight, rank ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+               / sum(weight) OVER (ORDER BY 2 * words / weight, rank ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS each_
+        FROM s
+    ), l AS (
+        SELECT each_ FROM e WHERE each_ * weight <= 2 * words ORDER BY early, rank LIMIT 1
+    ), t AS (
+        SELECT source, words, least((2 * words)::DOUBLE, coalesce((SELECT each_ FROM l) * weight, 2 * words)) AS target FROM e
+    ), p AS (
+        SELECT doc_id, size, words AS source_size, target, round(target)::BIGINT AS quota,
+               sum(size) OVER (PARTITION BY sized.source ORDER BY place, doc_id, size ROWS UNBOUNDED PRECEDING) - size AS start
+        FROM sized JOIN t ON sized.source IS NOT DISTINCT FROM t.source
+    )
+    SELECT doc_id, size, source_size, target,
+           (greatest(least(size, quota - start), 0) + greatest(least(size, quota - start - source_size), 0))::BIGINT AS taken
+    FROM p
+    """
+)
+def op2_source_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    """Words taken of every document, in order of training: first position, those never taken last."""
+    mixed = mixing.mix(table(spark, folder, "documents"), _SCHEDULES)
+    first = F.get("passes", F.lit(0))["position"]
+    return mixed.orderBy(first.asc_nulls_last(), "doc_id").select("doc_id", "size", "source_size", "target", "taken")
+
+
+# All columns of op3 but the checksum, which SQL has no function for; tests compare with it.
+SHARD_SQL = r"""
+    WITH r AS (
+        SELECT doc_id, coalesce(octet_length(text::BLOB), 0) + 1 AS size, coalesce(md5(text), '') AS key, md5(doc_id::VARCHAR) AS place
+        FROM documents
+    ), g AS (
+        SELECT *, sum(size) OVER (ORDER BY key, place, doc_id ROWS UNBOUNDED PRECEDING) AS end_, sum(size) OVER () AS total,
+               row_number() OVER (ORDER BY key, place, doc_id) AS at_
+        FROM r
+    ), m AS (
+        SELECT *, sum(size) OVER (PARTITION BY key) AS group_size, max(end_) OVER (PARTITION BY key) AS group_end FROM g
+    ), s AS (
+        SELECT *, least((CASE WHEN group_size * 1024 > total THEN 2 * end_ - size ELSE 2 * group_end - group_size END) * 16 // (2 * total), 15)::INTEGER AS shard
+        FROM m
+    )
+    SELECT doc_id, size::BIGINT AS size, shard, (at_ - min(at_) OVER (PARTITION BY shard))::BIGINT AS slot FROM s
+    """
+
+
+@query()
+def op3_sharding(spark: SparkSession, folder: str) -> DataFrame:
+    """Sixteen shards of nearly equal bytes."""
+    out = sharding.assign_shards(table(spark, folder, "documents"), 16)
+    nothing = F.lit(None).cast("int")
+    return out.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", nothing.alias("grown_shard"))
