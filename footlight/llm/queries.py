@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from footlight.llm import languages, minhash, mixing, pieces, recompression, sharding
+from footlight.llm import binarycodes, hosts, languages, minhash, mixing, pieces, recompression, sharding, syncmers
 from footlight.plans.registry import Query, table
 
 QUERIES: dict[str, Query] = {}
@@ -125,3 +125,72 @@ def op3_sharding(spark: SparkSession, folder: str) -> DataFrame:
     out = sharding.assign_shards(table(spark, folder, "documents"), 16)
     nothing = F.lit(None).cast("int")
     return out.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", nothing.alias("grown_shard"))
+
+
+# The rules of the query.
+_RULES = [
+    ("allow", "com/"),
+    ("block", "example.com/en/"),
+    ("allow", "www.example.com/en/"),
+    ("block", "net/es/"),
+    ("block", "net/fr/"),
+]
+
+
+@query(
+    r"""
+    WITH p AS (
+        SELECT page_id, CASE WHEN position('://' IN url) > 0 THEN substr(url, position('://' IN url) + 3) END AS rest FROM pages
+    ), u AS (
+        SELECT page_id, coalesce(translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '') AS host,
+               coalesce(regexp_extract(rest, '^[^/?#]*([^?#]*)', 1), '') AS path
+        FROM p
+    ), l AS (
+        SELECT doc_id, max(CASE WHEN toxic = 1 OR quality = 0 THEN 1 ELSE 0 END) AS bad
+        FROM labels WHERE doc_id IS NOT NULL AND (toxic IS NOT NULL OR quality IS NOT NULL) GROUP BY doc_id
+    ), c AS (
+        SELECT host, count(bad) AS n, coalesce(sum(bad), 0) AS bad,
+               array_to_string(string_split(host, '.')[-1:], '.') AS suffix, array_to_string(string_split(host, '.')[-2:], '.') AS domain
+        FROM u LEFT JOIN l ON try_cast(regexp_extract(path, '/([0-9]+)', 1) AS BIGINT) = doc_id GROUP BY host
+    ), d AS (SELECT suffix, domain, sum(n) AS n, sum(bad) AS bad FROM c GROUP BY ALL
+    ), s0 AS (SELECT suffix, sum(n) AS n, sum(bad) AS bad, (SELECT (coalesce(sum(bad), 0) + 0.5) / (coalesce(sum(n), 0) + 1.0) FROM d) AS prior FROM d GROUP BY suffix
+    ), s1 AS (SELECT *, 1 / least(greatest(coalesce(sum(n * (pow(bad / n - prior, 2) / (prior * (1 - prior)) - 1 / n)) FILTER (n > 0) OVER ()
+                                           / nullif(sum(n - 1) FILTER (n > 0) OVER (), 0), 0.001), 0.001), 0.9) - 1 AS k FROM s0
+    ), s AS (SELECT suffix, (k * prior + bad) / (k + n) AS prior FROM s1
+    ), d1 AS (SELECT domain, n, bad, prior, 1 / least(greatest(coalesce(sum(n * (pow(bad / n - prior, 2) / (prior * (1 - prior)) - 1 / n)) FILTER (n > 0) OVER ()
+                                           / nullif(sum(n - 1) FILTER (n > 0) OVER (), 0), 0.001), 0.001), 0.9) - 1 AS k FROM d JOIN s USING (suffix)
+    ), d2 AS (SELECT domain, (k * prior + bad) / (k + n) AS prior FROM d1
+    ), h1 AS (SELECT host, n, bad, prior, 1 / least(greatest(coalesce(sum(n * (pow(bad / n - prior, 2) / (prior * (1 - prior)) - 1 / n)) FILTER (n > 0) OVER ()
+                                           / nullif(sum(n - 1) FILTER (n > 0) OVER (), 0), 0.001), 0.001), 0.9) - 1 AS k FROM c JOIN d2 USING (domain)
+    ), h2 AS (SELECT host, k * prior + bad AS a, k * (1 - prior) + n - bad AS b FROM h1
+    ), h AS (SELECT host, a / (a + b) - 1.645 * sqrt(a * b / ((a + b) * (a + b) * (a + b + 1))) AS low FROM h2
+    ), r AS (
+        SELECT * FROM (VALUES ('allow', 'com', '/'), ('block', 'example.com', '/en/'), ('allow', 'www.example.com', '/en/'), ('block', 'net', '/es/'), ('block', 'net', '/fr/')) AS t(verdict, rh, rp)
+    ), m AS (
+        SELECT page_id, arg_max(rh || rp, length(rh || rp)) AS rule, arg_max(r.verdict, length(rh || rp)) AS verdict
+        FROM u JOIN r ON (host = rh OR ends_with(host, '.' || rh)) AND starts_with(path, rp) GROUP BY page_id
+    )
+    SELECT page_id, host, path, rule, coalesce(verdict, CASE WHEN low > 0.5 THEN 'block' ELSE 'allow' END) AS verdict
+    FROM u LEFT JOIN m USING (page_id) LEFT JOIN h USING (host)
+    """
+)
+def op6_url_filters(spark: SparkSession, folder: str) -> DataFrame:
+    """Rules and host reputation for all pages; a page's outcome is the label of the document it shows."""
+    labels = table(spark, folder, "labels")
+    known = F.col("toxic").isNotNull() | F.col("quality").isNotNull()
+    bad = F.when((F.coalesce("toxic", F.lit(0)) == 1) | (F.coalesce("quality", F.lit(1)) == 0), 1).otherwise(0)
+    outcomes = labels.where(known).select(F.col("doc_id").alias("id"), bad.alias("bad"))
+    judged = hosts.judge_pages(table(spark, folder, "pages"), outcomes, _RULES)
+    return judged.select("page_id", "host", "path", "rule", "verdict")
+
+
+@query()
+def op9_document_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    """Closed-syncmer fingerprints of all texts and their edited texts; tests compare with a plain version."""
+    return syncmers.compare_neighbours(table(spark, folder, "documents"))
+
+
+@query()
+def op7_embedding_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Links at cosine 0.93 inside labels; tests compare with all cosines."""
+    return binarycodes.near_vectors(table(spark, folder, "embeddings"), 0.93)
