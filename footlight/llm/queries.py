@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from footlight.llm import binarycodes, hosts, languages, minhash, mixing, pieces, recompression, sharding, syncmers
+from footlight.llm import binarycodes, hosts, languages, minhash, mixing, pieces, recompression, sharding, syncmers, warc
 from footlight.plans.registry import Query, table
 
 QUERIES: dict[str, Query] = {}
@@ -194,3 +194,10 @@ def op9_document_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
 def op7_embedding_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """Links at cosine 0.93 inside labels; tests compare with all cosines."""
     return binarycodes.near_vectors(table(spark, folder, "embeddings"), 0.93)
+
+
+@query()
+def op4_warc_derivatives(spark: SparkSession, folder: str) -> DataFrame:
+    """Metadata and text records of all pages, taken as a crawl's responses; tests compare with a plain version."""
+    responses = warc.response_records(table(spark, folder, "pages"), "page_id", "url", "html", "2024-01-01T00:00:00Z")
+    return warc.derive(responses, ["page_id"])
