@@ -7,8 +7,8 @@
 3. In each bucket every class is compared with the bucket's centre.  Pairs whose signatures agree far too rarely go
    (``MARGIN`` standard deviations below the threshold); the others are confirmed on their full sets.
 4. Buckets that still hold several components are compared in tiles of bounded size: pairs of classes from different
-   components whose signatures agree are confirmed on full sets, too, each pair once.  So a large group is never one
-   task, and no pair is emitted that could not change the result.
+   components whose signatures agree are confirmed on full sets inside the tile, each pair once, until one link joins the
+   two components.  So a large group is never one task, and a tile emits fewer links than it has classes.
 5. Components come from alternating large-star and small-star.
 """
 
@@ -115,26 +115,42 @@ def _agreement(low: float):
     return run
 
 
-def _tile_pairs(low: float, bands: int, rows: int):
-    """Pairs of a tile from different components that agree enough and meet in no earlier band."""
+def _tile_links(low: float, bands: int, rows: int, share: tuple[int, int]):
+    """Confirmed links of a tile between components, as few as connect them; a pair is met in its first band only."""
 
     def run(key, table):
         band, t1, t2 = (key[i].as_py() for i in (1, 2, 3))
-        ids, comp, tile = (table.column(c).to_numpy() for c in ("id", "comp", "tile"))
+        ids, tile, comp = (table.column(c).to_numpy() for c in ("id", "tile", "comp"))
         sig = np.frombuffer(b"".join(table.column("sig").to_pylist()), np.uint16).reshape(len(ids), bands * rows)
+        shingles = table.column("shingles").combine_chunks()
+        at, values = shingles.offsets.to_numpy(), shingles.values.to_numpy().view(np.uint64)
+        sizes = np.diff(at)
+        root = {c: c for c in comp.tolist()}
+
+        def find(c: int) -> int:
+            while root[c] != c:
+                root[c] = c = root[root[c]]
+            return c
+
         left, right = np.flatnonzero(tile == t1), np.flatnonzero(tile == t2)
-        out_a, out_b = [], []
+        links: list[tuple[int, int]] = []
         for i in left:
             others = right[(comp[right] != comp[i]) & ((ids[right] > ids[i]) if t1 == t2 else True)]
+            fit = share[1] * np.minimum(sizes[others], sizes[i]) >= share[0] * np.maximum(sizes[others], sizes[i])
+            others = others[fit]
             same = sig[others] == sig[i]
             likely = same.mean(axis=1) >= low
             others, same = others[likely], same[likely]
             first = same.reshape(len(others), bands, rows).all(axis=2).argmax(axis=1)
-            others = others[first == band]
-            out_a.append(np.minimum(ids[i], ids[others]))
-            out_b.append(np.maximum(ids[i], ids[others]))
-        none = np.zeros(0, np.int64)
-        return pa.table({"a": pa.array(np.concatenate([none, *out_a])), "b": pa.array(np.concatenate([none, *out_b]))})
+            mine = values[at[i] : at[i + 1]]
+            for j in others[first == band]:
+                a, b = find(int(comp[i])), find(int(comp[j]))
+                if a != b:
+                    n = len(np.intersect1d(mine, values[at[j] : at[j + 1]], assume_unique=True))
+                    if share[1] * n >= share[0] * int(sizes[i] + sizes[j] - n):
+                        root[max(a, b)] = min(a, b)
+                        links.append((int(ids[i]), int(ids[j])))
+        return pa.table({"a": pa.array([a for a, _ in links], pa.int64()), "b": pa.array([b for _, b in links], pa.int64())})
 
     return run
 
@@ -213,18 +229,18 @@ def near_duplicates(
         F.min("comp").alias("c1"), F.max("comp").alias("c2"), F.count(F.lit(1)).alias("m")
     )
     mixed = materialise(mixed.where(F.col("c1") != F.col("c2")).drop("c1", "c2"), "mixed_buckets")
-    again = lookup_join(labelled.drop("n"), mixed, ["band", "bucket"], weight="m", how="inner").join(sigs, "id")
+    again = lookup_join(labelled.drop("n"), mixed, ["band", "bucket"], weight="m", how="inner")
     tiles = F.ceil(F.col("m") / F.lit(TILE)).cast("int")
     again = again.withColumn("tiles", tiles).withColumn("tile", F.pmod(F.xxhash64("id"), F.col("tiles")).cast("int"))
+    again = again.join(sigs, "id").join(sets, "id")
     again = again.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
     again = again.withColumns({"t1": F.least("tile", "other"), "t2": F.greatest("tile", "other")})
     more = (
-        again.select("bucket", "band", "t1", "t2", "tile", "id", "comp", "sig")
+        again.select("bucket", "band", "t1", "t2", "tile", "id", "comp", "sig", "shingles")
         .groupBy("bucket", "band", "t1", "t2")
-        .applyInArrow(_tile_pairs(low, bands, rows), "a long, b long")
+        .applyInArrow(_tile_links(low, bands, rows, share), "a long, b long")
     )
-    more = materialise(more.join(likely, ["a", "b"], "left_anti"), "tile_pairs")
-    links = links.unionByName(materialise(_confirmed(more, sets, share), "tile_links"))
+    links = links.unionByName(materialise(more, "tile_links"))
 
     found = materialise(connected_components(links), "components")
     named_classes = classes.join(found.withColumnRenamed("node", "rep"), "rep", "left")
