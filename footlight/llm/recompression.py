@@ -9,18 +9,19 @@ also starts anywhere else goes.  Listing all windows would move the corpus many
    that its borders and its name depend on.  A symbol whose range lies inside a window is the same wherever the window's
    words occur.
 2. **Shared symbols.**  A window is represented by the lowest-named symbol that lies wholly inside it; windows next to
-   each other mostly agree on it.  A window can only repeat if its symbol does, so Spark counts those symbols and windows of
-   unshared ones are done with.  A window without such a symbol (inside a long run) stays.
+   each other mostly agree on it.  A window can only repeat if the words that this symbol depends on do, so Spark counts
+   their names, and windows of unshared ones are done with.  A window without such a symbol (inside a long run) stays.
 3. **Verification.**  The windows left are hashed word by word to 96 bits and counted.  Inside a slice of a task, equal
    windows are settled on the spot and sent once, so a passage that a third of all documents hold is few rows.
 4. The words covered are cut from the texts.
 
+Documents with equal texts are settled before: all their windows repeat, and one of them is looked at for the others' sake.
 Texts cross the network compressed, once to be verified and once to be cut.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -28,6 +29,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from footlight.llm import textops
+from footlight.operators.skew import lookup_join
+from footlight.session import materialise
 
 ROUNDS = 3
 _ASK, _WITNESS, _CERTAIN = 0, 1, 2
@@ -82,7 +85,7 @@ def recompress(h: np.ndarray, row: np.ndarray, rounds: int = ROUNDS) -> tuple[np
 
 
 def _representatives(h: np.ndarray, row: np.ndarray, window: int, rounds: int):
-    """First words of all windows, and the index and the names of the symbols that stand for them (-1: none)."""
+    """First words of all windows, the symbol that stands for each (-1: none), and the names of the symbols in use."""
     name, low, high = recompress(h, row, rounds)
     first = np.flatnonzero(row[: len(row) - window + 1] == row[window - 1 :]) if len(row) >= window else np.zeros(0, np.int64)
     chosen = np.full(len(first), -1)
@@ -104,7 +107,11 @@ def _representatives(h: np.ndarray, row: np.ndarray, window: int, rounds: int):
     table = np.stack(tables)
     best = np.minimum(table[level, i], table[level, j - (1 << level)])
     chosen[some] = (best & ((np.uint64(1) << bits) - np.uint64(1))).astype(np.int64)
-    return first, chosen, name
+    # What stands for a window is named by all words that its symbol depends on; they lie inside the window, too.
+    full = np.zeros(len(name), np.uint64)
+    used = np.unique(chosen[some])
+    full[used] = textops.rolling(h, low[used], high[used] - low[used])
+    return first, chosen, full
 
 
 def _split(name: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -116,9 +123,11 @@ def _split(name: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return again, again & lead
 
 
-def _batch(part: pa.RecordBatch, row: np.ndarray, *columns: np.ndarray, names: list[str]) -> pa.RecordBatch:
+def _batch(part: pa.RecordBatch, row: np.ndarray, name: np.ndarray, check: np.ndarray, kind: np.ndarray, s0: np.ndarray) -> pa.RecordBatch:
+    """Rows to be counted.  Few and narrow columns, as these rows are most of what is shuffled."""
+    mark = (check.astype(np.int64) << 32) | (kind.astype(np.int64) << 30) | s0
     keys = part.select(["id", "tk"]).take(pa.array(row))
-    return pa.RecordBatch.from_arrays([*keys.columns, *[pa.array(c) for c in columns]], ["id", "tk", *names])
+    return pa.RecordBatch.from_arrays([*keys.columns, pa.array(name.view(np.int64)), pa.array(mark)], ["id", "tk", "name", "mark"])
 
 
 def _starts_of(row: np.ndarray, n: int) -> np.ndarray:
@@ -148,35 +157,28 @@ def _symbols(window: int, rounds: int):
                 lead = np.flatnonzero(lead & ~bare)
                 base = _starts_of(row, part.num_rows)[row[s0]]
                 pick = np.concatenate([np.arange(len(s0)), lead])
-                kind = np.concatenate([kind, np.full(len(lead), _WITNESS)]).astype(np.int8)
+                kind = np.concatenate([kind, np.full(len(lead), _WITNESS)])
                 # Settled rows need no company: they are spread by a name of their own.
                 names = np.where(kind == _CERTAIN, textops.mix(names[pick] + s0[pick].astype(np.uint64)), names[pick])
-                yield _batch(
-                    part,
-                    row[s0][pick],
-                    names.view(np.int64),
-                    kind,
-                    (s0 - base)[pick].astype(np.int32),
-                    (s1 - base)[pick].astype(np.int32),
-                    names=["name", "kind", "s0", "s1"],
-                )
+                yield _batch(part, row[s0][pick], names, (s1 - s0)[pick], kind, (s0 - base)[pick])
 
     return run
 
 
 def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    codec = pa.Codec("zstd", 1)
+    codec = pa.Codec("zstd", 5)
     for batch in batches:
         texts = batch.column("text").to_pylist()
         raw = [None if t is None else t.encode() for t in texts]
         blobs = pa.array([None if r is None else codec.compress(r, asbytes=True) for r in raw], pa.binary())
         sizes = pa.array([None if r is None else len(r) for r in raw], pa.int64())
-        yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("tk"), sizes, blobs], ["id", "tk", "size", "blob"])
+        names = [c for c in batch.schema.names if c != "text"]
+        yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in names], sizes, blobs], [*names, "size", "blob"])
 
 
 def _unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Slices of packed rows with their texts; no more than one slice is unpacked at a time."""
-    codec = pa.Codec("zstd", 1)
+    codec = pa.Codec("zstd")
     for batch in batches:
         sizes = batch.column("size").fill_null(0).to_numpy(zero_copy_only=False)
         ends, first, total = np.cumsum(sizes), 0, 0
@@ -218,26 +220,26 @@ def _windows(window: int):
                 continue
             h = textops.hash_spans(data, starts, ends)
             h1 = textops.rolling(h, first, window)
-            h2 = (textops.rolling(textops.mix(h + np.uint64(77)), first, window) >> np.uint64(32)).astype(np.uint32)
+            h2 = (textops.rolling(textops.mix(h + np.uint64(77)), first, window) >> np.uint64(33)).astype(np.int64)
             again, lead = _split(h1)
+            # Copies of a whole text are settled already: they only bear witness.
+            whole = part.column("whole").to_numpy(zero_copy_only=False)[row[first]]
             ask, lead = np.flatnonzero(~again), np.flatnonzero(lead)
-            settled = first[again]
+            settled = first[again & ~whole]
             new = np.ones(len(settled), bool)
             new[1:] = (settled[1:] != settled[:-1] + 1) | (row[settled[1:]] != row[settled[:-1]])
             x, y = _group(new)
             c0, c1 = settled[x], settled[np.maximum(y, 1) - 1] if len(x) else settled
             spread = textops.mix(c0.astype(np.uint64) + np.uint64(1))
-            s0, s1 = np.concatenate([first[ask], first[lead], c0]), np.concatenate([first[ask], first[lead], c1])
-            kind = np.repeat([_ASK, _WITNESS, _CERTAIN], [len(ask), len(lead), len(c0)]).astype(np.int8)
+            s0 = np.concatenate([first[ask], first[lead], c0])
+            kind = np.concatenate([np.where(whole[ask], _WITNESS, _ASK), np.repeat([_WITNESS, _CERTAIN], [len(lead), len(c0)])])
             yield _batch(
                 part,
                 row[s0],
-                np.concatenate([h1[ask], h1[lead], spread]).view(np.int64),
-                np.concatenate([h2[ask], h2[lead], np.zeros(len(c0), np.uint32)]).view(np.int32),
+                np.concatenate([h1[ask], h1[lead], spread]),
+                np.concatenate([h2[ask], h2[lead], c1 - c0]),
                 kind,
-                (s0 - base[row[s0]]).astype(np.int32),
-                (s1 - base[row[s0]]).astype(np.int32),
-                names=["name", "check", "kind", "s0", "s1"],
+                s0 - base[row[s0]],
             )
 
     return run
@@ -251,6 +253,8 @@ def _cut(window: int):
             n = part.num_rows
             a, b = _ranges(part, "ranges", _starts_of(row, n))
             gone = _covered(a, b + window, len(row))
+            long = np.bincount(row, minlength=n) >= window
+            gone |= (part.column("whole").to_numpy(zero_copy_only=False) & long)[row]
             # A word goes with the white space behind it.
             keep = ~_covered(starts[gone], np.append(np.minimum(starts[1:], offsets[row[:-1] + 1]), offsets[-1:])[gone], len(data))
             sizes = np.diff(np.concatenate([[0], np.cumsum(keep)])[offsets])
@@ -261,51 +265,77 @@ def _cut(window: int):
             yield pa.RecordBatch.from_arrays(
                 [
                     part.column("id"),
-                    part.column("tk"),
+                    part.column("rest"),
                     pa.array(np.bincount(row, minlength=n)),
                     pa.array(np.bincount(row[gone], minlength=n)),
                     pa.array(texts, pa.binary()).cast(pa.string()),
                 ],
-                ["id", "tk", "n_words", "n_removed", "kept"],
+                ["id", "rest", "n_words", "n_removed", "kept"],
             )
 
     return run
 
 
-def _repeated(rows: DataFrame, keys: list[str]) -> DataFrame:
-    """Per document its ranges that are settled or whose key has another row; at most one row of a key from a slice."""
-    company = F.count(F.when(F.col("kind") != _CERTAIN, 1)).over(Window.partitionBy(*keys))
-    found = rows.withColumn("n", company)
-    found = found.where((F.col("kind") == _CERTAIN) | ((F.col("kind") == _ASK) & (F.col("n") > 1)))
-    return found.groupBy("id", "tk").agg(F.collect_list(F.struct("s0", "s1")).alias("ranges"))
+def _repeated(rows: DataFrame, exact: bool) -> DataFrame:
+    """Per document its ranges that are settled or whose key has another row; at most one row of a key from a slice.
+
+    ``exact`` keys hold the second hash; in the rows of symbols, and in settled rows, its place holds the length instead.
+    """
+    kind = F.shiftright("mark", 30).bitwiseAND(3)
+    high = F.shiftright("mark", 32)
+    company = F.count(F.when(kind != _CERTAIN, 1)).over(Window.partitionBy("name", *([high] if exact else [])))
+    found = rows.withColumn("n", company).where((kind == _CERTAIN) | ((kind == _ASK) & (F.col("n") > 1)))
+    length = F.when(kind == _CERTAIN, high).otherwise(0) if exact else high
+    s0 = F.col("mark").bitwiseAND((1 << 30) - 1)
+    both = F.struct(s0.cast("int").alias("s0"), (s0 + length).cast("int").alias("s1"))
+    return found.groupBy("id", "tk").agg(F.collect_list(both).alias("ranges"))
 
 
 def remove_repeats(
-    docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", window: int = 35, rounds: int = ROUNDS
+    docs: DataFrame,
+    id_column: str = "doc_id",
+    text_column: str = "text",
+    window: int = 35,
+    rounds: int = ROUNDS,
+    keep: Sequence[str] = (),
 ) -> DataFrame:
-    """(<id>, n_words, n_removed, kept): each document without the words of windows that also start elsewhere.
+    """(<id>, <keep>, n_words, n_removed, kept): each document without the words of windows that also start elsewhere.
 
     One row per row of ``docs``; ``kept`` is the text that remains, with its own white space; all copies of a passage go.
     Null texts have no words and stay null; texts shorter than the window stay as they are.  Rows that repeat an id are
-    documents like any other: equal rows lose all their windows.  Ids may be null.  Other columns are not read.
+    documents like any other: equal rows lose all their windows.  Ids may be null.  Other columns than ``keep`` are not read.
     """
     if window < 2:
         raise ValueError("a window has two words at least")
     kind = docs.schema[id_column].dataType.simpleString()
     text = F.col(text_column).cast("string")
-    keyed = docs.select(F.col(id_column).alias("id"), F.xxhash64(text).alias("tk"), text.alias("text"))
-    symbols = keyed.mapInArrow(_symbols(window, rounds), f"id {kind}, tk long, name long, kind byte, s0 int, s1 int")
-    packed = keyed.mapInArrow(_pack, f"id {kind}, tk long, size long, blob binary")
+    named = docs.select(
+        F.col(id_column).alias("id"),
+        F.xxhash64(text).alias("tk"),
+        F.xxhash64(F.lit(7), text).alias("tk2"),
+        text.alias("text"),
+        F.struct(F.lit(0).alias("_"), *keep).alias("rest"),
+    )
+    # All windows of equal texts repeat: one of the texts bears witness for all.
+    copies = named.where(text.isNotNull()).groupBy("tk", "tk2").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("lead"))
+    copies = materialise(copies.where(F.col("n") > 1), "copies")
+    keyed = lookup_join(named, copies, ["tk", "tk2"], weight="n").withColumn("whole", F.col("n").isNotNull())
+    asked = keyed.where(~F.col("whole") | F.col("id").eqNullSafe(F.col("lead"))).select("id", "tk", "text")
+    rows = f"id {kind}, tk long, name long, mark long"
+    symbols = asked.mapInArrow(_symbols(window, rounds), rows)
+    rest = named.schema["rest"].dataType.simpleString()
+    packed = keyed.select("id", "tk", "whole", "rest", "text").mapInArrow(
+        _pack, f"id {kind}, tk long, whole boolean, rest {rest}, size long, blob binary"
+    )
 
     def with_ranges(ranges: DataFrame, how: str) -> DataFrame:
         other = ranges.select(F.col("id").alias("_id"), F.col("tk").alias("_tk"), "ranges")
         met = F.col("id").eqNullSafe(F.col("_id")) & (F.col("tk") == F.col("_tk"))
         return packed.join(other, met, how).drop("_id", "_tk")
 
-    windows = with_ranges(_repeated(symbols, ["name"]), "inner").mapInArrow(
-        _windows(window), f"id {kind}, tk long, name long, check int, kind byte, s0 int, s1 int"
-    )
-    cut = with_ranges(_repeated(windows, ["name", "check"]), "left").mapInArrow(
-        _cut(window), f"id {kind}, tk long, n_words long, n_removed long, kept string"
+    windows = with_ranges(_repeated(symbols, False), "inner").mapInArrow(_windows(window), rows)
+    cut = with_ranges(_repeated(windows, True), "left").mapInArrow(
+        _cut(window), f"id {kind}, rest {rest}, n_words long, n_removed long, kept string"
     )
-    return cut.drop("tk").withColumnRenamed("id", id_column)
+    kept = [F.col("rest")[c].alias(c) for c in keep]
+    return cut.select(F.col("id").alias(id_column), *kept, "n_words", "n_removed", "kept")

@@ -122,8 +122,8 @@ def lists(values: np.ndarray, counts: np.ndarray, kind: pa.DataType) -> pa.Array
     return pa.ListArray.from_arrays(pa.array(at), pa.array(values, kind))
 
 
-def rolling(h: np.ndarray, first: np.ndarray, k: int) -> np.ndarray:
-    """Hash of the ``k`` symbols that begin at each of ``first``, by prefix sums."""
+def rolling(h: np.ndarray, first: np.ndarray, k: int | np.ndarray) -> np.ndarray:
+    """Hash of the ``k`` symbols that begin at each of ``first``, by prefix sums (``k`` may differ from place to place)."""
     power, inverse = _powers(1 << max(len(h).bit_length(), 16))
     sums = np.zeros(len(h) + 1, np.uint64)
     np.cumsum(h * power[: len(h)], dtype=np.uint64, out=sums[1:])
