@@ -130,7 +130,7 @@ def mix(
     for i in range(most):
         begin = F.col("start") + F.lit(i) * F.col("words")
         n = F.greatest(F.least(F.col("size"), quota - begin), F.lit(0))
-        passes.append(F.struct(_position(begin / quota, segments).alias("position"), n.alias("words")))
+        passes.append(F.struct(_position(F.least(begin / F.greatest(quota, F.lit(1)), F.lit(1.0)), segments).alias("position"), n.alias("words")))
     rows = rows.withColumn("passes", F.filter(F.array(*passes), lambda p: p["words"] > 0))
     taken = F.aggregate("passes", F.lit(0).cast("long"), lambda a, p: a + p["words"])
     return rows.select(
