@@ -12,7 +12,7 @@ Forward states depend on the model's kind:
   would give other ids than the model's.  A piece may follow another just when merging the two together gives these two
   again (kept per pair); the state is the one last piece whose predecessor, at the prefix before it, may be followed by it.
 
-Ids equal those of the SentencePiece library for both kinds.  The model file is a parameter.
+Ids equal those of the SentencePiece library (unigram: up to segmentations of equal score).  The model file is a parameter.
 """
 
 from __future__ import annotations

@@ -103,7 +103,7 @@ def op2_source_mixing(spark: SparkSession, folder: str) -> DataFrame:
 # All columns of op3 but the checksum, which SQL has no function for; tests compare with it.
 SHARD_SQL = r"""
     WITH r AS (
-        SELECT doc_id, coalesce(octet_length(text::BLOB), 0) + 1 AS size, coalesce(md5(text), '') AS key, md5(doc_id::VARCHAR) AS place
+        SELECT doc_id, coalesce(strlen(text), 0) + 1 AS size, coalesce(md5(text), '') AS key, md5(doc_id::VARCHAR) AS place
         FROM documents
     ), g AS (
         SELECT *, sum(size) OVER (ORDER BY key, place, doc_id ROWS UNBOUNDED PRECEDING) AS end_, sum(size) OVER () AS total,
