@@ -40,7 +40,7 @@ def fit_vocabulary(df: DataFrame, column: str, min_frequency: int = 0) -> DataFr
 
 def _entries(vocabulary: DataFrame, column: str) -> DataFrame:
     own = vocabulary.where(F.col("column") == column)
-    return own.select(F.col("value").alias(column), F.col("code").alias("_code"), F.col("n").alias("_rows"))
+    return own.select(F.col("value").alias(column), F.col("code").alias("_code"), *([F.col("n").alias("_rows")] if "n" in own.columns else []))
 
 
 def apply_vocabulary(df: DataFrame, column: str, vocabulary: DataFrame) -> DataFrame:
@@ -84,7 +84,10 @@ def apply_category_map(df: DataFrame, columns: list[str], mapping: DataFrame, fi
     """Add ``<column>_code`` from a saved (column, value, code) map; a value outside the map has a null code."""
     out = df
     for c in columns:
-        entries = materialise(_entries(mapping, c), "category_map")
         filled = out.withColumn(c, F.coalesce(F.col(c), F.lit(fill)))
+        entries = _entries(mapping.drop("n"), c)
+        # Hot keys are those of the table to be coded, not of the one that the map was fitted on.
+        seen = value_counts(filled, c).select(F.col("value").alias(c), F.col("n").alias("_rows"))
+        entries = materialise(entries.join(seen, c), "category_map")
         out = lookup_join(filled, entries, [c], weight="_rows").drop("_rows").withColumnRenamed("_code", f"{c}_code")
     return out

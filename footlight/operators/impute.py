@@ -32,17 +32,26 @@ IGNORED = ["tconst", "label", "synthetic_index", "syntheticIndex"]
 MIN_TRAINING_ROWS = 50
 MAX_CLASSES = 1000
 HASH_FEATURES = 256
-HIDDEN = [64, 32]
 FILL_TEXT = "Unknown"
 # ----------------------------------------------------------------------------
 
 
 @dataclass(frozen=True)
 class Settings:
+    """``hidden`` is the width of a perceptron's first layer (the second has half); trees are as deep as its halvings allow.
+
+    ``learning_rate`` is that of the trees, which predict numbers: the perceptron's solver finds its own steps.  Spark takes
+    whole tables per step, so a batch size would have no effect and is no setting.
+    """
+
     epochs: int = 5
-    batch_size: int = 128
+    hidden: int = 64
     learning_rate: float = 0.001
 
+    @property
+    def depth(self) -> int:
+        return max(1, self.hidden.bit_length() - 2)
+
 
 def null_profile(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """(column, n, n_known, state): state is 'dense', 'hollow' or 'partial'; one aggregation."""
@@ -137,33 +146,49 @@ def feature_stages(df: DataFrame, inputs: list[str], text: list[str]) -> tuple[D
     return prepared, stages
 
 
+def imputation_branch(
+    df: DataFrame, target: str, min_training_rows: int = MIN_TRAINING_ROWS, max_classes: int = MAX_CLASSES
+) -> str:
+    """What ``impute_column`` does with a column: 'dense', 'hollow', 'fallback', 'unknown' or 'model'."""
+    state, known = null_profile(df, [target]).select("state", "n_known").first()
+    if state != "partial":
+        return state
+    if known < min_training_rows:
+        return "fallback"
+    is_text = isinstance(df.schema[target].dataType, T.StringType)
+    return "unknown" if is_text and too_many_classes(df, target, max_classes) else "model"
+
+
 def impute_column(
-    df: DataFrame, target: str, settings: Settings = Settings(), text: list[str] | None = None, ignored: list[str] | None = None
+    df: DataFrame,
+    target: str,
+    settings: Settings = Settings(),
+    text: list[str] | None = None,
+    ignored: list[str] | None = None,
+    min_training_rows: int = MIN_TRAINING_ROWS,
+    max_classes: int = MAX_CLASSES,
 ) -> DataFrame:
     """Predict the nulls of ``target`` from the other columns; known values and all other columns stay as they are.
 
     Numbers use boosted regression trees (Spark has no perceptron regressor), text classes a perceptron.  A fully
-    known or fully null target is left alone; fewer than 50 known rows fall back to mode or median, more than 1000
-    classes to 'Unknown'.
+    known or fully null target is left alone; fewer than ``min_training_rows`` known rows fall back to mode or median,
+    more than ``max_classes`` classes to 'Unknown' (``imputation_branch`` tells which of these applies).
     """
     text = TEXT if text is None else text
     ignored = IGNORED if ignored is None else ignored
     inputs = [c for c in df.columns if c != target and c not in ignored]
     known = df.where(F.col(target).isNotNull())
-    counts = df.agg(
-        F.count(F.lit(1)).alias("_all"),
-        F.count(target).alias("_known"),
-        *[F.count(F.when(F.col(target).isNotNull(), F.col(c))).alias(c) for c in inputs],
-    ).first()
-    if counts["_known"] in (0, counts["_all"]):
-        return df
+    branch = imputation_branch(df, target, min_training_rows, max_classes)
     kind = df.schema[target].dataType
     is_text = isinstance(kind, T.StringType)
-    if counts["_known"] < MIN_TRAINING_ROWS:
+    if branch in ("dense", "hollow"):
+        return df
+    if branch == "fallback":
         return fill_fallback(df, target).withColumn(target, F.col(target).cast(kind)).select(*df.columns)
-    if is_text and too_many_classes(df, target):
-        return fill_high_cardinality(df, target)
+    if branch == "unknown":
+        return fill_high_cardinality(df, target, max_classes)
 
+    counts = df.agg(F.count(F.lit(1)), *[F.count(F.when(F.col(target).isNotNull(), F.col(c))).alias(c) for c in inputs]).first()
     inputs = [c for c in inputs if counts[c]]
     prepared, stages = feature_stages(df, inputs, text)
     training = prepared.where(F.col(target).isNotNull())
@@ -174,10 +199,8 @@ def impute_column(
         encoded = features.transform(training)
         width = len(encoded.select("_features").first()[0])
         network = MultilayerPerceptronClassifier(
-            layers=[width, *HIDDEN, len(classes)],
+            layers=[width, settings.hidden, max(settings.hidden // 2, 1), len(classes)],
             maxIter=settings.epochs * 10,
-            blockSize=settings.batch_size,
-            stepSize=settings.learning_rate,
             featuresCol="_features",
             labelCol="_class",
             predictionCol="_prediction",
@@ -195,8 +218,8 @@ def impute_column(
             labelCol="_target",
             predictionCol="_value",
             maxIter=settings.epochs,
-            stepSize=max(settings.learning_rate, 0.1),
-            maxDepth=5,
+            stepSize=settings.learning_rate,
+            maxDepth=settings.depth,
             seed=42,
         )
         training = training.withColumn("_target", F.col(target).cast("double"))

@@ -28,20 +28,28 @@ BOUNDS = {
     "max_depth": (3, 10),
     "learning_rate": (0.01, 0.3),
     "n_estimators": (50, 600),
-    "reg_alpha": (0, 40),
-    "reg_lambda": (0, 40),
 }
 TRIALS = 25
+TRIAL_SCHEMA = (
+    "trial int, n_estimators int, learning_rate double, max_depth int, min_info_gain double, min_instances int, "
+    "subsample double, auc_mean_fold double"
+)
 FOLDS = 3
 HOLDOUT = 0.15
 TOP_FEATURES = 15
 FILL_TEXT = "Unknown"
 # ----------------------------------------------------------------------------
 
-try:  # The distributed estimator with L1 / L2 penalties, where it is installed.
-    from xgboost.spark import SparkXGBClassifier
-except ImportError:
-    SparkXGBClassifier = None
+# What else is searched: the ways in which Spark's trees are held back, under their own names.
+BOUNDS |= {"min_info_gain": (0.0, 0.01), "min_instances": (1, 20), "subsample": (0.5, 1.0)}
+PARAMETERS = {
+    "n_estimators": "maxIter",
+    "learning_rate": "stepSize",
+    "max_depth": "maxDepth",
+    "min_info_gain": "minInfoGain",
+    "min_instances": "minInstancesPerNode",
+    "subsample": "subsamplingRate",
+}
 
 
 def feature_columns(df: DataFrame, label: str = "label", dropped: list[str] | None = None) -> tuple[list[str], list[str]]:
@@ -112,23 +120,9 @@ def prepare(df: DataFrame, label: str = "label", key: str = "tconst", dropped: l
 
 
 def classifier(params: dict, widest: int = 0, early_stopping: bool = True):
-    """Boosted-tree estimator for one parameter set.
-
-    Spark's trees take depth, rate and tree count; the L1 / L2 penalties apply where the distributed estimator
-    that has them is installed.
-    """
-    if SparkXGBClassifier is not None:
-        stopping = {"validation_indicator_col": "is_holdout", "early_stopping_rounds": 20} if early_stopping else {}
-        return SparkXGBClassifier(features_col="features", label_col="label", **params, **stopping)
-    trees = GBTClassifier(
-        featuresCol="features",
-        labelCol="label",
-        maxDepth=params["max_depth"],
-        stepSize=params["learning_rate"],
-        maxIter=params["n_estimators"],
-        maxBins=max(32, widest),
-        seed=42,
-    )
+    """Boosted-tree estimator for one parameter set; absent parameters keep Spark's defaults."""
+    own = {PARAMETERS[k]: v for k, v in params.items()}
+    trees = GBTClassifier(featuresCol="features", labelCol="label", maxBins=max(32, widest), seed=42, **own)
     return trees.setValidationIndicatorCol("is_holdout") if early_stopping else trees
 
 
@@ -144,8 +138,9 @@ def sample_trials(n: int = TRIALS, seed: int = 42, bounds: dict | None = None) -
                 "n_estimators": draw.randint(*bounds["n_estimators"]),
                 "learning_rate": math.exp(draw.uniform(math.log(low), math.log(high))),
                 "max_depth": draw.randint(*bounds["max_depth"]),
-                "reg_alpha": draw.uniform(*bounds["reg_alpha"]),
-                "reg_lambda": draw.uniform(*bounds["reg_lambda"]),
+                "min_info_gain": draw.uniform(*bounds["min_info_gain"]),
+                "min_instances": draw.randint(*bounds["min_instances"]),
+                "subsample": draw.uniform(*bounds["subsample"]),
             }
         )
     return trials
@@ -154,28 +149,18 @@ def sample_trials(n: int = TRIALS, seed: int = 42, bounds: dict | None = None) -
 def cross_validate(training: DataFrame, trials: list[dict], widest: int = 0, parallelism: int = 2) -> DataFrame:
     """(trial, <parameters>, auc_mean_fold) per parameter set, folds taken from the table's fold column."""
     estimator = classifier(trials[0], widest)
-    own_names = {"max_depth": "maxDepth", "learning_rate": "stepSize", "n_estimators": "maxIter"}
-    if SparkXGBClassifier is not None:
-        own_names = {name: name for name in trials[0]}
     evaluator = BinaryClassificationEvaluator(labelCol="label", metricName="areaUnderROC")
     fitted = CrossValidator(
         estimator=estimator,
-        estimatorParamMaps=[{estimator.getParam(p): t[name] for name, p in own_names.items()} for t in trials],
+        estimatorParamMaps=[{estimator.getParam(p): t[name] for name, p in PARAMETERS.items() if name in t} for t in trials],
         evaluator=evaluator,
         numFolds=FOLDS,
         foldCol="fold",
         parallelism=parallelism,
         seed=42,
     ).fit(training)
-    rows = [
-        (i, t["n_estimators"], t["learning_rate"], t["max_depth"], float(t["reg_alpha"]), float(t["reg_lambda"]), float(m))
-        for i, (t, m) in enumerate(zip(trials, fitted.avgMetrics))
-    ]
-    schema = (
-        "trial int, n_estimators int, learning_rate double, max_depth int, reg_alpha double, reg_lambda double, "
-        "auc_mean_fold double"
-    )
-    return training.sparkSession.createDataFrame(rows, schema)
+    rows = [(i, *[t.get(name) for name in PARAMETERS], float(m)) for i, (t, m) in enumerate(zip(trials, fitted.avgMetrics))]
+    return training.sparkSession.createDataFrame(rows, TRIAL_SCHEMA)
 
 
 def best_trial(trials: DataFrame, metric: str = "auc_mean_fold") -> DataFrame:

@@ -44,7 +44,7 @@ def grid_search(
     bounds: dict | None = None,
     impute_options: dict | None = None,
 ) -> DataFrame:
-    """(epochs, batch_size, learning_rate_imputer, trial, <parameters>, auc_mean_fold) over imputer settings.
+    """(epochs, hidden, imputer_rate, trial, <parameters>, auc_mean_fold) over imputer settings.
 
     The settings are a short list; every point is a sequence of distributed jobs over the whole table.
     """
@@ -54,7 +54,7 @@ def grid_search(
         filled = impute.impute_chain(df, targets, settings, **(impute_options or {}))
         point = search(filled, key, trials, bounds).select(
             F.lit(settings.epochs).alias("epochs"),
-            F.lit(settings.batch_size).alias("batch_size"),
+            F.lit(settings.hidden).alias("hidden"),
             F.lit(settings.learning_rate).alias("imputer_rate"),
             "*",
         )
@@ -83,13 +83,13 @@ def run_experiments(
     else:
         trials_table = search(features, key, trials, bounds).select(
             F.lit(NO_IMPUTATION.epochs).alias("epochs"),
-            F.lit(NO_IMPUTATION.batch_size).alias("batch_size"),
+            F.lit(NO_IMPUTATION.hidden).alias("hidden"),
             F.lit(NO_IMPUTATION.learning_rate).alias("imputer_rate"),
             "*",
         )
     winner = learn.best_trial(trials_table).first().asDict()
-    settings = impute.Settings(winner["epochs"], winner["batch_size"], winner["imputer_rate"])
-    params = {k: winner[k] for k in ("n_estimators", "learning_rate", "max_depth", "reg_alpha", "reg_lambda")}
+    settings = impute.Settings(winner["epochs"], winner["hidden"], winner["imputer_rate"])
+    params = {k: winner[k] for k in learn.PARAMETERS if winner[k] is not None}
 
     filled = impute.impute_chain(features, settings=settings, **(impute_options or {})) if imputation else features
     training, pipeline = learn.prepare(filled, key=key)

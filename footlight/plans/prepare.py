@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from footlight.operators import enrich, graph, outliers
+from footlight.session import materialise
 from footlight.sources import sinks, tables
 
 
@@ -17,9 +18,11 @@ def ingest(
     spark: SparkSession, titles: str, out_dir: str, directing: str | None = None, writing: str | None = None
 ) -> None:
     """Read the CSV shards, clamp outliers of whole-number columns, convert the crew relations."""
-    raw = tables.repair_titles(tables.typing_sample(spark, titles)).drop(tables.INDEX_COLUMN)
+    raw = tables.repair_titles(tables.read_raw_csv(spark, titles)).drop(tables.INDEX_COLUMN)
     classes = {**tables.infer_classes(raw), **({"label": "int"} if "label" in raw.columns else {})}
-    cleaned = tables.read_titles(spark, titles, "titles", classes)
+    sinks.write_table(tables.lost_cells(raw, classes), f"{out_dir}/lost_cells")
+    # The files are parsed once more for this, and the limits are fitted on the typed columns.
+    cleaned = materialise(tables.read_titles(spark, titles, "titles", classes), "typed_titles")
     bounds = outliers.fit_bounds(cleaned, multiplier=outliers.PIPELINE_MULTIPLIER)
     sinks.write_table(outliers.clamp(cleaned, bounds), f"{out_dir}/cleaned")
     sinks.write_table(spark.createDataFrame(list(classes.items()), "column string, kind string"), f"{out_dir}/column_classes")

@@ -12,13 +12,13 @@ from footlight.plans.dirt import dirty
 from footlight.plans.registry import query, table
 
 # One modest parameter set, and a two-trial search space, so that a query ends in seconds on a small table.
-PARAMS = {"n_estimators": 8, "learning_rate": 0.2, "max_depth": 3, "reg_alpha": 0.0, "reg_lambda": 1.0}
+PARAMS = {"n_estimators": 8, "learning_rate": 0.2, "max_depth": 3}
 SEARCH = {**learn.BOUNDS, "n_estimators": (4, 8), "max_depth": (3, 4)}
 SETTINGS = impute.Settings(epochs=5)
 
 
-def labelled_documents(spark: SparkSession, sf: str) -> DataFrame:
-    documents = table(spark, sf, "documents").select(
+def document_features(spark: SparkSession, sf: str) -> DataFrame:
+    return table(spark, sf, "documents").select(
         "doc_id",
         "lang",
         "source",
@@ -28,8 +28,11 @@ def labelled_documents(spark: SparkSession, sf: str) -> DataFrame:
         F.length(F.regexp_replace("text", r"[^.!?]", "")).alias("n_stops"),
         F.size(F.split("text", "\n")).alias("n_lines"),
     )
+
+
+def labelled_documents(spark: SparkSession, sf: str) -> DataFrame:
     labels = table(spark, sf, "labels").select("doc_id", F.col("quality").alias("label"))
-    return documents.join(labels, "doc_id")
+    return document_features(spark, sf).join(labels, "doc_id")
 
 
 def _training(spark: SparkSession, sf: str):
@@ -118,8 +121,7 @@ def top_k_importance(spark: SparkSession, sf: str) -> DataFrame:
 def score_batch(spark: SparkSession, sf: str) -> DataFrame:
     training, model = _training(spark, sf)
     scoring, _ = learn.fit_final(training, model, PARAMS)
-    everything = table(spark, sf, "documents").select("doc_id", "lang", "source", "n_chars")
-    return learn.score(scoring, everything, "doc_id")
+    return learn.score(scoring, document_features(spark, sf), "doc_id")
 
 
 @query()
@@ -135,7 +137,7 @@ def experiment_grid(spark: SparkSession, sf: str) -> DataFrame:
     documents = labelled_documents(spark, sf).withColumn(
         "n_words", F.when(F.col("doc_id") % 7 != 0, F.col("n_words"))
     )
-    grid = [impute.Settings(epochs=e, batch_size=64, learning_rate=1e-3) for e in (2, 4)]
+    grid = [impute.Settings(epochs=e, learning_rate=1e-3) for e in (2, 4)]
     return experiments.grid_search(
         documents, grid, ["n_words"], key="doc_id", trials=1, bounds=SEARCH, impute_options={"text": [], "ignored": ["doc_id", "label"]}
     )

@@ -6,10 +6,10 @@ import pytest
 from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
-from footlight.operators import impute, learn
+from footlight.operators import categorical, impute, learn
 from footlight.plans import experiments, inference, prepare
 
-PARAMS = {"n_estimators": 4, "learning_rate": 0.2, "max_depth": 3, "reg_alpha": 0.0, "reg_lambda": 1.0}
+PARAMS = {"n_estimators": 4, "learning_rate": 0.2, "max_depth": 3}
 BOUNDS = {**learn.BOUNDS, "n_estimators": (3, 4), "max_depth": (3, 3)}
 
 
@@ -113,6 +113,60 @@ def test_text_features_are_hashed(spark, gaps):
     assert out.where("letter is null").count() == 48  # inputs are not changed
 
 
+@pytest.mark.parametrize("target", ["number", "letter"])
+def test_every_setting_acts(spark, gaps, target):
+    """Changing any one setting changes what is predicted, and none has a floor; the rate is that of the trees alone."""
+    noisy = gaps.withColumn("number", F.when(F.col("number").isNotNull(), F.col("number") + F.col("id") % 7)).drop("clue")
+    noisy = noisy.withColumn("other", (F.col("id") * 37 % 11).cast("double"))
+    chance = F.element_at(F.array(F.lit("a"), F.lit("b"), F.lit("c")), (F.xxhash64("id") % 3 + 3).cast("int") % 3 + 1)
+    noisy = noisy.withColumn("letter", F.when(F.col("letter").isNotNull(), chance))
+    kind = int if target == "number" else str
+
+    def outcome(**changed):
+        settings = impute.Settings(**{"epochs": 2, "hidden": 8, "learning_rate": 0.05, **changed})
+        out = impute.impute_column(noisy, target, settings, ignored=["id"])
+        return [kind(r[0]) for r in out.orderBy("id").select(target).collect()]
+
+    base = outcome()
+    assert outcome() == base
+    assert outcome(hidden=64) != base and outcome(epochs=9) != base
+    assert (outcome(learning_rate=0.001) != base) == (target == "number")
+
+
+def test_branch_is_told_and_its_limits_are_arguments(spark, gaps):
+    assert impute.imputation_branch(gaps, "clue") == "dense" and impute.imputation_branch(gaps, "hollow") == "hollow"
+    assert impute.imputation_branch(gaps, "letter") == "model"
+    assert impute.imputation_branch(gaps, "letter", min_training_rows=10_000) == "fallback"
+    assert impute.imputation_branch(gaps, "letter", max_classes=2) == "unknown"
+    out = impute.impute_column(gaps, "letter", ignored=["id"], max_classes=2)
+    assert set(filled(gaps, out, "letter").values()) == {"Unknown"}
+
+
+def test_only_applied_parameters_are_searched(spark, examples):
+    trials = learn.sample_trials(4)
+    assert all(set(t) == set(learn.PARAMETERS) for t in trials)
+    base = {"n_estimators": 2, "learning_rate": 0.2, "max_depth": 3, "min_info_gain": 0.0, "min_instances": 1, "subsample": 1.0}
+    training, model = learn.prepare(examples)
+
+    def scores(**changed):
+        oof = learn.out_of_fold(training, {**base, **changed}, widest=learn.widest_category(model))
+        return [r[0] for r in oof.orderBy("tconst").select("predicted_prob").collect()]
+
+    first = scores()
+    for change in ({"min_info_gain": 0.2}, {"min_instances": 60}, {"subsample": 0.5}, {"max_depth": 1}, {"n_estimators": 4}, {"learning_rate": 0.9, "n_estimators": 3}):
+        assert scores(**change) != first, change
+    table = learn.cross_validate(training, [base], learn.widest_category(model))
+    assert set(table.columns) == {"trial", *learn.PARAMETERS, "auc_mean_fold"}
+
+
+def test_saved_category_map_is_applied(spark, examples):
+    training, model = learn.prepare(examples)
+    mapping = learn.category_map(model, examples)
+    coded = categorical.apply_category_map(examples.select("tconst", "kind"), ["kind"], mapping).collect()
+    code = {r["value"]: r["code"] for r in mapping.collect()}
+    assert len(coded) == examples.count() and all(r["kind_code"] == code[r["kind"]] for r in coded)
+
+
 def test_dense_and_hollow_targets_are_left_alone(spark, gaps):
     assert impute.impute_column(gaps, "hollow", ignored=["id"]) is gaps
     assert impute.impute_column(gaps, "clue", ignored=["id"]) is gaps

@@ -44,12 +44,24 @@ def test_titles_are_typed_and_repaired(spark, shards):
 def test_classes_ignore_null_tokens(spark, tmp_path):
     lines = ["a,b,c,d"] + [f"{i},{i}.5,x{i},\\N" for i in range(40)] + ["\\N,1e3,y,\\N"]
     (tmp_path / "t.csv").write_text("\n".join(lines))
-    classes = tables.infer_classes(tables.typing_sample(spark, f"{tmp_path}/t.csv"))
+    classes = tables.infer_classes(tables.typing_rows(spark, f"{tmp_path}/t.csv"))
     assert classes == {"a": "int", "b": "float", "c": "text", "d": "text"}
     typed = tables.read_titles(spark, f"{tmp_path}/t.csv")
     assert dict(typed.dtypes) == {"a": "int", "b": "double", "c": "string", "d": "string"}
 
 
+def test_every_row_decides_the_types(spark, tmp_path):
+    lines = ["a,b"] + [f"{i},{i}" for i in range(520)] + [f"x{i},{i}" for i in range(60)] + ["7,oops"]
+    (tmp_path / "t.csv").write_text("\n".join(lines))
+    raw = tables.read_raw_csv(spark, f"{tmp_path}/t.csv")
+    assert tables.infer_classes(tables.typing_rows(spark, f"{tmp_path}/t.csv")) == {"a": "text", "b": "int"}
+    assert tables.infer_classes(tables.typing_rows(spark, f"{tmp_path}/t.csv", 500)) == {"a": "int", "b": "int"}
+    assert dict(tables.read_titles(spark, f"{tmp_path}/t.csv").dtypes)["a"] == "string"
+    lost = {r["column"]: r["n_lost"] for r in tables.lost_cells(raw, {"a": "int", "b": "int"}).collect()}
+    assert lost == {"a": 60, "b": 1}
+    assert tables.lost_cells(raw, {"a": "text"}).count() == 0
+
+
 def test_snake_case_header_is_removed(spark, tmp_path):
     (tmp_path / "t.csv").write_text("my_id,my_label\n1,2\nmy_id,my_label\n3,\n")
     assert [tuple(r) for r in tables.read_raw_csv(spark, f"{tmp_path}/t.csv").collect()] == [("1", "2"), ("3", None)]
@@ -66,7 +78,9 @@ def test_unknown_mode_is_an_error(spark, shards):
 
 
 def test_names():
-    assert [tables.camel_case(n) for n in ("start_year", "PrimaryTitle", '"tconst"', "")] == ["startYear", "primaryTitle", "tconst", ""]
+    assert [tables.camel_case(n) for n in ("start_year", "PrimaryTitle", '"tconst"', "", "RUN_TIME_minutes", "_")] == [
+        "startYear", "primaryTitle", "tconst", "", "runTimeMinutes", "",
+    ]
     assert tables.header_names(["a", "b"], 3) == ["syntheticIndex", "a", "b"]
     assert tables.header_names(["a", "b"], 5) == ["syntheticIndex", "a", "b", "extraCol3", "extraCol4"]
     assert tables.header_names(["", "a"], 2) == ["syntheticIndex", "a"]
