@@ -20,6 +20,8 @@ from footlight.session import materialise
 
 MAX_BUCKETS = 1000
 QUANTILE_BUCKETS = 256
+# A window that orders the values of one bucket gets at most this many rows; larger buckets are cut again.
+MOST_ROWS = 1_000_000
 
 
 def _bucket_count(spark: SparkSession) -> int:
@@ -147,7 +149,8 @@ def quantiles(df: DataFrame, columns: list[str], fractions: list[float], interpo
     Nulls are ignored; a column without values has no rows.
 
     Rows are first counted per bucket, at most ``QUANTILE_BUCKETS`` + 1 counts per column, which tells the bucket of
-    every wanted rank.  Only those buckets, a small share of the data, are then counted per value and ordered.
+    every wanted rank.  Only those buckets, a small share of the data, are then counted per value and ordered, after being
+    cut again while they hold more than ``MOST_ROWS`` rows.
     """
     plain = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
     cuts = cut_points(plain, columns, QUANTILE_BUCKETS)
@@ -161,7 +164,7 @@ def quantiles(df: DataFrame, columns: list[str], fractions: list[float], interpo
 
     sizes = cells(plain, {c: F.lit(True) for c in columns}).groupBy("column", "_bucket").agg(F.count(F.lit(1)).alias("n"))
     found = sorted(tuple(r) for r in sizes.collect())
-    targets, kept = [], {}
+    targets, kept, crowded = [], {}, {}
     for c in columns:
         counts = [(b, n) for name, b, n in found if name == c]
         total = sum(n for _, n in counts)
@@ -170,28 +173,69 @@ def quantiles(df: DataFrame, columns: list[str], fractions: list[float], interpo
             for end, rank in ends:
                 bucket, before = _bucket_of(counts, rank)
                 targets.append((c, bucket, before, total, float(f), end, rank, share))
-                kept.setdefault(c, {})[bucket] = _in_bucket(c, cuts[c], bucket)
+                if dict(counts)[bucket] > MOST_ROWS:
+                    crowded.setdefault((c, bucket, before), set()).add(rank - before)
+                else:
+                    kept.setdefault(c, {})[bucket] = _in_bucket(c, cuts[c], bucket)
     schema = "column string, _bucket int, before long, n long, fraction double, end string, rank long, share double"
     wanted = df.sparkSession.createDataFrame(targets, schema)
-    if not kept:
-        return wanted.select("column", "n", "fraction", F.lit(None).cast("double").alias("value"))
-
-    ranges = {c: reduce(or_, k.values()) for c, k in kept.items()}
-    counted = cells(plain.where(reduce(or_, ranges.values())), ranges).groupBy("column", "_bucket", "value").agg(
-        F.count(F.lit(1)).alias("m")
-    )
-    inside = Window.partitionBy("column", "_bucket").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
-    ordered = counted.withColumn("cum", F.sum("m").over(inside))
+    # Buckets of too many rows are cut again and again; what is found there is one value per rank.
+    solved = []
+    for (c, bucket, before), ranks in crowded.items():
+        part = plain.where(_in_bucket(c, cuts[c], bucket)).select(c)
+        solved += [(c, bucket, before + r, v) for r, v in _values_at(part, c, sorted(ranks)).items()]
+    known = df.sparkSession.createDataFrame(solved, "column string, _bucket int, rank long, value double")
+    candidates = wanted.join(F.broadcast(known), ["column", "_bucket", "rank"]).select(*_FOUND)
+    if kept:
+        ranges = {c: reduce(or_, k.values()) for c, k in kept.items()}
+        counted = cells(plain.where(reduce(or_, ranges.values())), ranges).groupBy("column", "_bucket", "value").agg(
+            F.count(F.lit(1)).alias("m")
+        )
+        inside = Window.partitionBy("column", "_bucket").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
+        ordered = counted.withColumn("cum", F.sum("m").over(inside))
+        # ``wanted`` has at most two rows per column and fraction.
+        found = ordered.join(F.broadcast(wanted), ["column", "_bucket"]).where(F.col("before") + F.col("cum") >= F.col("rank"))
+        candidates = candidates.unionByName(found.select(*_FOUND))
     low = F.min(F.when(F.col("end") == "low", F.col("value")))
     high = F.min(F.when(F.col("end") == "high", F.col("value")))
     value = low + (high - low) * F.first("share") if interpolate else low
-    # ``wanted`` has at most two rows per column and fraction.
-    return (
-        ordered.join(F.broadcast(wanted), ["column", "_bucket"])
-        .where(F.col("before") + F.col("cum") >= F.col("rank"))
-        .groupBy("column", "n", "fraction")
-        .agg(value.alias("value"))
-    )
+    return candidates.groupBy("column", "n", "fraction").agg(value.alias("value"))
+
+
+_FOUND = ["column", "n", "fraction", "end", "share", "value"]
+
+
+def _values_at(rows: DataFrame, column: str, ranks: list[int]) -> dict[int, float]:
+    """Values of the given 1-based ranks of a column of known doubles.
+
+    Beyond ``MOST_ROWS`` rows the column is cut at its quantiles, each of which becomes a bucket of its own, and only the
+    buckets with a wanted rank are looked at again: a pass divides the rows by the number of buckets and shuffles a count
+    per bucket.  The window at the end orders ``MOST_ROWS`` rows at most.
+    """
+    cuts = cut_points(rows, [column], QUANTILE_BUCKETS)[column]
+    cuts = sorted({*cuts, *[math.nextafter(v, math.inf) for v in cuts]})
+    bucketed = with_buckets(rows, {column: cuts}).withColumnRenamed(f"_b_{column}", "_bucket")
+    counts = sorted(tuple(r) for r in bucketed.groupBy("_bucket").agg(F.count(F.lit(1))).collect())
+    wanted: dict[tuple[int, int], list[int]] = {}
+    for rank in ranks:
+        wanted.setdefault(_bucket_of(counts, rank), []).append(rank)
+    out = {}
+    for (bucket, before), own in wanted.items():
+        n = dict(counts)[bucket]
+        alone = cuts[bucket - 1] if 0 < bucket < len(cuts) and cuts[bucket] == math.nextafter(cuts[bucket - 1], math.inf) else None
+        if bucket > len(cuts) or not cuts:  # not-a-number, or infinities alone
+            alone = math.nan if bucket > len(cuts) else alone
+        part = rows.where(_in_bucket(column, cuts, bucket))
+        if alone is not None:
+            out |= dict.fromkeys(own, alone)
+        elif n > MOST_ROWS and n < sum(m for _, m in counts):
+            out |= {before + r: v for r, v in _values_at(part, column, [r - before for r in own]).items()}
+        else:
+            inside = Window.orderBy(column).rowsBetween(Window.unboundedPreceding, 0)
+            counted = part.groupBy(column).agg(F.count(F.lit(1)).alias("m")).withColumn("cum", F.sum("m").over(inside))
+            ends = [F.min(F.when(F.col("cum") >= F.lit(r - before), F.col(column))).alias(f"r{i}") for i, r in enumerate(own)]
+            out |= dict(zip(own, counted.agg(*ends).first()))
+    return out
 
 
 def average_rank_of(running: DataFrame) -> Column:

@@ -449,3 +449,38 @@ def test_folds_and_holdout_keep_class_balance(spark):
     assert again == {r["k"]: r["fold"] for r in got}
     held = folds.stratified_holdout(df, "y", "k").where("is_holdout").collect()
     assert Counter(r["y"] for r in held) == {0: 135, 1: 15}
+
+
+@pytest.mark.parametrize("interpolate", [False, True])
+def test_quantiles_cut_crowded_buckets_again(spark, monkeypatch, interpolate):
+    """With a limit of 40 rows per ordered bucket, ties of any size and special values included."""
+    monkeypatch.setattr(ordering, "MOST_ROWS", 40)
+    monkeypatch.setattr(ordering, "QUANTILE_BUCKETS", 4)
+    draw = random.Random(11)
+    a = [draw.gauss(0, 1) for _ in range(900)] + [0.25] * 700 + [-0.0, 0.0] + [None] * 30
+    b = [float(draw.randint(0, 3)) for _ in range(1500)] + [float("inf")] * 100 + [None] * 32
+    df = spark.createDataFrame(list(zip(a, b)), "a double, b double").repartition(3)
+    shares = [0.0, 0.01, 0.25, 0.5, 0.77, 0.9, 1.0]
+    got = {(r["column"], r["fraction"]): r["value"] for r in ordering.quantiles(df, ["a", "b"], shares, interpolate).collect()}
+    for c, values in (("a", a), ("b", b)):
+        v = sorted(x for x in values if x is not None)
+        for f in shares:
+            at = (len(v) - 1) * f
+            low, high = v[math.floor(at)], v[math.ceil(at)]
+            expected = (low if low == high else low + (high - low) * (at - math.floor(at))) if interpolate else v[max(math.ceil(len(v) * f), 1) - 1]
+            assert got[c, f] == pytest.approx(expected) or (math.isnan(got[c, f]) and high == math.inf), (c, f)
+
+
+def test_ordered_buckets_stay_small(spark, monkeypatch):
+    """The window that orders values never gets more rows than the limit, whatever the size of the input."""
+    monkeypatch.setattr(ordering, "MOST_ROWS", 50)
+    monkeypatch.setattr(ordering, "QUANTILE_BUCKETS", 4)
+    seen = []
+    plain = ordering._in_bucket
+    rows = spark.range(4000).select(F.xxhash64("id").cast("double").alias("v"))
+    monkeypatch.setattr(ordering, "_in_bucket", lambda c, cuts, k: seen.append((cuts, k)) or plain(c, cuts, k))
+    value = ordering.quantiles(rows, ["v"], [0.5]).first()["value"]
+    assert value == sorted(r[0] for r in rows.collect())[1999]
+    for cuts, k in seen:  # one wanted rank: every range lies in the one before
+        rows = rows.where(plain("v", cuts, k))
+    assert rows.count() <= 50 and len(seen) >= 4
