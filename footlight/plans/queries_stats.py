@@ -122,14 +122,22 @@ def spearman_with_nulls(spark: SparkSession, sf: str) -> DataFrame:
     return stats.spearman_pairs(parts, ["p_partkey", "p_size", "p_retailprice"]).withColumn("rho", F.round("rho", 9))
 
 
+# A perfect pair (with its sign turned), a strong one and two without correlation.
+_LINKED = """(select l_quantity, -3 * l_quantity as falling, l_extendedprice, l_quantity * 1000 + l_extendedprice / 4 as charge from lineitem)"""
+_LINKED_COLUMNS = ["l_quantity", "falling", "l_extendedprice", "charge"]
+
+
 @query(f"""
-select x, y, round(abs(rho), 9) as strength from ({_pairs_sql(SPARSE, ['p_partkey', 'p_size', 'p_retailprice'])})
-where abs(rho) >= 0.75
+select x, y, round(abs(rho), 9) as strength from ({_pairs_sql(_LINKED, _LINKED_COLUMNS)}) where abs(rho) >= 0.75
 """)
 def collinear_pairs(spark: SparkSession, sf: str) -> DataFrame:
-    parts = dirty(spark, sf, "sparse_parts")
-    pairs = stats.collinear_pairs(parts, ["p_partkey", "p_size", "p_retailprice"])
-    return pairs.withColumn("strength", F.round("strength", 9))
+    lines = table(spark, sf, "lineitem").select(
+        "l_quantity",
+        (-3 * F.col("l_quantity")).alias("falling"),
+        "l_extendedprice",
+        (F.col("l_quantity") * 1000 + F.col("l_extendedprice") / 4).alias("charge"),
+    )
+    return stats.collinear_pairs(lines, _LINKED_COLUMNS).withColumn("strength", F.round("strength", 9))
 
 
 _COUNTS = f"""
