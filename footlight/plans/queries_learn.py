@@ -1,7 +1,12 @@
-"""Registered queries: model-based imputation, training, search, scoring.  Iterative, so without SQL twins."""
+"""Registered queries: model-based imputation, training, search, scoring.
+
+Models are iterative and have no SQL twin, but what they must find can be planted: a label and a target that are exact functions
+of one feature, which trees recover without error.
+"""
 
 from __future__ import annotations
 
+from pyspark.ml import PipelineModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -141,3 +146,53 @@ def experiment_grid(spark: SparkSession, sf: str) -> DataFrame:
     return experiments.grid_search(
         documents, grid, ["n_words"], key="doc_id", trials=1, bounds=SEARCH, impute_options={"text": [], "ignored": ["doc_id", "label"]}
     )
+
+
+# 50 sizes need as many bins for the cut between 25 and 26 to be among those that trees try.
+_BINS = 64
+
+
+def planted_parts(spark: SparkSession, sf: str) -> DataFrame:
+    parts = table(spark, sf, "part").select("p_partkey", "p_brand", "p_size", "p_retailprice")
+    return parts.withColumn("label", (F.col("p_size") > 25).cast("int"))
+
+
+_FOLDS = """(select p_partkey, (p_size > 25)::integer as label,
+  cast((row_number() over (partition by p_size > 25 order by md5(cast(p_partkey as varchar) || '|42'), p_partkey) - 1) % 3 as integer) as fold
+  from part)"""
+
+
+@query(f"select p_partkey, fold, label as true_label, label as predicted_label from {_FOLDS}")
+def planted_out_of_fold(spark: SparkSession, sf: str) -> DataFrame:
+    """Out-of-fold predictions of a label that one feature decides: all right."""
+    training, _ = learn.prepare(planted_parts(spark, sf), key="p_partkey")
+    oof = learn.out_of_fold(training, PARAMS, "p_partkey", _BINS)
+    return oof.select("p_partkey", "fold", "true_label", (F.col("predicted_prob") >= 0.5).cast("int").alias("predicted_label"))
+
+
+@query(f"""
+select 1.0::double as auc_pooled, 1.0::double as auc_mean_fold, count(*) filter (label = 1) as tp, 0::bigint as fp,
+  count(*) filter (label = 0) as tn, 0::bigint as fn from {_FOLDS}
+""")
+def planted_evaluation(spark: SparkSession, sf: str) -> DataFrame:
+    training, _ = learn.prepare(planted_parts(spark, sf), key="p_partkey")
+    found = learn.evaluate_folds(learn.out_of_fold(training, PARAMS, "p_partkey", _BINS))
+    return found.select("auc_pooled", "auc_mean_fold", *[F.col(c).cast("long").alias(c) for c in ("tp", "fp", "tn", "fn")])
+
+
+@query("select p_partkey, (p_size > 25)::integer as predicted_label from part")
+def planted_scores(spark: SparkSession, sf: str) -> DataFrame:
+    """The model refitted on all rows scores all rows; the deciding feature alone has weight."""
+    training, model = learn.prepare(planted_parts(spark, sf), key="p_partkey")
+    trees = learn.classifier(PARAMS, _BINS, early_stopping=False).fit(training)
+    scoring = PipelineModel(stages=[*model.stages, trees])
+    return learn.score(scoring, planted_parts(spark, sf), "p_partkey").select("p_partkey", "predicted_label")
+
+
+@query("select p_partkey, p_size % 20 as step, ((p_size % 20) // 5)::integer as grade from part")
+def planted_fill(spark: SparkSession, sf: str) -> DataFrame:
+    """A number that another column decides, missing in every third row: filled without error."""
+    parts = table(spark, sf, "part").select("p_partkey", "p_brand", (F.col("p_size") % 20).alias("step"))
+    grade = F.floor(F.col("step") / 5).cast("int")
+    gaps = parts.withColumn("grade", F.when(F.col("p_partkey") % 3 != 0, grade))
+    return impute.impute_column(gaps, "grade", SETTINGS, text=[], ignored=["p_partkey"]).select("p_partkey", "step", "grade")
