@@ -39,3 +39,13 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete this application's intermediate tables, once nothing that reads them is left.
+
+    The folder is handed to the catalog as a database and dropped with it, which works on any file system that Spark writes.
+    """
+    name = f"scratch_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE DATABASE {name} LOCATION '{scratch_dir(spark)}'")
+    spark.sql(f"DROP DATABASE {name} CASCADE")

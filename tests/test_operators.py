@@ -1,4 +1,5 @@
 import math
+import os
 import random
 from collections import Counter, defaultdict
 from itertools import combinations, product
@@ -9,6 +10,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from footlight import session
 from footlight.operators import categorical, drift, enrich, evaluate, folds, graph, ordering, outliers, skew, stats
 from footlight.session import materialise, scratch_dir
 
@@ -484,3 +486,14 @@ def test_ordered_buckets_stay_small(spark, monkeypatch):
     for cuts, k in seen:  # one wanted rank: every range lies in the one before
         rows = rows.where(plain("v", cuts, k))
     assert rows.count() <= 50 and len(seen) >= 4
+
+
+def test_scratch_is_cleared(spark, tmp_path, monkeypatch):
+    """A job with intermediate tables leaves nothing behind once they are cleared, and the next one can write again."""
+    monkeypatch.setattr(session, "scratch_dir", lambda spark: f"{tmp_path}/own")
+    edges = spark.createDataFrame([(i % 7, i % 5) for i in range(60)], "tconst int, nconst int")
+    assert graph.same_role_weight(edges, "w").count() == 7
+    assert os.listdir(f"{tmp_path}/own")
+    session.clear_scratch(spark)
+    assert not os.path.exists(f"{tmp_path}/own") or not os.listdir(f"{tmp_path}/own")
+    assert graph.same_role_weight(edges, "w").count() == 7
