@@ -2,10 +2,10 @@
 
 Edges may repeat; repeats count (``dedupe=True`` counts each edge once).
 
-Pair weights never list the pairs of a large title.  Titles with at most ``CROWD`` edges are *small*: their
-pairs are listed, a bounded number per edge.  The rest are *crowds*, at most edges/CROWD of them, and are
-solved through persons' credit profiles over the crowds (see ``_crowd_weights``), so a title holding a third
-of all edges costs no more than its edges.
+Titles with at most ``CROWD`` edges are *small*: their pairs are listed, a bounded number per edge.  The rest are *crowds*, at
+most edges/CROWD of them, and are solved through persons' credit profiles over the crowds (see ``_crowd_weights``): people
+with equal profiles are one, and profiles that cannot beat what is known are dropped.  What is left is compared pairwise inside
+a crowd, so many distinct profiles over several crowds cost the square of their number.
 """
 
 from __future__ import annotations
@@ -145,7 +145,7 @@ def _shared_crowds(listed: DataFrame, profiles: DataFrame, same: bool) -> DataFr
 
 
 def _crowd_weights(profiles: DataFrame, same: bool, name: str) -> DataFrame:
-    """Per crowd the largest weight over crowds alone, without listing people pairwise.
+    """Per crowd the largest weight over crowds alone, comparing profiles rather than people.
 
     People credited in the same crowds equally often are interchangeable: they share a profile, named by an
     order-free 128-bit hash of its entries and represented by one person.  A pair where either side has a single

@@ -70,8 +70,8 @@ def running_values(
 ) -> DataFrame:
     """One row per distinct non-null value: (<by>, bucket, value, <m>, cum_<m>, all_<m>) for every measure ``m``.
 
-    The default measure is the row count ``n``.  Bucket totals come straight from the rows, so the counts per
-    value are shuffled once.
+    The default measure is the row count ``n``.  The counts per value are shuffled to be summed, and again to be ordered in
+    their bucket; bucket totals come straight from the rows.
     """
     known = df.where(F.col(value).isNotNull())
     cuts = cut_points(known, [value])
