@@ -19,25 +19,6 @@ K, S = 8, 2
 _BLANK = r"[\x20\x09-\x0D]+"
 
 
-def _shift(a: Column, by: int) -> Column:
-    return F.slice(a, F.lit(by + 1), F.greatest(F.size(a) - F.lit(by), F.lit(0)))
-
-
-def _both(a: Column, by: int) -> Column:
-    """Lower of each element and the one ``by`` places on, as far as both exist."""
-    n = F.greatest(F.size(a) - F.lit(by), F.lit(0))
-    return F.zip_with(F.slice(a, F.lit(1), n), _shift(a, by), lambda x, y: F.least(x, y))
-
-
-def _lowest(a: Column, width: int) -> Column:
-    """Lowest of every ``width`` consecutive elements, in logarithmically many steps."""
-    have = 1
-    while have < width:
-        by = min(have, width - have)
-        a, have = _both(a, by), have + by
-    return a
-
-
 def anchors(df: DataFrame, text: str, name: str) -> DataFrame:
     """Adds array ``name`` of (position, hash) structs, the anchors of column ``text`` in order.
 
@@ -45,14 +26,13 @@ def anchors(df: DataFrame, text: str, name: str) -> DataFrame:
     """
     words = F.filter(F.split(F.coalesce(F.col(text).cast("string"), F.lit("")), _BLANK, -1), lambda w: w != "")
     out = df.withColumn("_h", F.transform(words, lambda w: F.xxhash64(w)))
-    inner = F.zip_with(
-        F.slice("_h", F.lit(1), F.greatest(F.size("_h") - F.lit(S - 1), F.lit(0))), _shift(F.col("_h"), S - 1), lambda x, y: F.xxhash64(x, y)
-    )
+    later = F.slice("_h", F.lit(S), F.greatest(F.size("_h"), F.lit(1)))
+    # Zipping runs on to the longer array: the last S - 1 elements are no inner strings, and no k-mer reaches them.
+    out = out.withColumn("_e", F.zip_with("_h", later, lambda x, y: F.xxhash64(x, y)))
     span = K - S + 1  # inner strings of a k-mer
-    out = out.withColumn("_e", inner).withColumn("_low", _lowest(F.col("_e"), span))
+    edge = lambda i: F.least(F.get("_e", i), F.get("_e", i + F.lit(span - 1)))
     at = F.filter(
-        F.transform("_low", lambda low, i: F.when((low == F.get("_e", i)) | (low == F.get("_e", i + F.lit(span - 1))), i)),
-        lambda i: i.isNotNull(),
+        F.sequence(F.lit(0), F.size("_h") - F.lit(K)), lambda i: edge(i) == F.array_min(F.slice("_e", i + F.lit(1), F.lit(span)))
     )
     kmers = F.transform(
         at, lambda i: F.struct(i.alias("position"), F.xxhash64(F.slice("_h", i + F.lit(1), F.lit(K))).alias("hash"))
@@ -65,7 +45,7 @@ def anchors(df: DataFrame, text: str, name: str) -> DataFrame:
 
 def fingerprint(found: Column) -> Column:
     """Anchors as text: equal texts have equal fingerprints; no anchors give an empty one."""
-    one = lambda a: F.concat(a["position"].cast("string"), F.lit(":"), F.lpad(F.lower(F.hex(a["hash"])), 16, "0"))
+    one = lambda a: F.concat(a["position"].cast("string"), F.lit(":"), F.hex(a["hash"]))
     return F.array_join(F.transform(found, one), " ")
 
 
