@@ -118,6 +118,6 @@ def neighbours(docs: list[tuple[int, str | None]]) -> dict[int, tuple]:
         half = len(own) // 2
         edited = own[: len(own) - half] + other[:half]
         a, b, c = anchors(own), anchors(edited), anchors(other)
-        shown = [" ".join(f"{p}:{h % (1 << 64):016x}" for p, h in x) for x in (a, b)]
+        shown = [" ".join(f"{p}:{h % (1 << 64):X}" for p, h in x) for x in (a, b)]
         out[key] = (len(own), hashlib.sha256(edited.encode()).hexdigest(), *shown, like(a, b), like(a, c))
     return out
