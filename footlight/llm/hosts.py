@@ -125,10 +125,10 @@ def judge_pages(
     host, path = host_and_path(F.col(url_column).cast("string"))
     rows = pages.select(F.col(id_column).alias("page"), host.alias("host"), path.alias("path"))
     number = F.expr("try_cast(regexp_extract(path, '/([0-9]+)', 1) as bigint)")
-    known = outcomes.where(F.col("id").isNotNull() & F.col("bad").isNotNull()).groupBy("id").agg(F.max("bad").cast("long").alias("bad"), F.count(F.lit(1)).alias("w"))
+    known = outcomes.dropna(subset=["id", "bad"]).groupBy("id").agg(F.max("bad").cast("long").alias("bad"))
     rows = rows.withColumn("id", number)
     weights = rows.where(F.col("id").isNotNull()).groupBy("id").agg(F.count(F.lit(1)).alias("n"))
-    known = materialise(known.drop("w").join(weights, "id"), "outcomes")
+    known = materialise(known.join(weights, "id"), "outcomes")
     labelled = materialise(lookup_join(rows, known, ["id"], weight="n").drop("id", "n"), "labelled_pages")
     found = materialise(reputations(labelled.select("host", "bad"), z).select("host", "rate", "low", F.col("n_pages").alias("w")), "reputations")
     judged = lookup_join(labelled.drop("bad"), found, ["host"], weight="w")

@@ -205,7 +205,7 @@ def near_duplicates(
     heads = materialise(heads.select("id", "bands", "sig"), "heads")
 
     placed = heads.select("id", F.posexplode("bands").alias("band", "bucket"))
-    # The centre is the smallest id; ``members`` tells buckets with the same members apart from others.
+    # The centre of a bucket is its smallest id.
     buckets = placed.groupBy("band", "bucket").agg(F.min("id").alias("centre"), F.count(F.lit(1)).alias("n"))
     buckets = materialise(buckets.where(F.col("n") > 1), "buckets")
     members = materialise(lookup_join(placed, buckets, ["band", "bucket"], weight="n", how="inner"), "members")
