@@ -138,7 +138,6 @@ def near_vectors(
     present = rows.where(F.col("vec").isNotNull())
     classes = present.groupBy(*keys, "dim").agg(F.min("id").alias("rep"), F.first("vec").alias("vec"), F.count(F.lit(1)).alias("m"))
     classes = materialise(classes, "vector_classes")
-    # A class is named by its smallest id; ids that repeat with other vectors name several, which is told apart by a number.
     labels = materialise(classes.groupBy("label", "dim").agg(F.count(F.lit(1)).alias("classes")), "labels")
     named = lookup_join(classes.select(F.col("rep").alias("id"), "label", "dim", "m", "vec"), labels, ["label", "dim"], weight="classes")
     made = "id long, label string, dim int, m long, vec array<double>, code binary, factor double, keys array<int>"
