@@ -32,11 +32,11 @@ from footlight.llm import textops
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 # Text of one trie; a longer row has a trie of its own.
-TRIE_BYTES = 32 << 20
+TRIE_BYTES = 6 << 20
 _MARK = "▁"
 _UNKNOWN, _START = -1, -2
 # Pairs of pieces that an encoder remembers before it starts afresh.
-PAIRS = 2_000_000
+PAIRS = 500_000
 
 
 @dataclass(frozen=True)
@@ -227,7 +227,7 @@ def _encoded(model: Model):
                 # A slice of the rows at a time, as its ids are gathered through several arrays.
                 done, first = 0, np.concatenate([[0], np.cumsum(counts)])
                 while done < part.num_rows:
-                    upto = max(int(np.searchsorted(first, first[done] + 500_000, "right")) - 1, done + 1)
+                    upto = max(int(np.searchsorted(first, first[done] + 200_000, "right")) - 1, done + 1)
                     own = word[first[done] : first[upto]]
                     ids = flat[_gather(begins[own], sizes[own])]
                     ends = np.concatenate([[0], np.cumsum(sizes[own])])[first[done : upto + 1] - first[done]]
@@ -239,6 +239,9 @@ def _encoded(model: Model):
                     lists = pc.if_else(pc.and_(empty, rows.column("_text").is_null()), pa.scalar(None, lists.type), lists)
                     yield pa.RecordBatch.from_arrays([*arrays, lists], [*names, "ids"])
                     done = upto
+                # Workers live on and share an executor's memory with it: give back what Arrow keeps.
+                del words, coded, order, flat, word
+                pa.default_memory_pool().release_unused()
 
     return run
 
@@ -252,8 +255,8 @@ def _decoded(model: Model):
         sizes = np.array([len(r) for r in raw], np.int64)
         begins = np.concatenate([[0], np.cumsum(sizes)])
         for batch in batches:
-            for at in range(0, batch.num_rows, 500):
-                part = batch.slice(at, 500)
+            for at in range(0, batch.num_rows, 200):
+                part = batch.slice(at, 200)
                 ids = part.column("_ids")
                 flat = ids.flatten().to_numpy(zero_copy_only=False)
                 counts = ids.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
