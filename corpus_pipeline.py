@@ -65,13 +65,8 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Piece ids of every document, and whether decoding them gives the text again."""
-    model = pieces.load_model()
-    digest = F.sha2(F.translate(F.col("text").cast("string"), "▁", " "), 256)
-    keep = ["doc_id", "lang", "source"]
-    ids = pieces.encode(docs.withColumn("_sha256", digest), [*keep, "_sha256"], model=model)
-    back = pieces.decode(ids, [*keep, "_sha256", "ids"], model=model)
-    same = F.sha2("text", 256).eqNullSafe(F.col("_sha256"))
-    return back.select(*keep, F.size("ids").cast("long").alias("n_ids"), "ids", same.alias("round_trip"))
+    ids = pieces.encode(docs, ["doc_id", "lang", "source"], check=True)
+    return ids.select("doc_id", "lang", "source", F.size("ids").cast("long").alias("n_ids"), "ids", "round_trip")
 
 
 STAGES = [

@@ -207,9 +207,20 @@ def _gather(at: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return np.arange(total[-1]) + np.repeat(at - total[:-1], counts)
 
 
-def _encoded(model: Model):
+def _bytes_of_pieces(model: Model) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Bytes that each id stands for, all in a row, where each id's begin and how many they are."""
+    raw = []
+    for p, k in zip(model.pieces, model.kinds):
+        plain = bytes([int(p[3:5], 16)]) if k == 6 else p.replace(_MARK, " ").encode()
+        raw.append({3: b"", 2: " ⁇ ".encode()}.get(k, plain))
+    sizes = np.array([len(r) for r in raw], np.int64)
+    return np.frombuffer(b"".join(raw), np.uint8), np.concatenate([[0], np.cumsum(sizes)]), sizes
+
+
+def _encoded(model: Model, check: bool = False):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(model)
+        data, at, width = _bytes_of_pieces(model)
         for batch in batches:
             for part in textops.slices(batch, "_text", TRIE_BYTES):
                 words, counts = _marked_words(part.column("_text"))
@@ -237,6 +248,11 @@ def _encoded(model: Model):
                     lists = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(ids))
                     empty = pa.array(np.diff(ends) == 0)
                     lists = pc.if_else(pc.and_(empty, rows.column("_text").is_null()), pa.scalar(None, lists.type), lists)
+                    if check:
+                        blob, before = data[_gather(at[ids], width[ids])].tobytes(), np.concatenate([[0], np.cumsum(width[ids])])[ends]
+                        texts = [None if t is None else t.replace(_MARK, " ").encode() for t in rows.column("_text").to_pylist()]
+                        same = [t is None or t == blob[a + 1 : b] for t, a, b in zip(texts, before[:-1].tolist(), before[1:].tolist())]
+                        arrays, names = [*arrays, pa.array(same, pa.bool_())], [*names, "round_trip"]
                     yield pa.RecordBatch.from_arrays([*arrays, lists], [*names, "ids"])
                     done = upto
                 # Workers live on and share an executor's memory with it: give back what Arrow keeps.
@@ -248,12 +264,7 @@ def _encoded(model: Model):
 
 def _decoded(model: Model):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        raw = []
-        for p, k in zip(model.pieces, model.kinds):
-            raw.append({3: b"", 2: " ⁇ ".encode()}.get(k) if k in (2, 3) else bytes([int(p[3:5], 16)]) if k == 6 else p.replace(_MARK, " ").encode())
-        data = np.frombuffer(b"".join(raw), np.uint8)
-        sizes = np.array([len(r) for r in raw], np.int64)
-        begins = np.concatenate([[0], np.cumsum(sizes)])
+        data, begins, sizes = _bytes_of_pieces(model)
         for batch in batches:
             for at in range(0, batch.num_rows, 200):
                 part = batch.slice(at, 200)
@@ -280,15 +291,18 @@ def _schema(df: DataFrame, keep: list[str], added: str) -> str:
     return ", ".join([*[f"`{c}` {df.schema[c].dataType.simpleString()}" for c in keep], added])
 
 
-def encode(docs: DataFrame, keep: list[str], text_column: str = "text", model: Model | None = None) -> DataFrame:
+def encode(
+    docs: DataFrame, keep: list[str], text_column: str = "text", model: Model | None = None, check: bool = False
+) -> DataFrame:
     """Columns ``keep`` and ``ids``, the piece ids of each whole text: one row per row, without a shuffle.
 
-    A null text has null ids, an empty one no ids.  The mark's own character in a text counts as a blank.  ``keep`` may not
-    name ``ids``.
+    A null text has null ids, an empty one no ids.  The mark's own character in a text counts as a blank.  ``check`` adds
+    ``round_trip`` before them: whether the ids decode to the text again.  ``keep`` may not name either of the two.
     """
     model = model or load_model()
     named = docs.select(*keep, F.col(text_column).cast("string").alias("_text"))
-    return named.mapInArrow(_encoded(model), _schema(docs, keep, "ids array<int>"))
+    added = "round_trip boolean, ids array<int>" if check else "ids array<int>"
+    return named.mapInArrow(_encoded(model, check), _schema(docs, keep, added))
 
 
 def decode(rows: DataFrame, keep: list[str], ids_column: str = "ids", model: Model | None = None) -> DataFrame:
