@@ -41,7 +41,7 @@ def tables_for(classes: int, threshold: float) -> tuple[int, int]:
 
 
 def _rotation(d: int) -> np.ndarray:
-    q, r = np.linalg.qr(np.random.default_rng(_SEED + d).standard_normal((d, d)))
+    q, r = np.linalg.qr(np.random.default_rng([_SEED, d]).standard_normal((d, d)))
     return q * np.sign(np.diag(r))
 
 
@@ -60,7 +60,7 @@ def _code(threshold: float):
                 signs = turned >= 0
                 factor = np.abs(turned).sum(axis=1) / math.sqrt(d)
                 bits, tables = tables_for(n, threshold)
-                planes = np.random.default_rng(_SEED - d).standard_normal((d, max(bits * tables, 1)))
+                planes = np.random.default_rng([_SEED, d, 1]).standard_normal((d, max(bits * tables, 1)))
                 side = (unit @ planes >= 0)[:, : bits * tables].reshape(part.num_rows, tables, bits)
                 keys = (side * (1 << np.arange(bits))).sum(axis=2) if bits else np.zeros((part.num_rows, 1), np.int64)
                 codes = [c.tobytes() for c in np.packbits(signs, axis=1)]

@@ -223,3 +223,15 @@ def test_derivatives_of_odd_responses(spark, tmp_path):
         assert whole[at : at + 4] == b"\r\n\r\n"
         at += 4
     assert at == len(whole) and len(found) == 2
+
+
+def test_vectors_of_usual_lengths(spark, monkeypatch):
+    """1,024 components, without and with projections."""
+    r = np.random.default_rng(8)
+    centres = r.standard_normal((6, 1024))
+    rows = [(10 * i + j, (c + r.standard_normal(1024) * 0.1).tolist(), 1) for i, c in enumerate(centres) for j in range(4)]
+    expected = {r[0]: e for r, e in zip(rows, brute.similar_vectors(rows, 0.93))}
+    assert set(expected.values()) == {(3, 10 * i) for i in range(6)}
+    for bucket in (2048, 8):
+        monkeypatch.setattr(binarycodes, "BUCKET", bucket)
+        assert linked(spark, rows)[0] == expected
