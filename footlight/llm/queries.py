@@ -182,7 +182,7 @@ def op6_url_filters(spark: SparkSession, folder: str) -> DataFrame:
 @query()
 def op9_document_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
     """Closed-syncmer fingerprints of all texts and their edited texts; tests compare with a plain version."""
-    return syncmers.compare_neighbours(table(spark, folder, "documents"))
+    return syncmers.compare_neighbours(table(spark, folder, "documents"), short=syncmers.SHORT)
 
 
 @query()

@@ -5,10 +5,16 @@ an anchor when the lowest hash among its inner strings stands at either edge.  T
 what surrounds them, so equal passages give equal anchors wherever they are, and every stretch of K - S + 1 k-mers has one.
 
 A fingerprint lists position and hash of each anchor in text order (``position:hash``, joined by blanks).
+
+Two texts have an anchor in common for sure if they share a stretch of 2 K - S units, 14 words.  So texts of few words, and those
+written without blanks, are fingerprinted by *characters* where ``short`` is given: the units are code points, k-mers have
+``CHAR_K`` of them, and 8 shared ones are enough.  Two texts are compared by characters if either is short, else by words.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -16,31 +22,46 @@ from footlight.operators.ordering import cut_points, with_buckets
 from footlight.session import materialise
 
 K, S = 8, 2
+CHAR_K, CHAR_S = 5, 2
+# Texts of fewer words are short: half of one still has twice the 14 shared words that are needed.
+SHORT = 64
 _BLANK = r"[\x20\x09-\x0D]+"
 
 
+def words(text: Column) -> Column:
+    return F.filter(F.split(F.coalesce(text.cast("string"), F.lit("")), _BLANK, -1), lambda w: w != "")
+
+
+def characters(text: Column) -> Column:
+    return F.filter(F.split(F.coalesce(text.cast("string"), F.lit("")), "", -1), lambda c: c != "")
+
+
 def anchors(df: DataFrame, text: str, name: str) -> DataFrame:
     """Adds array ``name`` of (position, hash) structs, the anchors of column ``text`` in order.
 
     Texts with fewer than K words have one anchor, the whole sequence; null and blank texts have none.
     """
-    words = F.filter(F.split(F.coalesce(F.col(text).cast("string"), F.lit("")), _BLANK, -1), lambda w: w != "")
-    out = df.withColumn("_h", F.transform(words, lambda w: F.xxhash64(w)))
-    later = F.slice("_h", F.lit(S), F.greatest(F.size("_h"), F.lit(1)))
+    return anchors_of(df, words(F.col(text)), name, K, S)
+
+
+def anchors_of(df: DataFrame, units: Column, name: str, k: int, s: int) -> DataFrame:
+    """Adds array ``name`` of (position, hash) structs, the anchors of an array of strings in order; none of a null array."""
+    out = df.withColumn("_h", F.transform(F.coalesce(units, F.array().cast("array<string>")), lambda w: F.xxhash64(w)))
+    later = F.slice("_h", F.lit(s), F.greatest(F.size("_h"), F.lit(1)))
     # Zipping runs on to the longer array: the last S - 1 elements are no inner strings, and no k-mer reaches them.
     out = out.withColumn("_e", F.zip_with("_h", later, lambda x, y: F.xxhash64(x, y)))
-    span = K - S + 1  # inner strings of a k-mer
+    span = k - s + 1  # inner strings of a k-mer
     edge = lambda i: F.least(F.get("_e", i), F.get("_e", i + F.lit(span - 1)))
     at = F.filter(
-        F.sequence(F.lit(0), F.size("_h") - F.lit(K)), lambda i: edge(i) == F.array_min(F.slice("_e", i + F.lit(1), F.lit(span)))
+        F.sequence(F.lit(0), F.size("_h") - F.lit(k)), lambda i: edge(i) == F.array_min(F.slice("_e", i + F.lit(1), F.lit(span)))
     )
     kmers = F.transform(
-        at, lambda i: F.struct(i.alias("position"), F.xxhash64(F.slice("_h", i + F.lit(1), F.lit(K))).alias("hash"))
+        at, lambda i: F.struct(i.alias("position"), F.xxhash64(F.slice("_h", i + F.lit(1), F.lit(k))).alias("hash"))
     )
     whole = F.array(F.struct(F.lit(0).alias("position"), F.xxhash64("_h").alias("hash")))
     none = F.array().cast("array<struct<position:int,hash:bigint>>")
-    found = F.when(F.size("_h") >= K, kmers).when(F.size("_h") > 0, whole).otherwise(none)
-    return out.withColumn(name, found).drop("_h", "_e", "_low")
+    found = F.when(F.size("_h") >= k, kmers).when(F.size("_h") > 0, whole).otherwise(none)
+    return out.withColumn(name, found).drop("_h", "_e")
 
 
 def fingerprint(found: Column) -> Column:
@@ -78,28 +99,51 @@ def with_next(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
     return rows.unionByName(heads.select("bucket", "head.id", "head.text", "head.tk", F.lit(True).alias("_next_row")))
 
 
-def compare_neighbours(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+def compare_neighbours(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", short: int = 0) -> DataFrame:
     """Fingerprints of every whole text and of its edited text, and how alike they and the next document's are.
 
     (<id>, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next), a row per row.  The edited text
     has its second half, rounded down, replaced by as many code points from the start of the next document (or all).
+
+    Texts of fewer than ``short`` words have anchors of characters, and so has whatever one of them is compared with.
     """
     rows = with_next(docs, id_column, text_column)
     order = Window.partitionBy("bucket").orderBy("_next_row", F.desc_nulls_last("id"), F.desc_nulls_last("tk"))
     rows = rows.withColumn("next_text", F.lead("text").over(order))
-    rows = anchors(rows, "text", "own").withColumn("next_own", F.lead("own").over(order)).where(~F.col("_next_row"))
     text, other = F.coalesce("text", F.lit("")), F.coalesce("next_text", F.lit(""))
     n = F.char_length(text)
     half = F.floor(n / 2).cast("int")
-    edited = F.concat(F.substring(text, F.lit(1), n - half), F.substring(other, F.lit(1), half))
-    rows = rows.select("id", n.cast("long").alias("n_chars"), "own", "next_own", edited.alias("edited"))
+    rows = rows.withColumn("edited", F.concat(F.substring(text, F.lit(1), n - half), F.substring(other, F.lit(1), half)))
+    rows = anchors(rows, "text", "own")
+    lead = ["own"]
+    if short:
+        for c in ("text", "edited"):
+            rows = rows.withColumn(f"{c}_short", F.size(words(F.col(c))) < short)
+        # A bucket's first row is the row that another bucket ends with: what comes before it is not known there.
+        before = F.lag("text_short", 1).over(order)
+        after = F.lead("text_short", 1).over(order)
+        asked = [F.col("text_short"), F.col("edited_short"), *[F.coalesce(x, F.lit(False)) for x in (before, after)], F.col("_next_row")]
+        rows = rows.withColumn("asked", reduce(Column.__or__, asked))
+        rows = anchors_of(rows, F.when(F.col("asked"), characters(F.col("text"))), "own_chars", CHAR_K, CHAR_S)
+        lead += ["own_chars", "text_short"]
+    rows = rows.withColumns({f"next_{c}": F.lead(c).over(order) for c in lead}).where(~F.col("_next_row"))
     rows = anchors(rows, "edited", "edited_own")
+    shown, shown_edited = F.col("own"), F.col("edited_own")
+    near_edited, near_next = likeness(F.col("own"), F.col("edited_own")), likeness(F.col("own"), F.col("next_own"))
+    if short:
+        by_chars = F.col("text_short") | F.col("edited_short")
+        rows = anchors_of(rows, F.when(by_chars, characters(F.col("edited"))), "edited_chars", CHAR_K, CHAR_S)
+        shown = F.when(F.col("text_short"), F.col("own_chars")).otherwise(shown)
+        shown_edited = F.when(F.col("edited_short"), F.col("edited_chars")).otherwise(shown_edited)
+        near_edited = F.when(by_chars, likeness(F.col("own_chars"), F.col("edited_chars"))).otherwise(near_edited)
+        next_by_chars = F.col("text_short") | F.col("next_text_short")
+        near_next = F.when(next_by_chars, likeness(F.col("own_chars"), F.col("next_own_chars"))).otherwise(near_next)
     return rows.select(
         F.col("id").alias(id_column),
-        "n_chars",
+        n.cast("long").alias("n_chars"),
         F.sha2("edited", 256).alias("edited_sha256"),
-        fingerprint(F.col("own")).alias("fingerprint"),
-        fingerprint(F.col("edited_own")).alias("edited_fingerprint"),
-        likeness(F.col("own"), F.col("edited_own")).alias("near_edited"),
-        likeness(F.col("own"), F.col("next_own")).alias("near_next"),
+        fingerprint(shown).alias("fingerprint"),
+        fingerprint(shown_edited).alias("edited_fingerprint"),
+        near_edited.alias("near_edited"),
+        near_next.alias("near_next"),
     )

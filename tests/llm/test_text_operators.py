@@ -288,6 +288,32 @@ def test_fingerprints_of_odd_tables(spark):
     assert syncmers.compare_neighbours(frame(spark, [])).count() == 0
 
 
+def test_fingerprints_of_few_words_and_no_blanks(spark, monkeypatch):
+    r = random.Random(11)
+    word = lambda a: "".join(r.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(r.randint(a, 8)))
+    prose = [" ".join(word(4) for _ in range(n)) for n in [*range(4, 31), *range(4, 31), 60, 63, 64, 70, 300, 900]]
+    solid = ["".join(chr(r.randrange(0x4E00, 0x9FA5)) for _ in range(n)) for n in (16, 30, 200, 5000)] + ["\U0001f600\u6f22" * 30]
+    # Long by words, but not after the edit.
+    mixed = ["".join(r.choice("xyz") for _ in range(2000)) + " a" * 100]
+    texts = prose + solid + mixed + [None, "", " ", "one"]
+    r.shuffle(texts)
+    rows = list(enumerate(texts))
+    got = {x["doc_id"]: x for x in syncmers.compare_neighbours(frame(spark, rows), short=syncmers.SHORT).collect()}
+    assert len(got) == len(rows)
+    for i, text in rows:
+        x = got[i]
+        assert (x["fingerprint"] == "") == (not text)
+        if len(text or "") > 12 and len(texts[(i - 1) % len(texts)] or "") > 4:
+            assert x["near_edited"] > x["near_next"]
+
+    # The plain version, with code points as the words of a short text.
+    monkeypatch.setattr(brute, "words", lambda text: list(text or "") if len((text or "").split()) < syncmers.SHORT else text.split())
+    for i, text in rows:
+        few = len((text or "").split()) < syncmers.SHORT
+        plain = brute.anchors(text, *((syncmers.CHAR_K, syncmers.CHAR_S) if few else (syncmers.K, syncmers.S)))
+        assert got[i]["fingerprint"] == " ".join(f"{p}:{h % (1 << 64):X}" for p, h in plain)
+
+
 def test_anchors_need_no_context():
     r = random.Random(8)
     shared = " ".join(f"w{r.randrange(300)}" for _ in range(60))
