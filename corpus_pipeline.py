@@ -18,13 +18,14 @@ SCHEDULES = [[(0.0, 4.5), (1.0, 1.5)], [(0.0, 0.5), (0.5, 0.75), (1.0, 2.0)], [(
 
 
 def keep_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in a language that the labelled ones teach stay; a text that is null or has no letter goes."""
+    """A text that is null or has no letter goes; all others stay, also in languages that no labelled document teaches."""
     model = languages.fit(docs, "doc_id", "text", "lang")
     if not model[0]:
         return docs.where(F.col("text").rlike(r"\p{L}"))
-    names = [c for c in docs.columns if c != "lang_pred"]
-    judged = languages.identify(docs.withColumn("_whole", F.col("text")), model, [*[c for c in names if c != "text"], "_whole"])
-    return judged.where(F.col("lang_pred") != languages.UNDETERMINED).select(*[F.col("_whole").alias("text") if c == "text" else c for c in names])
+    rest = [c for c in docs.columns if c != "text"]  # packed: identify adds columns that the table may have
+    packed = docs.select("text", F.col("text").alias("_whole"), F.struct(F.lit(0).alias("_"), *rest).alias("_rest"))
+    judged = languages.identify(packed, model, ["_whole", "_rest"]).where(F.col("lang_pred") != languages.UNDETERMINED)
+    return judged.select(*[F.col("_whole").alias(c) if c == "text" else F.col("_rest")[c].alias(c) for c in docs.columns])
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -6,6 +6,7 @@ import brute
 import corpus_pipeline
 import pytest
 from conftest import TESTDATA
+from pyspark.sql import functions as F
 from test_text_operators import frame, sample_texts
 
 from footlight.llm import mixing, pieces
@@ -35,6 +36,15 @@ def test_language_stage(spark):
     assert [x["doc_id"] for x in run(spark, "language", blank).collect()] == [1]
 
 
+def test_language_stage_passes_all_columns_on(spark):
+    names = ["score", "languages", "shares", "lang_pred", "_whole", "_rest", "_text"]
+    docs = frame(spark, [(1, "some text", "en", "a", 9), (2, "7", "en", "a", 1)], SCHEMA).withColumns({c: F.lit(c) for c in names})
+    out = STAGES["language"](spark, docs, "")
+    assert out.columns == docs.columns
+    got = [x.asDict() for x in out.collect()]
+    assert [x["doc_id"] for x in got] == [1] and all(got[0][c] == c for c in names) and got[0]["text"] == "some text"
+
+
 def test_near_duplicate_stage(spark):
     extra = [(3, None, None, "a", 0), (4000, "repeated row " * 9, "en", "a", 1), (4000, "repeated row " * 9, "en", "a", 1), (None, "no id " * 9, "en", "a", 1)]
     got = run(spark, "near_duplicates", frame(spark, rows(extra), SCHEMA)).collect()
