@@ -16,9 +16,8 @@ from footlight.plans import experiments
 from footlight.plans.dirt import dirty
 from footlight.plans.registry import query, table
 
-# One modest parameter set, and a two-trial search space, so that a query ends in seconds on a small table.
+# One modest parameter set for the queries that fit a given one; the searches go over the whole space.
 PARAMS = {"n_estimators": 8, "learning_rate": 0.2, "max_depth": 3}
-SEARCH = {**learn.BOUNDS, "n_estimators": (4, 8), "max_depth": (3, 4)}
 SETTINGS = impute.Settings(epochs=5)
 
 
@@ -107,7 +106,7 @@ def cross_validate(spark: SparkSession, sf: str) -> DataFrame:
 @query()
 def random_search(spark: SparkSession, sf: str) -> DataFrame:
     training, model = _training(spark, sf)
-    return learn.cross_validate(training, learn.sample_trials(2, bounds=SEARCH), learn.widest_category(model))
+    return learn.cross_validate(training, learn.sample_trials(learn.TRIALS, bounds=learn.BOUNDS), learn.widest_category(model))
 
 
 @query()
@@ -138,13 +137,13 @@ def oof_misclassified(spark: SparkSession, sf: str) -> DataFrame:
 
 @query()
 def experiment_grid(spark: SparkSession, sf: str) -> DataFrame:
-    """Two imputer settings, each followed by a two-trial search."""
+    """All imputer settings, each followed by a full search."""
     documents = labelled_documents(spark, sf).withColumn(
         "n_words", F.when(F.col("doc_id") % 7 != 0, F.col("n_words"))
     )
-    grid = [impute.Settings(epochs=e, learning_rate=1e-3) for e in (2, 4)]
+    options = {"text": [], "ignored": ["doc_id", "label"]}
     return experiments.grid_search(
-        documents, grid, ["n_words"], key="doc_id", trials=1, bounds=SEARCH, impute_options={"text": [], "ignored": ["doc_id", "label"]}
+        documents, experiments.GRID, ["n_words"], key="doc_id", trials=learn.TRIALS, bounds=learn.BOUNDS, impute_options=options
     )
 
 

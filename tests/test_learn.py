@@ -246,3 +246,30 @@ def test_grid_over_imputer_settings(spark, examples):
     grid = [impute.Settings(epochs=1), impute.Settings(epochs=2)]
     got = experiments.grid_search(examples.drop("hollow"), grid, ["signal"], trials=1, bounds=BOUNDS).collect()
     assert [r["epochs"] for r in got] == [1, 2] and len(experiments.GRID) == 8
+
+
+def test_search_queries_search_the_whole_space(monkeypatch):
+    from footlight.plans import experiments, queries_learn
+
+    asked = {}
+    monkeypatch.setattr(queries_learn, "_training", lambda spark, sf: (None, None))
+    monkeypatch.setattr(learn, "widest_category", lambda model: 0)
+    monkeypatch.setattr(learn, "cross_validate", lambda training, trials, widest: asked.update(trials=trials))
+    queries_learn.random_search(None, "")
+    assert asked["trials"] == learn.sample_trials(25) and max(t["n_estimators"] for t in asked["trials"]) > 500
+    monkeypatch.setattr(queries_learn, "labelled_documents", lambda spark, sf: Documents())
+    monkeypatch.setattr(queries_learn.F, "col", lambda c: Documents())
+    monkeypatch.setattr(queries_learn.F, "when", lambda *c: None)
+    monkeypatch.setattr(experiments, "grid_search", lambda docs, grid, targets, **kw: asked.update(grid=grid, **kw))
+    queries_learn.experiment_grid(None, "")
+    assert len(asked["grid"]) == 8 and (asked["trials"], asked["bounds"]) == (25, learn.BOUNDS)
+
+
+class Documents:
+    """Stands for a table and its columns, of which nothing is read."""
+
+    def withColumn(self, *_):
+        return self
+
+    def __mod__(self, _):
+        return 0
