@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import hashlib
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from footlight.llm import binarycodes, hosts, languages, minhash, mixing, pieces, recompression, sharding, syncmers, warc
+from footlight.llm import binarycodes, hosts, languages, leaks, minhash, mixing, pieces, recompression, repair, sharding, syncmers, trie, warc
 from footlight.plans.registry import Query, table
 
 QUERIES: dict[str, Query] = {}
@@ -196,3 +200,149 @@ def op4_warc_derivatives(spark: SparkSession, folder: str) -> DataFrame:
     """Metadata and text records of all pages, taken as a crawl's responses; tests compare with a plain version."""
     responses = warc.response_records(table(spark, folder, "pages"), "page_id", "url", "html", "2024-01-01T00:00:00Z")
     return warc.derive(responses, ["page_id"])
+
+
+@query(
+    r"""
+    WITH b AS (
+        SELECT item_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+        FROM benchmark
+    ), s AS (
+        SELECT item_id, w, least(len(w), 10) AS n, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS at_ FROM b WHERE len(w) > 0
+    ), i AS (
+        SELECT DISTINCT item_id, n, array_to_string(list_slice(w, at_, at_ + n - 1), ' ') AS seq FROM s
+    ), d AS (
+        SELECT row_number() OVER () AS r, doc_id,
+               coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), []) AS w
+        FROM documents
+    ), x AS (
+        SELECT r, n, at_, array_to_string(list_slice(w, at_, at_ + n - 1), ' ') AS seq
+        FROM (SELECT r, w, n, unnest(range(1, len(w) - n + 2)) AS at_ FROM d, (SELECT DISTINCT n FROM i))
+    ), f AS (SELECT r, x.n, at_, item_id FROM x JOIN i ON x.n = i.n AND x.seq = i.seq
+    ), h AS (SELECT r, count(*) AS n_hit FROM (SELECT DISTINCT r, unnest(range(at_, at_ + n)) FROM f) GROUP BY r
+    ), g AS (
+        SELECT r, count(DISTINCT item_id) AS n_items, string_agg(DISTINCT item_id::VARCHAR, ',' ORDER BY item_id::VARCHAR) AS ids FROM f GROUP BY r
+    )
+    SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+           sha256(coalesce(ids, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
+    FROM d LEFT JOIN h USING (r) LEFT JOIN g USING (r)
+    """
+)
+def op11_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    """Words of all documents that lie in windows of ten words of any test item, and the items."""
+    found = leaks.find_leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark"), ["doc_id"], window=10)
+    return found.select(
+        "rest.doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
+@query(
+    r"""
+    WITH t AS (
+        SELECT conv_id AS c, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, sym) AS pos, sym, size
+        FROM (SELECT conv_id, turn, length(coalesce(text, ''))::BIGINT AS size,
+                     md5(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS sym
+              FROM conversations WHERE conv_id IS NOT NULL)
+    ), k AS (
+        SELECT c, count(*) AS n,
+               xor(list_reduce(list_concat([4294967295::BIGINT], list_transform(string_split(c::VARCHAR, ''), lambda s: ascii(s)::BIGINT)),
+                   lambda a, b: list_reduce([xor(a, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda v, _: xor(v >> 1, 3988292384 * (v & 1)))), 4294967295) % 6 AS h
+        FROM t GROUP BY c
+    ), m AS (
+        SELECT k.*, least(h, coalesce(b.n, 0)) AS taken FROM k LEFT JOIN (SELECT c AS base, n FROM k) b ON base = c - c % 100
+    ), r AS (
+        SELECT c, 0::BIGINT AS d, '' AS sym, 0::BIGINT AS size FROM m
+        UNION ALL SELECT m.c, t.pos, t.sym, t.size FROM m JOIN t ON t.c = m.c - m.c % 100 AND t.pos <= m.taken
+        UNION ALL SELECT m.c, m.taken + t.pos - m.h, t.sym, t.size FROM m JOIN t ON t.c = m.c AND t.pos > m.h
+    ), p AS (
+        SELECT c, d, size, md5(string_agg(sym, '') OVER w) AS key, max(d) OVER (PARTITION BY c) = d AS ends
+        FROM r WINDOW w AS (PARTITION BY c ORDER BY d ROWS UNBOUNDED PRECEDING)
+    ), q AS (SELECT *, lag(key) OVER (PARTITION BY c ORDER BY d) AS up FROM p
+    ), n AS (
+        SELECT d, key, min(c) AS owner, count(*) AS n, any_value(up) AS up, (count(*) - 1) * any_value(size) AS saved,
+               sha256(coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (ends), '')) AS ends_sha256
+        FROM q GROUP BY d, key
+    ), f AS (SELECT n.*, (SELECT count(*) FROM n o WHERE o.up = n.key AND o.d = n.d + 1) AS n_children FROM n
+    ), s AS (
+        SELECT p.d, p.key, sum(f.saved) AS saved, count(*) FILTER (f.n_children = 0) AS n_leaves
+        FROM f JOIN p ON p.c = f.owner AND p.d <= f.d GROUP BY p.d, p.key
+    )
+    SELECT f.owner AS conv_id, f.d AS depth, a.owner AS parent_conv_id, f.n AS n_convs, f.n_children::BIGINT AS n_children,
+           s.n_leaves::BIGINT AS n_leaves, s.saved::BIGINT AS saved_tokens, f.ends_sha256
+    FROM f JOIN s ON f.d = s.d AND f.key = s.key LEFT JOIN n a ON a.key = f.up AND a.d = f.d - 1
+    """
+)
+def op12_conversation_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    """Trie of all conversations, each rebuilt on the head of the first of its hundred."""
+    conversations = table(spark, folder, "conversations")
+    return trie.prefix_trie(conversations, lambda c: c - c % 100, lambda c: F.crc32(c.cast("string").cast("binary")) % 6, 5)
+
+
+def damaged(conversations: DataFrame) -> DataFrame:
+    """The rows that ``op13`` repairs: by a checksum, some are dropped (not ``present``), emptied, stripped, repeated or given to the user."""
+    shown = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(" "))
+    fate = F.crc32(F.concat(shown("conv_id"), F.lit(":"), shown("turn")).cast("binary")) % 20
+    text = F.when(fate == 1, "").when(fate == 2, F.regexp_replace(shown("text"), "[.!?]", "")).otherwise(shown("text"))
+    role = F.when(fate == 4, "user").otherwise(shown("role"))
+    rows = conversations.select("conv_id", "turn", role.alias("role"), text.alias("text"), (fate != 0).alias("present"), fate.alias("fate"))
+    return rows.withColumn("copy", F.explode(F.array_repeat(F.lit(1), F.when(F.col("fate") == 3, 2).otherwise(1)))).drop("fate", "copy")
+
+
+class _Audit:
+    """What one conversation's edits add up to, row by row."""
+
+    def __init__(self, key):
+        self.key, self.sums, self.edits = key, dict.fromkeys(("blank", "duplicate", "truncated", "illegal", "cost"), 0), []
+        self.low = self.high = self.turn = self.was = None
+        self.distinct, self.digest, self.lines = 0, hashlib.sha256(), 0
+
+    def add(self, edit, turn, was, role, text, fault, cost) -> None:
+        if edit is None:
+            return
+        self.edits.append(edit)
+        self.sums["cost"] += cost
+        if edit != "D":
+            self.digest.update(f"{chr(10) if self.lines else ''}{role}:{text}".encode())
+            self.lines += 1
+        if edit == "I":
+            return
+        if fault:
+            self.sums[fault] += 1
+        self.sums["illegal"] += self.was is not None and self.was[:1] + was[:1] not in ("su", "ua", "au")
+        self.was = was
+        if turn is not None:  # turns ascend
+            self.distinct += turn != self.turn
+            self.low, self.high, self.turn = turn if self.low is None else self.low, turn, turn
+
+    def row(self) -> tuple:
+        gaps = 0 if self.low is None else self.high - self.low + 1 - self.distinct
+        return (self.key, gaps, *self.sums.values(), "".join(self.edits), self.digest.hexdigest())
+
+
+_AUDIT = "conv_id long, gaps long, blank long, duplicate long, truncated long, illegal long, cost long, audit string, repaired_sha256 string"
+
+
+def _audits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row per conversation from its edits, which come in order."""
+    names = [c.split(" ")[0] for c in _AUDIT.split(", ")]
+    kinds = [pa.string() if c.endswith("string") else pa.int64() for c in _AUDIT.split(", ")]
+    now = None
+    for batch in batches:
+        done = []
+        for key, n, *rest in zip(*[c.to_pylist() for c in batch.columns]):
+            if n <= 1:
+                done += [now.row()] if now else []
+                now = _Audit(key)
+            now.add(*rest)
+        if done:
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*done), kinds)], names)
+    if now:
+        yield pa.RecordBatch.from_arrays([pa.array([c], k) for c, k in zip(now.row(), kinds)], names)
+
+
+@query()
+def op13_conversation_structure_repair(spark: SparkSession, folder: str) -> DataFrame:
+    """Audits of all damaged conversations; tests compare with a plain search over all edits."""
+    edits = repair.repair(damaged(table(spark, folder, "conversations")), present_column="present")
+    return edits.mapInArrow(_audits, _AUDIT)
