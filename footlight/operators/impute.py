@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+import json
+from dataclasses import dataclass, field
 
-from pyspark.ml import Pipeline
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import MultilayerPerceptronClassifier
 from pyspark.ml.feature import (
+    FeatureHasher,
     HashingTF,
     Imputer,
     IndexToString,
@@ -17,7 +19,7 @@ from pyspark.ml.feature import (
     VectorAssembler,
 )
 from pyspark.ml.regression import GBTRegressor
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -105,19 +107,30 @@ def standard_scale(df: DataFrame, columns: list[str]) -> DataFrame:
     return df.withColumns({c: (e - F.lit(row[c]["m"])) / F.lit(row[c]["s"] or 1.0) for c, e in filled.items()})
 
 
-def feature_stages(df: DataFrame, inputs: list[str], text: list[str]) -> tuple[DataFrame, list]:
-    """Columns prepared for, and stages of, the feature extractor: hashed n-grams, one-hot categories, scaled numbers."""
+def _kinds(df: DataFrame, inputs: list[str], text: list[str]) -> tuple[list[str], list[str], list[str]]:
+    """Inputs that are texts, categories and numbers."""
     kinds = {f.name: f.dataType for f in df.schema.fields}
     texts = [c for c in inputs if c in text]
     categories = [c for c in inputs if c not in texts and isinstance(kinds[c], T.StringType)]
-    numbers = [c for c in inputs if isinstance(kinds[c], (T.NumericType, T.BooleanType))]
-    prepared = df.withColumns(
+    return texts, categories, [c for c in inputs if isinstance(kinds[c], (T.NumericType, T.BooleanType))]
+
+
+def prepared_inputs(df: DataFrame, inputs: list[str], text: list[str]) -> DataFrame:
+    """Adds the columns that the feature stages read."""
+    texts, categories, numbers = _kinds(df, inputs, text)
+    return df.withColumns(
         {
             **{f"_g_{c}": char_ngrams(F.col(c)) for c in texts},
             **{f"_c_{c}": F.coalesce(F.col(c), F.lit("missing")) for c in categories},
             **{f"_n_{c}": F.col(c).cast("double") for c in numbers},
         }
     )
+
+
+def feature_stages(df: DataFrame, inputs: list[str], text: list[str]) -> tuple[DataFrame, list]:
+    """Columns prepared for, and stages of, the feature extractor: hashed n-grams, one-hot categories, scaled numbers."""
+    texts, categories, numbers = _kinds(df, inputs, text)
+    prepared = prepared_inputs(df, inputs, text)
     stages, parts = [], []
     for c in texts:
         stages += [
@@ -125,16 +138,16 @@ def feature_stages(df: DataFrame, inputs: list[str], text: list[str]) -> tuple[D
             Normalizer(inputCol=f"_h_{c}", outputCol=f"_v_{c}", p=2.0),
         ]
         parts.append(f"_v_{c}")
-    if categories:
+    # Columns of more values than HASH_FEATURES are hashed to that width, so neither labels nor vectors grow with the data.
+    wide = [c for c in categories if too_many_classes(prepared, f"_c_{c}", HASH_FEATURES)]
+    stages += [FeatureHasher(inputCols=[f"_c_{c}"], outputCol=f"_o_{c}", numFeatures=HASH_FEATURES) for c in wide]
+    narrow = [c for c in categories if c not in wide]
+    if narrow:
         stages += [
-            StringIndexer(
-                inputCols=[f"_c_{c}" for c in categories], outputCols=[f"_i_{c}" for c in categories], handleInvalid="keep"
-            ),
-            OneHotEncoder(
-                inputCols=[f"_i_{c}" for c in categories], outputCols=[f"_o_{c}" for c in categories], handleInvalid="keep"
-            ),
+            StringIndexer(inputCols=[f"_c_{c}" for c in narrow], outputCols=[f"_i_{c}" for c in narrow], handleInvalid="keep"),
+            OneHotEncoder(inputCols=[f"_i_{c}" for c in narrow], outputCols=[f"_o_{c}" for c in narrow], handleInvalid="keep"),
         ]
-        parts += [f"_o_{c}" for c in categories]
+    parts += [f"_o_{c}" for c in categories]
     if numbers:
         stages += [
             Imputer(strategy="median", inputCols=[f"_n_{c}" for c in numbers], outputCols=[f"_m_{c}" for c in numbers]),
@@ -159,7 +172,42 @@ def imputation_branch(
     return "unknown" if is_text and too_many_classes(df, target, max_classes) else "model"
 
 
-def impute_column(
+@dataclass
+class ColumnImputer:
+    """What fills one column: a model over ``inputs`` or one value, fitted once and applied to any table with these columns."""
+
+    target: str
+    kind: str
+    branch: str
+    inputs: list[str] = field(default_factory=list)
+    text: list[str] = field(default_factory=list)
+    value: str | float | None = None
+    model: PipelineModel | None = None
+
+    def apply(self, df: DataFrame) -> DataFrame:
+        """Known values and all other columns stay as they are."""
+        target = F.col(self.target)
+        if self.model is None:
+            if self.value is None:
+                return df
+            return df.withColumn(self.target, F.coalesce(target, F.lit(self.value).cast(df.schema[self.target].dataType)))
+        missing = prepared_inputs(df.where(target.isNull()), self.inputs, self.text)
+        value = F.col("_value")
+        if isinstance(df.schema[self.target].dataType, T.IntegralType):
+            value = F.round(value)
+        filled = self.model.transform(missing).withColumn(self.target, value.cast(df.schema[self.target].dataType))
+        return df.where(target.isNotNull()).unionByName(filled.select(*df.columns))
+
+
+def _typical(df: DataFrame, column: str):
+    """The most frequent value of a text column, the median of any other."""
+    if isinstance(df.schema[column].dataType, T.StringType):
+        return most_frequent(df, column)
+    found = quantiles(df, [column], [0.5], interpolate=True).first()
+    return found["value"] if found else None
+
+
+def fit_imputer(
     df: DataFrame,
     target: str,
     settings: Settings = Settings(),
@@ -167,35 +215,35 @@ def impute_column(
     ignored: list[str] | None = None,
     min_training_rows: int = MIN_TRAINING_ROWS,
     max_classes: int = MAX_CLASSES,
-) -> DataFrame:
-    """Predict the nulls of ``target`` from the other columns; known values and all other columns stay as they are.
+    later: bool = False,
+) -> ColumnImputer:
+    """Learn to predict the nulls of ``target`` from the other columns.
 
     Numbers use boosted regression trees (Spark has no perceptron regressor), text classes a perceptron.  A fully
     known or fully null target is left alone; fewer than ``min_training_rows`` known rows fall back to mode or median,
-    more than ``max_classes`` classes to 'Unknown' (``imputation_branch`` tells which of these applies).
+    more than ``max_classes`` classes to 'Unknown' (``imputation_branch`` tells which of these applies).  ``later``: the imputer will
+    meet other tables, so a fully known target gets its typical value.
     """
     text = TEXT if text is None else text
     ignored = IGNORED if ignored is None else ignored
-    inputs = [c for c in df.columns if c != target and c not in ignored]
-    known = df.where(F.col(target).isNotNull())
     branch = imputation_branch(df, target, min_training_rows, max_classes)
     kind = df.schema[target].dataType
-    is_text = isinstance(kind, T.StringType)
-    if branch in ("dense", "hollow"):
-        return df
-    if branch == "fallback":
-        return fill_fallback(df, target).withColumn(target, F.col(target).cast(kind)).select(*df.columns)
+    out = ColumnImputer(target, kind.simpleString(), branch, text=text)
+    if branch == "fallback" or branch == "dense" and later:
+        out.value = _typical(df, target)
     if branch == "unknown":
-        return fill_high_cardinality(df, target, max_classes)
+        out.value = FILL_TEXT
+    if branch != "model":
+        return out
 
+    inputs = [c for c in df.columns if c != target and c not in ignored]
     counts = df.agg(F.count(F.lit(1)), *[F.count(F.when(F.col(target).isNotNull(), F.col(c))).alias(c) for c in inputs]).first()
-    inputs = [c for c in inputs if counts[c]]
-    prepared, stages = feature_stages(df, inputs, text)
+    out.inputs = [c for c in inputs if counts[c]]
+    prepared, stages = feature_stages(df, out.inputs, text)
     training = prepared.where(F.col(target).isNotNull())
-    missing = prepared.where(F.col(target).isNull())
-    if is_text:
+    if isinstance(kind, T.StringType):
         features = Pipeline(stages=stages + [StringIndexer(inputCol=target, outputCol="_class")]).fit(training)
-        classes = features.stages[-1].labels
+        classes = features.stages[-1].labels  # max_classes at most
         encoded = features.transform(training)
         width = len(encoded.select("_features").first()[0])
         network = MultilayerPerceptronClassifier(
@@ -207,31 +255,60 @@ def impute_column(
             seed=42,
         ).fit(encoded)
         # The target indexer, last among the stages, has nothing to index in the rows to predict.
-        ready = missing
-        for stage in features.stages[:-1]:
-            ready = stage.transform(ready)
-        named = IndexToString(inputCol="_prediction", outputCol="_value", labels=classes).transform(network.transform(ready))
-        value = F.col("_value")
-    else:
-        trees = GBTRegressor(
-            featuresCol="_features",
-            labelCol="_target",
-            predictionCol="_value",
-            maxIter=settings.epochs,
-            stepSize=settings.learning_rate,
-            maxDepth=settings.depth,
-            seed=42,
-        )
-        training = training.withColumn("_target", F.col(target).cast("double"))
-        named = Pipeline(stages=[*stages, trees]).fit(training).transform(missing)
-        value = F.round("_value") if isinstance(kind, T.IntegralType) else F.col("_value")
-    filled = named.withColumn(target, value.cast(kind)).select(*df.columns)
-    return known.unionByName(filled)
+        named = IndexToString(inputCol="_prediction", outputCol="_value", labels=classes)
+        out.model = PipelineModel(stages=[*features.stages[:-1], network, named])
+        return out
+    trees = GBTRegressor(
+        featuresCol="_features",
+        labelCol="_target",
+        predictionCol="_value",
+        maxIter=settings.epochs,
+        stepSize=settings.learning_rate,
+        maxDepth=settings.depth,
+        seed=42,
+    )
+    out.model = Pipeline(stages=[*stages, trees]).fit(training.withColumn("_target", F.col(target).cast("double")))
+    return out
 
 
-def impute_chain(df: DataFrame, targets: list[str] | None = None, settings: Settings = Settings(), **options) -> DataFrame:
-    """Impute several targets in turn; later ones see earlier fills.  Each step is written before the next starts."""
-    out = df
+def impute_column(df: DataFrame, target: str, settings: Settings = Settings(), **options) -> DataFrame:
+    """Fill ``target`` by an imputer fitted on the same table (see ``fit_imputer``)."""
+    return fit_imputer(df, target, settings, **options).apply(df)
+
+
+def fit_chain(df: DataFrame, targets: list[str] | None = None, settings: Settings = Settings(), **options) -> tuple[list[ColumnImputer], DataFrame]:
+    """Imputers of several targets in turn, and the filled table; later ones see earlier fills.  Each step is written before the next."""
+    chain, out = [], df
     for target in [t for t in (targets or TARGETS) if t in df.columns]:
-        out = materialise(impute_column(out, target, settings, **options), "imputed")
-    return out
+        chain.append(fit_imputer(out, target, settings, **options))
+        out = materialise(chain[-1].apply(out), "imputed")
+    return chain, out
+
+
+def apply_chain(df: DataFrame, chain: list[ColumnImputer]) -> DataFrame:
+    """Fill a table as the table that the chain was fitted on: a row's fill does not depend on the other rows of its batch."""
+    for imputer in chain:
+        if imputer.target in df.columns:
+            df = materialise(imputer.apply(df), "imputed")
+    return df
+
+
+def impute_chain(df: DataFrame, targets: list[str] | None = None, settings: Settings = Settings(), **options) -> DataFrame:
+    """Impute several targets in turn by imputers fitted on the same table."""
+    return fit_chain(df, targets, settings, **options)[1]
+
+
+def save_chain(spark: SparkSession, chain: list[ColumnImputer], path: str) -> None:
+    """One row per imputer, in order, and a folder per model."""
+    rows = [(i, json.dumps({k: v for k, v in vars(f).items() if k != "model"}), f.model is not None) for i, f in enumerate(chain)]
+    spark.createDataFrame(rows, "place int, state string, has_model boolean").coalesce(1).write.mode("overwrite").parquet(f"{path}/chain")
+    for i, f in enumerate(chain):
+        if f.model is not None:
+            f.model.write().overwrite().save(f"{path}/model-{i}")
+
+
+def load_chain(spark: SparkSession, path: str) -> list[ColumnImputer]:
+    chain = []
+    for r in spark.read.parquet(f"{path}/chain").orderBy("place").collect():
+        chain.append(ColumnImputer(**json.loads(r["state"]), model=PipelineModel.load(f"{path}/model-{r['place']}") if r["has_model"] else None))
+    return chain

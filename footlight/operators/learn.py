@@ -2,24 +2,26 @@
 
 from __future__ import annotations
 
-import math
+import json
 import random
 from functools import reduce
 from multiprocessing.pool import ThreadPool
 
 from pyspark import inheritable_thread_target
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
+from pyspark.errors import AnalysisException
+from pyspark.ml import PipelineModel
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
-from pyspark.ml.feature import Imputer, StringIndexer, VectorAssembler
-from pyspark.ml.functions import vector_to_array
-from pyspark.ml.tuning import CrossValidator
+from pyspark.ml.feature import Imputer, VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from footlight.operators import boosting
+from footlight.operators.boosting import Boosted
+from footlight.operators.codes import CategoryCodes, fit_codes
 from footlight.operators.evaluate import classification_metrics, roc_auc
 from footlight.operators.folds import stratified_folds, stratified_holdout
+from footlight.operators.search import draw, suggest
 from footlight.session import materialise
 
 # --- Fixed values -----------------------------------------------------------
@@ -28,28 +30,34 @@ BOUNDS = {
     "max_depth": (3, 10),
     "learning_rate": (0.01, 0.3),
     "n_estimators": (50, 600),
+    "reg_alpha": (0.0, 40.0),
+    "reg_lambda": (0.0, 40.0),
 }
 TRIALS = 25
-TRIAL_SCHEMA = (
-    "trial int, n_estimators int, learning_rate double, max_depth int, min_info_gain double, min_instances int, "
-    "subsample double, auc_mean_fold double"
-)
 FOLDS = 3
 HOLDOUT = 0.15
 TOP_FEATURES = 15
 FILL_TEXT = "Unknown"
 # ----------------------------------------------------------------------------
 
-# What else is searched: the ways in which Spark's trees are held back, under their own names.
-BOUNDS |= {"min_info_gain": (0.0, 0.01), "min_instances": (1, 20), "subsample": (0.5, 1.0)}
+# Parameters by their own names, and as ``boosting.fit`` calls them; those without bounds are not searched unless asked for.
 PARAMETERS = {
-    "n_estimators": "maxIter",
-    "learning_rate": "stepSize",
-    "max_depth": "maxDepth",
-    "min_info_gain": "minInfoGain",
-    "min_instances": "minInstancesPerNode",
-    "subsample": "subsamplingRate",
+    "n_estimators": "rounds",
+    "learning_rate": "rate",
+    "max_depth": "depth",
+    "reg_alpha": "alpha",
+    "reg_lambda": "lam",
+    "min_info_gain": "min_gain",
+    "min_instances": "min_rows",
+    "subsample": "subsample",
 }
+TRIAL_SCHEMA = (
+    "trial int, n_estimators int, learning_rate double, max_depth int, reg_alpha double, reg_lambda double, "
+    "min_info_gain double, min_instances int, subsample double, trees double, auc_mean_fold double"
+)
+LEDGER = "point string, trial int, fold int, params string, trees int, auc double"
+# Trials suggested at once: their fits run side by side.
+BATCH = 5
 
 
 def feature_columns(df: DataFrame, label: str = "label", dropped: list[str] | None = None) -> tuple[list[str], list[str]]:
@@ -61,20 +69,19 @@ def feature_columns(df: DataFrame, label: str = "label", dropped: list[str] | No
 
 
 def feature_pipeline(df: DataFrame, numeric: list[str], texts: list[str]) -> PipelineModel:
-    """Index text columns (unseen values get their own code), fill numbers with their median, assemble 'features'.
+    """Code text columns (unseen values get their own code), fill numbers with their median, assemble 'features'.
 
     Numeric columns without any value are left out: they have no median.
     """
     counts = df.agg(*[F.count(c).alias(c) for c in numeric]).first() if numeric else {}
     numeric = [c for c in numeric if counts[c]]
-    stages = []
-    if texts:
-        stages.append(StringIndexer(inputCols=texts, outputCols=[f"{c}_idx" for c in texts], handleInvalid="keep"))
+    ready = typed(df, numeric, texts)
+    stages = [fit_codes(ready, texts)] if texts else []
     if numeric:
-        stages.append(Imputer(strategy="median", inputCols=numeric, outputCols=[f"{c}_num" for c in numeric]))
+        stages.append(Imputer(strategy="median", inputCols=numeric, outputCols=[f"{c}_num" for c in numeric]).fit(ready))
     inputs = [f"{c}_num" for c in numeric] + [f"{c}_idx" for c in texts]
     stages.append(VectorAssembler(inputCols=inputs, outputCol="features", handleInvalid="keep"))
-    return Pipeline(stages=stages).fit(typed(df, numeric, texts))
+    return PipelineModel(stages=stages)
 
 
 def typed(df: DataFrame, numeric: list[str], texts: list[str]) -> DataFrame:
@@ -87,20 +94,21 @@ def typed(df: DataFrame, numeric: list[str], texts: list[str]) -> DataFrame:
     )
 
 
+def _codes(model: PipelineModel) -> CategoryCodes | None:
+    return next((s for s in model.stages if isinstance(s, CategoryCodes)), None)
+
+
 def category_map(model: PipelineModel, df: DataFrame) -> DataFrame:
-    """(column, value, code) of the fitted indexers."""
-    rows = [
-        (c, v, i)
-        for stage in model.stages
-        if hasattr(stage, "labelsArray")
-        for c, labels in zip(stage.getInputCols(), stage.labelsArray)
-        for i, v in enumerate(labels)
-    ]
-    return df.sparkSession.createDataFrame(rows, "column string, value string, code int")
+    """(column, value, code) of the fitted codes."""
+    codes = _codes(model)
+    if codes is None:
+        return df.sparkSession.createDataFrame([], "column string, value string, code int")
+    return codes.table.select("column", "value", "code")
 
 
 def widest_category(model: PipelineModel) -> int:
-    return max([len(v) + 1 for s in model.stages if hasattr(s, "labelsArray") for v in s.labelsArray], default=0)
+    codes = _codes(model)
+    return codes.widest if codes else 0
 
 
 def prepare(df: DataFrame, label: str = "label", key: str = "tconst", dropped: list[str] | None = None) -> tuple[DataFrame, PipelineModel]:
@@ -119,47 +127,86 @@ def prepare(df: DataFrame, label: str = "label", key: str = "tconst", dropped: l
     return materialise(split, "training"), model
 
 
-def classifier(params: dict, widest: int = 0, early_stopping: bool = True):
-    """Boosted-tree estimator for one parameter set; absent parameters keep Spark's defaults."""
-    own = {PARAMETERS[k]: v for k, v in params.items()}
-    trees = GBTClassifier(featuresCol="features", labelCol="label", maxBins=max(32, widest), seed=42, **own)
-    return trees.setValidationIndicatorCol("is_holdout") if early_stopping else trees
+def fit_trees(training: DataFrame, params: dict, widest: int = 0, early_stopping: bool = True) -> Boosted:
+    """Boosted trees for one parameter set; with ``early_stopping`` the rows of ``is_holdout`` decide their number."""
+    own = {"rounds": 20, "rate": 0.1, "depth": 5, **{PARAMETERS[k]: v for k, v in params.items() if v is not None}}
+    return boosting.fit(training, holdout="is_holdout" if early_stopping else None, bins=max(32, widest), **own)
 
 
 def sample_trials(n: int = TRIALS, seed: int = 42, bounds: dict | None = None) -> list[dict]:
     """Seeded random search points; the learning rate is drawn log-uniformly."""
+    rng = random.Random(seed)
+    return [{k: draw(k, *b, rng) for k, b in (bounds or BOUNDS).items()} for _ in range(n)]
+
+
+def read_ledger(training: DataFrame, path: str) -> dict[tuple, tuple[int, float]]:
+    """{(point, trial, fold, params): (trees, auc)} of the fits that an earlier run has finished."""
+    try:
+        rows = training.sparkSession.read.schema(LEDGER).parquet(f"{path}/*").collect()
+    except AnalysisException:  # nothing written yet
+        return {}
+    return {(r["point"], r["trial"], r["fold"], r["params"]): (r["trees"], r["auc"]) for r in rows}
+
+
+def cross_validate(
+    training: DataFrame,
+    trials: list[dict],
+    widest: int = 0,
+    parallelism: int | None = None,
+    first: int = 0,
+    ledger: str | None = None,
+    point: str = "",
+) -> DataFrame:
+    """(trial, <parameters>, trees, auc_mean_fold) per parameter set, folds taken from the table's fold column.
+
+    Fits run side by side, as many as the session has cores unless told.  With ``ledger``, a folder, every finished fit is written
+    there at once and is not repeated by a later run with the same ``point``; trials count from ``first``.
+    """
+    spark = training.sparkSession
+    evaluator = BinaryClassificationEvaluator(labelCol="label", rawPredictionCol="predicted_prob", metricName="areaUnderROC")
+    done = read_ledger(training, ledger) if ledger else {}
+
+    def fitted(task: tuple[int, int]) -> tuple[int, float]:
+        i, fold = task
+        text = json.dumps(trials[i], sort_keys=True)
+        known = done.get((point, first + i, fold, text))
+        if known:
+            return known
+        model = fit_trees(training.where(F.col("fold") != fold), trials[i], widest)
+        auc = float(evaluator.evaluate(model.transform(training.where(F.col("fold") == fold))))
+        if ledger:
+            row = spark.createDataFrame([(point, first + i, fold, text, len(model.trees), auc)], LEDGER)
+            row.coalesce(1).write.mode("overwrite").parquet(f"{ledger}/fit-{point}-{first + i}-{fold}")
+        return len(model.trees), auc
+
+    tasks = [(i, fold) for i in range(len(trials)) for fold in range(FOLDS)]
+    workers = parallelism or max(2, min(spark.sparkContext.defaultParallelism, len(tasks)))
+    with ThreadPool(workers) as pool:
+        found = dict(zip(tasks, pool.map(inheritable_thread_target(spark)(fitted), tasks, chunksize=1)))
+    rows = []
+    for i, t in enumerate(trials):
+        trees, aucs = zip(*[found[i, fold] for fold in range(FOLDS)])
+        rows.append((first + i, *[t.get(name) for name in PARAMETERS], sum(trees) / FOLDS, sum(aucs) / FOLDS))
+    return spark.createDataFrame(rows, TRIAL_SCHEMA)
+
+
+def model_search(
+    training: DataFrame,
+    n: int = TRIALS,
+    bounds: dict | None = None,
+    seed: int = 42,
+    widest: int = 0,
+    batch: int = BATCH,
+    ledger: str | None = None,
+    point: str = "",
+) -> DataFrame:
+    """The table of ``cross_validate`` for ``n`` trials, each batch suggested by what the earlier ones have found."""
     bounds = bounds or BOUNDS
-    draw = random.Random(seed)
-    trials = []
-    for _ in range(n):
-        low, high = bounds["learning_rate"]
-        trials.append(
-            {
-                "n_estimators": draw.randint(*bounds["n_estimators"]),
-                "learning_rate": math.exp(draw.uniform(math.log(low), math.log(high))),
-                "max_depth": draw.randint(*bounds["max_depth"]),
-                "min_info_gain": draw.uniform(*bounds["min_info_gain"]),
-                "min_instances": draw.randint(*bounds["min_instances"]),
-                "subsample": draw.uniform(*bounds["subsample"]),
-            }
-        )
-    return trials
-
-
-def cross_validate(training: DataFrame, trials: list[dict], widest: int = 0, parallelism: int = 2) -> DataFrame:
-    """(trial, <parameters>, auc_mean_fold) per parameter set, folds taken from the table's fold column."""
-    estimator = classifier(trials[0], widest)
-    evaluator = BinaryClassificationEvaluator(labelCol="label", metricName="areaUnderROC")
-    fitted = CrossValidator(
-        estimator=estimator,
-        estimatorParamMaps=[{estimator.getParam(p): t[name] for name, p in PARAMETERS.items() if name in t} for t in trials],
-        evaluator=evaluator,
-        numFolds=FOLDS,
-        foldCol="fold",
-        parallelism=parallelism,
-        seed=42,
-    ).fit(training)
-    rows = [(i, *[t.get(name) for name in PARAMETERS], float(m)) for i, (t, m) in enumerate(zip(trials, fitted.avgMetrics))]
+    rows: list = []
+    while len(rows) < n:
+        finished = [({k: r[k] for k in bounds}, r["auc_mean_fold"]) for r in rows]
+        trials = suggest(finished, bounds, min(batch, n - len(rows)), seed)
+        rows += cross_validate(training, trials, widest, first=len(rows), ledger=ledger, point=point).collect()
     return training.sparkSession.createDataFrame(rows, TRIAL_SCHEMA)
 
 
@@ -168,16 +215,12 @@ def best_trial(trials: DataFrame, metric: str = "auc_mean_fold") -> DataFrame:
     return trials.orderBy(F.desc_nulls_last(metric), "trial").limit(1)
 
 
-def positive_probability():
-    return vector_to_array("probability")[1]
-
-
 def out_of_fold(training: DataFrame, params: dict, key: str = "tconst", widest: int = 0) -> DataFrame:
     """(key, fold, true_label, predicted_prob): every row scored by the model that did not see its fold; written once."""
 
     def scored(k: int) -> DataFrame:
-        model = classifier(params, widest).fit(training.where(F.col("fold") != k))
-        columns = [key, "fold", F.col("label").cast("int").alias("true_label"), positive_probability().alias("predicted_prob")]
+        model = fit_trees(training.where(F.col("fold") != k), params, widest)
+        columns = [key, "fold", F.col("label").cast("int").alias("true_label"), "predicted_prob"]
         return model.transform(training.where(F.col("fold") == k)).select(*columns)
 
     with ThreadPool(FOLDS) as pool:  # one driver thread per fold; the fits share the cluster
@@ -193,25 +236,26 @@ def evaluate_folds(oof: DataFrame) -> DataFrame:
     return metrics.withColumns({"auc_pooled": pooled.scalar(), "auc_mean_fold": per_fold.scalar()})
 
 
-def feature_importance(model: GBTClassificationModel, pipeline: PipelineModel, df: DataFrame, top: int = TOP_FEATURES) -> DataFrame:
+def feature_importance(model: Boosted, pipeline: PipelineModel, df: DataFrame, top: int = TOP_FEATURES) -> DataFrame:
     """(feature, importance), largest first."""
     names = pipeline.stages[-1].getInputCols()
-    values = model.featureImportances.toArray().tolist()
+    values = model.importances or [0.0] * len(names)
     rows = [(n.removesuffix("_num").removesuffix("_idx"), float(v)) for n, v in zip(names, values)]
     table = df.sparkSession.createDataFrame(rows, "feature string, importance double")
     return table.orderBy(F.desc("importance"), "feature").limit(top)
 
 
-def fit_final(training: DataFrame, pipeline: PipelineModel, params: dict) -> tuple[PipelineModel, GBTClassificationModel]:
-    """Refit on every row; returns the whole scoring pipeline and its tree model."""
-    trees = classifier(params, widest_category(pipeline), early_stopping=False).fit(training)
-    return PipelineModel(stages=[*pipeline.stages, trees]), trees
+def fit_final(training: DataFrame, pipeline: PipelineModel, params: dict, widest: int | None = None) -> tuple[PipelineModel, Boosted]:
+    """Refit on every row; returns the whole scoring pipeline and its trees."""
+    widest = widest_category(pipeline) if widest is None else widest
+    trees = fit_trees(training, params, widest, early_stopping=False)
+    return PipelineModel(stages=[*pipeline.stages, *trees.stages()]), trees
 
 
 def score(model: PipelineModel, df: DataFrame, key: str, threshold: float = 0.5) -> DataFrame:
     """(key, predicted_prob, predicted_label).  Absent feature columns count as 0."""
-    indexers = [s for s in model.stages if hasattr(s, "labelsArray")]
-    texts = [c for s in indexers for c in s.getInputCols()]
+    codes = _codes(model)
+    texts = codes.columns if codes else []
     numeric = [c for s in model.stages if hasattr(s, "surrogateDF") for c in s.getInputCols()]
     aligned = df.withColumns(
         {
@@ -219,5 +263,5 @@ def score(model: PipelineModel, df: DataFrame, key: str, threshold: float = 0.5)
             **{c: F.lit("0") for c in texts if c not in df.columns},
         }
     )
-    scored = model.transform(typed(aligned, numeric, texts)).withColumn("predicted_prob", positive_probability())
+    scored = model.transform(typed(aligned, numeric, texts).select(key, *numeric, *texts))
     return scored.select(key, "predicted_prob", (F.col("predicted_prob") >= threshold).cast("int").alias("predicted_label"))

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from functools import reduce
 from itertools import product
+from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -29,10 +32,14 @@ KEY_FEATURES = [
 # ----------------------------------------------------------------------------
 
 
-def search(df: DataFrame, key: str, trials: int, bounds: dict | None, seed: int = 42) -> DataFrame:
-    """(trial, <parameters>, auc_mean_fold) of a seeded random search over one feature table."""
+# Points of the grid that are searched at the same time.
+POINTS = 4
+
+
+def search(df: DataFrame, key: str, trials: int, bounds: dict | None, seed: int = 42, ledger: str | None = None, point: str = "") -> DataFrame:
+    """(trial, <parameters>, trees, auc_mean_fold) of a seeded, model-based search over one feature table."""
     training, model = learn.prepare(df, key=key)
-    return learn.cross_validate(training, learn.sample_trials(trials, seed, bounds), learn.widest_category(model))
+    return learn.model_search(training, trials, bounds, seed, learn.widest_category(model), ledger=ledger, point=point)
 
 
 def grid_search(
@@ -43,23 +50,27 @@ def grid_search(
     trials: int = learn.TRIALS,
     bounds: dict | None = None,
     impute_options: dict | None = None,
+    ledger: str | None = None,
 ) -> DataFrame:
-    """(epochs, hidden, imputer_rate, trial, <parameters>, auc_mean_fold) over imputer settings.
+    """(epochs, hidden, imputer_rate, trial, <parameters>, trees, auc_mean_fold) over imputer settings.
 
-    The settings are a short list; every point is a sequence of distributed jobs over the whole table.
+    The settings are a short list; every point is a sequence of distributed jobs over the whole table, ``POINTS`` of them at once.
+    With ``ledger``, a folder, each finished fit is noted there: a search that was cut off goes on behind its last fit.
     """
     df = materialise(df, "features")
-    out = None
-    for settings in grid or GRID:
+
+    def point(settings: impute.Settings) -> DataFrame:
         filled = impute.impute_chain(df, targets, settings, **(impute_options or {}))
-        point = search(filled, key, trials, bounds).select(
+        name = f"{settings.epochs}_{settings.hidden}_{settings.learning_rate}"
+        return search(filled, key, trials, bounds, ledger=ledger, point=name).select(
             F.lit(settings.epochs).alias("epochs"),
             F.lit(settings.hidden).alias("hidden"),
             F.lit(settings.learning_rate).alias("imputer_rate"),
             "*",
         )
-        out = point if out is None else out.unionByName(point)
-    return out
+
+    with ThreadPool(POINTS) as pool:
+        return reduce(DataFrame.unionByName, pool.map(inheritable_thread_target(df.sparkSession)(point), grid or GRID, chunksize=1))
 
 
 def run_experiments(
@@ -74,14 +85,15 @@ def run_experiments(
 ) -> dict:
     """Search, refit the winner on all rows and write its artefacts under ``out_dir``; returns the winner's settings.
 
-    Written: trials, winner (settings and parameters), model (scoring pipeline), category_map, oof_predictions,
-    trial_report (metrics of the out-of-fold scores), importance, roc_curve, misclassified.
+    Written: trials, winner (settings and parameters), model (scoring pipeline), imputers (with ``imputation``), category_map,
+    oof_predictions, trial_report (metrics of the out-of-fold scores), importance, roc_curve, misclassified; in ledger every
+    finished fit, so that a run that was cut off can be started again with the same ``out_dir``.
     """
     features = materialise(features, "features")
     if imputation:
-        trials_table = grid_search(features, grid, key=key, trials=trials, bounds=bounds, impute_options=impute_options)
+        trials_table = grid_search(features, grid, key=key, trials=trials, bounds=bounds, impute_options=impute_options, ledger=f"{out_dir}/ledger")
     else:
-        trials_table = search(features, key, trials, bounds).select(
+        trials_table = search(features, key, trials, bounds, ledger=f"{out_dir}/ledger").select(
             F.lit(NO_IMPUTATION.epochs).alias("epochs"),
             F.lit(NO_IMPUTATION.hidden).alias("hidden"),
             F.lit(NO_IMPUTATION.learning_rate).alias("imputer_rate"),
@@ -91,7 +103,10 @@ def run_experiments(
     settings = impute.Settings(winner["epochs"], winner["hidden"], winner["imputer_rate"])
     params = {k: winner[k] for k in learn.PARAMETERS if winner[k] is not None}
 
-    filled = impute.impute_chain(features, settings=settings, **(impute_options or {})) if imputation else features
+    filled = features
+    if imputation:
+        chain, filled = impute.fit_chain(features, settings=settings, **(impute_options or {}))
+        impute.save_chain(features.sparkSession, chain, f"{out_dir}/imputers")
     training, pipeline = learn.prepare(filled, key=key)
     widest = learn.widest_category(pipeline)
     oof = learn.out_of_fold(training, params, key, widest)

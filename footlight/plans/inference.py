@@ -22,11 +22,11 @@ def score_titles(
     out_dir: str,
     directing: str | None = None,
     writing: str | None = None,
-    imputation: impute.Settings | None = None,
+    imputation: bool = False,
 ) -> DataFrame:
     """(tconst, predicted_prob, predicted_label) for the rows of ``titles``.
 
-    Column types, clamp limits, vocabularies and category codes are those fitted in training.
+    Column types, clamp limits, vocabularies, category codes and (``imputation``) imputers are those fitted in training.
     """
     classes = {r["column"]: r["kind"] for r in spark.read.parquet(f"{training_dir}/column_classes").collect()}
     bounds = outliers.load_bounds(spark.read.parquet(f"{training_dir}/clamp_bounds"))
@@ -36,8 +36,8 @@ def score_titles(
     prepare.enrich_phase(spark, out_dir, payloads, spark.read.parquet(f"{training_dir}/vocabularies"))
     prepare.graph_phase(spark, out_dir)
     features = spark.read.parquet(f"{out_dir}/features")
-    if imputation is not None:
-        features = impute.impute_chain(features, settings=imputation)
+    if imputation:
+        features = impute.apply_chain(features, impute.load_chain(spark, f"{model_dir}/imputers"))
     return learn.score(PipelineModel.load(f"{model_dir}/model"), features, "tconst")
 
 

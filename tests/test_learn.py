@@ -142,10 +142,10 @@ def test_branch_is_told_and_its_limits_are_arguments(spark, gaps):
     assert set(filled(gaps, out, "letter").values()) == {"Unknown"}
 
 
-def test_only_applied_parameters_are_searched(spark, examples):
+def test_parameters_act(spark, examples):
     trials = learn.sample_trials(4)
-    assert all(set(t) == set(learn.PARAMETERS) for t in trials)
-    base = {"n_estimators": 2, "learning_rate": 0.2, "max_depth": 3, "min_info_gain": 0.0, "min_instances": 1, "subsample": 1.0}
+    assert all(set(t) == set(learn.BOUNDS) <= set(learn.PARAMETERS) for t in trials)
+    base = {"n_estimators": 2, "learning_rate": 0.2, "max_depth": 3, "reg_alpha": 0.0, "reg_lambda": 0.0, "min_info_gain": 0.0, "min_instances": 1, "subsample": 1.0}
     training, model = learn.prepare(examples)
 
     def scores(**changed):
@@ -153,10 +153,12 @@ def test_only_applied_parameters_are_searched(spark, examples):
         return [r[0] for r in oof.orderBy("tconst").select("predicted_prob").collect()]
 
     first = scores()
-    for change in ({"min_info_gain": 0.2}, {"min_instances": 60}, {"subsample": 0.5}, {"max_depth": 1}, {"n_estimators": 4}, {"learning_rate": 0.9, "n_estimators": 3}):
+    changes = [{"min_info_gain": 3.0}, {"min_instances": 60}, {"subsample": 0.5}, {"max_depth": 1}, {"n_estimators": 4}, {"learning_rate": 0.9}, {"reg_alpha": 3.0}, {"reg_lambda": 5.0}]
+    for change in changes:
         assert scores(**change) != first, change
+    assert set(scores(reg_alpha=1000.0)) == {0.5}
     table = learn.cross_validate(training, [base], learn.widest_category(model))
-    assert set(table.columns) == {"trial", *learn.PARAMETERS, "auc_mean_fold"}
+    assert set(table.columns) == {"trial", *learn.PARAMETERS, "trees", "auc_mean_fold"}
 
 
 def test_saved_category_map_is_applied(spark, examples):
@@ -248,28 +250,81 @@ def test_grid_over_imputer_settings(spark, examples):
     assert [r["epochs"] for r in got] == [1, 2] and len(experiments.GRID) == 8
 
 
-def test_search_queries_search_the_whole_space(monkeypatch):
-    from footlight.plans import experiments, queries_learn
+def test_finished_fits_are_not_repeated(spark, examples, tmp_path, monkeypatch):
+    """A search that is cut off goes on behind its last fit, and ends as one that was not."""
+    training, model = learn.prepare(examples)
+    options = {"n": 3, "bounds": BOUNDS, "widest": learn.widest_category(model), "batch": 2}
+    whole = learn.model_search(training, **options).collect()
+    real, fits = learn.fit_trees, []
+
+    def few(*args, **kw):
+        fits.append(args[1])
+        if len(fits) > 4:
+            raise RuntimeError("cut off")
+        return real(*args, **kw)
+
+    monkeypatch.setattr(learn, "fit_trees", few)
+    monkeypatch.setattr(learn, "ThreadPool", lambda n: Serial())
+    with pytest.raises(RuntimeError):
+        learn.model_search(training, ledger=f"{tmp_path}/ledger", point="p", **options)
+    fits.clear()
+    monkeypatch.setattr(learn, "fit_trees", lambda *args, **kw: (fits.append(args[1]), real(*args, **kw))[1])
+    assert learn.model_search(training, ledger=f"{tmp_path}/ledger", point="p", **options).collect() == whole
+    assert len(fits) == 3 * learn.FOLDS - 4
+    fits.clear()
+    learn.model_search(training, ledger=f"{tmp_path}/ledger", point="p", **options)
+    assert fits == []
+
+
+class Serial:
+    """A pool of one thread."""
+
+    def __enter__(self):
+        return self
 
-    asked = {}
-    monkeypatch.setattr(queries_learn, "_training", lambda spark, sf: (None, None))
-    monkeypatch.setattr(learn, "widest_category", lambda model: 0)
-    monkeypatch.setattr(learn, "cross_validate", lambda training, trials, widest: asked.update(trials=trials))
-    queries_learn.random_search(None, "")
-    assert asked["trials"] == learn.sample_trials(25) and max(t["n_estimators"] for t in asked["trials"]) > 500
-    monkeypatch.setattr(queries_learn, "labelled_documents", lambda spark, sf: Documents())
-    monkeypatch.setattr(queries_learn.F, "col", lambda c: Documents())
-    monkeypatch.setattr(queries_learn.F, "when", lambda *c: None)
-    monkeypatch.setattr(experiments, "grid_search", lambda docs, grid, targets, **kw: asked.update(grid=grid, **kw))
-    queries_learn.experiment_grid(None, "")
-    assert len(asked["grid"]) == 8 and (asked["trials"], asked["bounds"]) == (25, learn.BOUNDS)
+    def __exit__(self, *_):
+        return None
 
+    def map(self, function, items, chunksize=1):
+        return [function(i) for i in items]
 
-class Documents:
-    """Stands for a table and its columns, of which nothing is read."""
 
-    def withColumn(self, *_):
-        return self
+def test_fits_of_a_row_do_not_depend_on_its_batch(spark, gaps, tmp_path):
+    """An imputer fitted in training, saved and loaded, fills one row as it fills all."""
+    chain, out = impute.fit_chain(gaps, ["number", "letter", "clue"], impute.Settings(epochs=3), ignored=["id"], later=True)
+    impute.save_chain(spark, chain, f"{tmp_path}/imputers")
+    loaded = impute.load_chain(spark, f"{tmp_path}/imputers")
+    assert [(f.target, f.branch) for f in loaded] == [("number", "model"), ("letter", "model"), ("clue", "dense")]
+    rows = {r["id"]: r for r in out.collect()}
+    assert {r["id"]: r for r in impute.apply_chain(gaps, loaded).collect()} == rows
+    one = impute.apply_chain(gaps.where("id = 20"), loaded).collect()
+    assert one == [rows[20]] and gaps.where("id = 20 and number is null and letter is null").count() == 1
+    lost = impute.apply_chain(gaps.where("id = 1").withColumn("clue", F.lit(None).cast("double")), loaded).first()
+    assert lost["clue"] == 1.0  # the median of training
 
-    def __mod__(self, _):
-        return 0
+
+def test_wide_categories_are_hashed(spark):
+    rows = spark.range(2400).select(
+        "id", F.concat(F.lit("c"), F.col("id") % 1200).alias("wide"), (F.col("id") % 2).cast("double").alias("clue"),
+        F.when(F.col("id") % 5 != 0, F.col("id") % 2 * 10).alias("number"),
+    )
+    fitted = impute.fit_imputer(rows, "number", impute.Settings(epochs=2), ignored=["id"])
+    assert not any(hasattr(s, "labelsArray") for s in fitted.model.stages)
+    assert len(fitted.model.transform(impute.prepared_inputs(rows, fitted.inputs, [])).first()["_features"]) == impute.HASH_FEATURES + 1
+
+
+def test_codes_stay_in_their_table(spark, tmp_path):
+    """Many categories: coded by a join, saved, loaded, applied; the driver holds one number per column."""
+    rows = spark.range(60_000).select(
+        F.concat(F.lit("k"), F.col("id").cast("string")).alias("tconst"), (F.col("id") % 2).cast("int").alias("label"),
+        F.concat(F.lit("v"), (F.col("id") % 20_000).cast("string")).alias("many"), F.when(F.col("id") % 3 > 0, (F.col("id") % 2).cast("string")).alias("few"),
+    )
+    training, pipeline = learn.prepare(rows)
+    assert pipeline.stages[0].sizes == [20_000, 3] and learn.widest_category(pipeline) == 4
+    model, _ = learn.fit_final(training, pipeline, PARAMS, 32)
+    model.write().overwrite().save(f"{tmp_path}/model")
+    loaded = PipelineModel.load(f"{tmp_path}/model")
+    new = spark.createDataFrame([("a", "v7", "1"), ("b", "never", "0"), ("c", None, None)], "tconst string, many string, few string")
+    assert learn.score(loaded, new, "tconst").collect() == learn.score(model, new, "tconst").collect()
+    codes = {r["value"]: r["code"] for r in learn.category_map(loaded, rows).where("column = 'many'").collect()}
+    assert sorted(codes.values()) == list(range(20_000)) and codes["v0"] == 0 and codes["v1"] == 1
