@@ -32,6 +32,8 @@ _ROUNDS, _MORE_ROUNDS = 10, 4
 # A word counts at least this much in every language, relative to its best: misspellings decide nothing alone.
 _FLOOR = 1e-4
 UNDETERMINED = "und"
+# Logarithmic likelihood of a letter's trigram when every one is as likely as any other.
+BACKGROUND = -float(np.log(BUCKETS))
 
 
 @lru_cache(1)
@@ -117,12 +119,12 @@ def _mixture(p: np.ndarray, start: np.ndarray, counts: np.ndarray, share: np.nda
 
 
 def _infer(bucket: np.ndarray, begins: np.ndarray, row: np.ndarray, n: int, model: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Proportions (rows x languages, zero where not in the document's set) and the number of words of each row."""
-    shares = np.zeros((n, model.shape[1]))
+    """Proportions (rows x languages, zero where not in the document's set) and the penalised likelihood per letter of each row."""
+    shares, fits = np.zeros((n, model.shape[1])), np.full(n, -np.inf)
     words = np.bincount(row[begins], minlength=n) if len(row) else np.zeros(n, np.int64)
     docs = np.flatnonzero(words)
     if not len(docs) or not model.shape[1]:
-        return shares, words
+        return shares, fits
     score = np.add.reduceat(model[bucket], np.flatnonzero(begins), axis=0)
     p = np.maximum(np.exp(score - score.max(axis=1, keepdims=True)), np.float32(_FLOOR))
     counts = words[docs]
@@ -163,7 +165,9 @@ def _infer(bucket: np.ndarray, begins: np.ndarray, row: np.ndarray, n: int, mode
         if not len(undecided):
             break
     shares[docs] = best
-    return shares, words
+    most = np.add.reduceat(score.max(axis=1).astype(np.float64), start)
+    fits[docs] = (best_value + most) / np.bincount(row, minlength=n)[docs]
+    return shares, fits
 
 
 def _judge(model):
@@ -173,7 +177,7 @@ def _judge(model):
         for batch in batches:
             for part in textops.slices(batch, "_text", _SLICE):
                 bucket, begins, row = _trigrams(part.column("_text"))
-                shares, words = _infer(bucket, begins, row, part.num_rows, weights)
+                shares, fits = _infer(bucket, begins, row, part.num_rows, weights)
                 some = shares.sum(axis=1) > 0
                 top = np.where(some, shares.argmax(axis=1) if len(langs) else 0, len(langs))
                 value = np.where(some, shares.max(axis=1, initial=0), 0.0)
@@ -189,22 +193,24 @@ def _judge(model):
                         pa.array(np.minimum(value, 1.0)),
                         textops.lists(sets, sizes, pa.string()),
                         textops.lists(parts, sizes, pa.float64()),
+                        pa.array(fits - BACKGROUND),
                     ],
-                    [*[k for k in part.schema.names if k != "_text"], "lang_pred", "score", "languages", "shares"],
+                    [*[k for k in part.schema.names if k != "_text"], "lang_pred", "score", "languages", "shares", "fit"],
                 )
 
     return run
 
 
 def identify(docs: DataFrame, model: tuple[list[str], np.ndarray], keep: list[str], text_column: str = "text") -> DataFrame:
-    """Columns ``keep`` and lang_pred, score, languages, shares: a row per row, without a shuffle.
+    """Columns ``keep`` and lang_pred, score, languages, shares, fit: a row per row, without a shuffle.
 
     ``languages`` is the document's set by falling share, ``lang_pred`` its first, ``score`` that one's share.  A null
-    text, one without a letter, or a model without languages gives ``und``, 0 and empty lists.  Equal shares go to the
-    language first in order.
+    text, one without a letter, or a model without languages gives ``und``, 0, empty lists and a fit of minus infinity.  Equal
+    shares go to the language first in order.  ``fit`` is the set's likelihood per letter, less its penalty, against a background
+    in which all trigrams are alike: below 0 the text is better explained by no language than by those of the model.
     """
     kept = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep)
     sent = docs.sparkSession.sparkContext.broadcast(model)
     named = docs.select(*keep, F.col(text_column).cast("string").alias("_text"))
-    made = "lang_pred string, score double, languages array<string>, shares array<double>"
+    made = "lang_pred string, score double, languages array<string>, shares array<double>, fit double"
     return named.mapInArrow(_judge(sent), f"{kept}, {made}")

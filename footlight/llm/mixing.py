@@ -92,23 +92,26 @@ def mix(
     source_column: str = "source",
     share: tuple[int, int] = (3, 2),
     most: int = 2,
+    keep: Sequence[str] = (),
 ) -> DataFrame:
-    """(<id>, digest, source, size, source_size, target, taken, passes): one row per row of ``docs``.
+    """(<id>, digest, source, size, source_size, target, taken, passes, <keep>): one row per row of ``docs``.
 
     ``size`` counts the words of the whole text (null: 0); ``taken`` the words that the mix takes, repeats counted;
     ``passes`` lists (position, words) of each time that a document is taken, ``words`` falling short of ``size`` only where
     a target ends inside it.  A null source is a source like any other.  Rows that repeat an id are placed one after the
-    other; ids may be null.  ``digest`` names the row's text, to tell such rows apart.
+    other, rows without an id by their text.  ``digest`` names the row's text, to tell such rows apart.
     """
     size = F.coalesce(F.regexp_count(F.col(text_column).cast("string"), F.lit(WORD)), F.lit(0)).cast("long")
     source = F.col(source_column).cast("string")
+    nameless = F.concat(F.lit("text "), F.xxhash64(F.col(text_column).cast("string")).cast("string"))
     rows = docs.select(
         F.col(id_column).alias("id"),
         source.alias("source"),
         size.alias("size"),
         F.xxhash64(F.col(text_column).cast("string")).alias("digest"),
         F.coalesce(F.concat(F.lit("="), source), F.lit("")).alias("key"),
-        F.md5(F.coalesce(F.col(id_column).cast("string"), F.lit("")).cast("binary")).alias("place"),
+        F.md5(F.coalesce(F.col(id_column).cast("string"), nameless).cast("binary")).alias("place"),
+        F.struct(F.lit(0).alias("_"), *keep).alias("rest"),
     )
     rows = materialise(rows, "sized")
     sources = rows.groupBy("key").agg(F.first("source").alias("source"), F.sum("size").alias("words"), F.count(F.lit(1)).alias("n"))
@@ -134,8 +137,9 @@ def mix(
     rows = rows.withColumn("passes", F.filter(F.array(*passes), lambda p: p["words"] > 0))
     taken = F.aggregate("passes", F.lit(0).cast("long"), lambda a, p: a + p["words"])
     return rows.select(
-        F.col("id").alias(id_column), "digest", "source", "size", F.col("words").alias("source_size"), "target", taken.alias("taken"), "passes"
-    )
+        F.col("id").alias(id_column), "digest", "source", "size", F.col("words").alias("source_size"), "target", taken.alias("taken"), "passes",
+        *[F.col("rest").getField(c).alias(c) for c in keep],
+    )
 
 
 def training_order(mixed: DataFrame, id_column: str = "doc_id") -> DataFrame:

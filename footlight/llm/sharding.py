@@ -5,7 +5,8 @@ Rows are ordered by a digest of their text, then of their id, so equal texts lie
 1. A sample of keys, each row's chance in proportion to its size, is drawn; its quantiles are splitters, and a key drawn
    several times becomes a range of its own.
 2. Rows are partitioned into these ranges.  A range with more than twice its share is subdivided: by the digest of the id
-   where it is a single heavy text, by the digest of the text elsewhere.
+   where it is a single heavy text, by the digest of the text elsewhere.  Rows of a heavy text that have no id are alike: they are
+   dealt to as many cells as they come.
 3. Exact sums over the resulting cells (a few per splitter) give every row its place in the whole order, and with it
    its shard: where the middle of its group of equal texts falls.  A group above ``GROUP_SHARE`` of a shard is dealt row by
    row, so one group cannot overfill a shard.
@@ -59,7 +60,7 @@ def assign_shards(
     )
     # 52 bits of the digest are a whole number that a double holds exactly; null texts come first.
     number = F.coalesce(F.conv(F.substring("key", 1, 13), 16, 10).cast("double"), F.lit(-1.0))
-    rows = materialise(rows.withColumn("number", number), "keyed")
+    rows = materialise(rows.withColumns({"number": number, "salt": F.monotonically_increasing_id()}), "keyed")
     total, n = rows.agg(F.coalesce(F.sum("size"), F.lit(0)), F.count(F.lit(1))).first()
     ranges = ranges or RANGES * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
     cuts = _splitters(rows, ranges, total)
@@ -90,10 +91,18 @@ def assign_shards(
     by_place = F.conv(F.substring("place", 1, 8), 16, 10).cast("double") / F.lit(float(1 << 32))
     by_key = (F.col("number") - F.col("low")) / (F.col("high") - F.col("low") + 1)
     part = F.floor(F.when(F.col("heavy"), by_place).otherwise(by_key) * F.col("parts"))
-    rows = rows.withColumn("part", part).drop("low", "high", "parts")
+    # Rows without an id come first in their text, and which of them comes first makes no difference.
+    nameless = F.col("heavy") & (F.col("place") == "")
+    rows = rows.withColumns(
+        {
+            "part": F.when(nameless, F.lit(-1).cast("long")).otherwise(part),
+            "deal": F.when(nameless, F.pmod(F.xxhash64("salt"), F.col("parts").cast("long"))).otherwise(0),
+        }
+    )
+    rows = rows.drop("low", "high", "parts", "salt")
     rows = materialise(rows, "cells")
 
-    cell = ["range", "layer", "part"]
+    cell = ["range", "layer", "part", "deal"]
     sums = rows.groupBy(*cell).agg(F.sum("size").alias("bytes"), F.count(F.lit(1)).alias("rows"))
     earlier = Window.orderBy(*cell).rowsBetween(Window.unboundedPreceding, -1)
     offsets = sums.select(*cell, *[F.coalesce(F.sum(c).over(earlier), F.lit(0)).alias(f"{c}_before") for c in ("bytes", "rows")])

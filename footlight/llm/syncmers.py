@@ -1,47 +1,40 @@
 """Document fingerprints by closed syncmers, in DataFrame expressions only.
 
-A text is its words; a *k-mer* is ``K`` consecutive words, its inner strings are the runs of ``S`` words in it.  A k-mer is
-an anchor when the lowest hash among its inner strings stands at either edge.  That depends on its own words alone, not on
-what surrounds them, so equal passages give equal anchors wherever they are, and every stretch of K - S + 1 k-mers has one.
+A text is a row of *units*: its words, cut from their beginning into pieces of at most ``PIECE`` code points.  A *k-mer* is ``K``
+consecutive units, its inner strings are the runs of ``S`` units in it.  A k-mer is an anchor when the lowest hash among its inner
+strings stands at either edge.  That depends on its own units alone, not on what surrounds them, so equal passages give
+equal anchors wherever they are, and every stretch of K - S + 1 k-mers has one.
 
-A fingerprint lists position and hash of each anchor in text order (``position:hash``, joined by blanks).
+A fingerprint lists position and hash of each anchor in text order (``position:hash``, joined by blanks).  Likeness is taken from the
+fingerprints themselves.
 
-Two texts have an anchor in common for sure if they share a stretch of 2 K - S units, 14 words.  So texts of few words, and those
-written without blanks, are fingerprinted by *characters* where ``short`` is given: the units are code points, k-mers have
-``CHAR_K`` of them, and 8 shared ones are enough.  Two texts are compared by characters if either is short, else by words.
+Two texts have an anchor in common for sure if they share a stretch of 2 K - S units, about five words.  Texts without blanks have
+units as well: copies share them as far as they begin alike, or behind the next blank.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from footlight.operators.ordering import cut_points, with_buckets
 from footlight.session import materialise
 
-K, S = 8, 2
-CHAR_K, CHAR_S = 5, 2
-# Texts of fewer words are short: half of one still has twice the 14 shared words that are needed.
-SHORT = 64
-_BLANK = r"[\x20\x09-\x0D]+"
-
+K, S, PIECE = 5, 2, 4
+# Buckets of rows without an id, by their texts.
+NAMELESS = 1024
 
-def words(text: Column) -> Column:
-    return F.filter(F.split(F.coalesce(text.cast("string"), F.lit("")), _BLANK, -1), lambda w: w != "")
 
-
-def characters(text: Column) -> Column:
-    return F.filter(F.split(F.coalesce(text.cast("string"), F.lit("")), "", -1), lambda c: c != "")
+def units(text: Column) -> Column:
+    return F.regexp_extract_all(F.coalesce(text.cast("string"), F.lit("")), F.lit(rf"[^\x20\x09-\x0D]{{1,{PIECE}}}"), F.lit(0))
 
 
 def anchors(df: DataFrame, text: str, name: str) -> DataFrame:
     """Adds array ``name`` of (position, hash) structs, the anchors of column ``text`` in order.
 
-    Texts with fewer than K words have one anchor, the whole sequence; null and blank texts have none.
+    Texts with fewer than K units have one anchor, the whole sequence; null and blank texts have none.
     """
-    return anchors_of(df, words(F.col(text)), name, K, S)
+    return anchors_of(df, units(F.col(text)), name, K, S)
 
 
 def anchors_of(df: DataFrame, units: Column, name: str, k: int, s: int) -> DataFrame:
@@ -81,14 +74,17 @@ def with_next(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
     """(id, text, next_text, and what ``_next_row`` needs): each row with the text of the next one by descending id.
 
     The last is followed by the first.  Rows go to buckets of ids; each bucket also gets the first row of the bucket that
-    follows, so the order inside the buckets is enough.  Null ids come last; equal ids are ordered by a hash of the text.
+    follows, so the order inside the buckets is enough.  Null ids come last; equal ids, and null ones, are ordered by a hash of the
+    text, which deals the null ones to ``NAMELESS`` buckets.
     """
     rows = docs.select(
         F.col(id_column).alias("id"), F.col(text_column).cast("string").alias("text"), F.xxhash64(F.col(text_column).cast("string")).alias("tk")
     )
     cuts = cut_points(rows.where(F.col("id").isNotNull()), ["id"])
     bucketed = with_buckets(rows, cuts).withColumnRenamed("_b_id", "bucket")
-    bucketed = bucketed.withColumn("bucket", F.when(F.col("id").isNull(), -1).otherwise(F.col("bucket")))
+    share = (F.lit(2.0**63) - F.col("tk").cast("double")) / F.lit(2.0**64)
+    nameless = -1 - F.least(F.floor(share * F.lit(NAMELESS)), F.lit(NAMELESS - 1)).cast("int")
+    bucketed = bucketed.withColumn("bucket", F.when(F.col("id").isNull(), nameless).otherwise(F.col("bucket")))
     place = F.struct(F.coalesce(F.col("id").cast("double"), F.lit(float("-inf"))), F.coalesce(F.col("id"), F.lit(0)), "tk")
     heads = bucketed.groupBy("bucket").agg(F.max_by(F.struct("id", "text", "tk"), place).alias("head"))
     heads = materialise(heads, "heads")  # a row per bucket
@@ -99,13 +95,11 @@ def with_next(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
     return rows.unionByName(heads.select("bucket", "head.id", "head.text", "head.tk", F.lit(True).alias("_next_row")))
 
 
-def compare_neighbours(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", short: int = 0) -> DataFrame:
+def compare_neighbours(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """Fingerprints of every whole text and of its edited text, and how alike they and the next document's are.
 
     (<id>, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next), a row per row.  The edited text
     has its second half, rounded down, replaced by as many code points from the start of the next document (or all).
-
-    Texts of fewer than ``short`` words have anchors of characters, and so has whatever one of them is compared with.
     """
     rows = with_next(docs, id_column, text_column)
     order = Window.partitionBy("bucket").orderBy("_next_row", F.desc_nulls_last("id"), F.desc_nulls_last("tk"))
@@ -115,35 +109,14 @@ def compare_neighbours(docs: DataFrame, id_column: str = "doc_id", text_column:
     half = F.floor(n / 2).cast("int")
     rows = rows.withColumn("edited", F.concat(F.substring(text, F.lit(1), n - half), F.substring(other, F.lit(1), half)))
     rows = anchors(rows, "text", "own")
-    lead = ["own"]
-    if short:
-        for c in ("text", "edited"):
-            rows = rows.withColumn(f"{c}_short", F.size(words(F.col(c))) < short)
-        # A bucket's first row is the row that another bucket ends with: what comes before it is not known there.
-        before = F.lag("text_short", 1).over(order)
-        after = F.lead("text_short", 1).over(order)
-        asked = [F.col("text_short"), F.col("edited_short"), *[F.coalesce(x, F.lit(False)) for x in (before, after)], F.col("_next_row")]
-        rows = rows.withColumn("asked", reduce(Column.__or__, asked))
-        rows = anchors_of(rows, F.when(F.col("asked"), characters(F.col("text"))), "own_chars", CHAR_K, CHAR_S)
-        lead += ["own_chars", "text_short"]
-    rows = rows.withColumns({f"next_{c}": F.lead(c).over(order) for c in lead}).where(~F.col("_next_row"))
+    rows = rows.withColumn("next_own", F.lead("own").over(order)).where(~F.col("_next_row"))
     rows = anchors(rows, "edited", "edited_own")
-    shown, shown_edited = F.col("own"), F.col("edited_own")
-    near_edited, near_next = likeness(F.col("own"), F.col("edited_own")), likeness(F.col("own"), F.col("next_own"))
-    if short:
-        by_chars = F.col("text_short") | F.col("edited_short")
-        rows = anchors_of(rows, F.when(by_chars, characters(F.col("edited"))), "edited_chars", CHAR_K, CHAR_S)
-        shown = F.when(F.col("text_short"), F.col("own_chars")).otherwise(shown)
-        shown_edited = F.when(F.col("edited_short"), F.col("edited_chars")).otherwise(shown_edited)
-        near_edited = F.when(by_chars, likeness(F.col("own_chars"), F.col("edited_chars"))).otherwise(near_edited)
-        next_by_chars = F.col("text_short") | F.col("next_text_short")
-        near_next = F.when(next_by_chars, likeness(F.col("own_chars"), F.col("next_own_chars"))).otherwise(near_next)
     return rows.select(
         F.col("id").alias(id_column),
         n.cast("long").alias("n_chars"),
         F.sha2("edited", 256).alias("edited_sha256"),
-        fingerprint(shown).alias("fingerprint"),
-        fingerprint(shown_edited).alias("edited_fingerprint"),
-        near_edited.alias("near_edited"),
-        near_next.alias("near_next"),
+        fingerprint(F.col("own")).alias("fingerprint"),
+        fingerprint(F.col("edited_own")).alias("edited_fingerprint"),
+        likeness(F.col("own"), F.col("edited_own")).alias("near_edited"),
+        likeness(F.col("own"), F.col("next_own")).alias("near_next"),
     )

@@ -90,9 +90,14 @@ def _xx(*parts) -> int:
     return seed - (1 << 64) if seed >> 63 else seed
 
 
-def anchors(text: str | None, k: int = 8, s: int = 2) -> list[tuple[int, int]]:
-    """(position, hash) of the closed syncmers of a text's words."""
-    h = [_xx(w) for w in words(text)]
+def units(text: str | None) -> list[str]:
+    """Words in pieces of four code points."""
+    return [w[i : i + 4] for w in words(text) for i in range(0, len(w), 4)]
+
+
+def anchors(text: str | None, k: int = 5, s: int = 2) -> list[tuple[int, int]]:
+    """(position, hash) of the closed syncmers of a text's units."""
+    h = [_xx(w) for w in units(text)]
     if len(h) < k:
         return [(0, _xx(*h))] if h else []
     inner = [_xx(*h[i : i + s]) for i in range(len(h) - s + 1)]

@@ -45,12 +45,29 @@ def test_language_stage_passes_all_columns_on(spark):
     assert [x["doc_id"] for x in got] == [1] and all(got[0][c] == c for c in names) and got[0]["text"] == "some text"
 
 
+def test_language_stage_decides(spark):
+    """Random letters and a language that no document teaches go; taught ones stay, short, mixed or long."""
+    taught = spark.read.parquet(f"{TESTDATA}/sf0.01/documents.parquet").select("doc_id", "text", "lang", "source", "n_chars")
+    strange = ["zxqv wkjh qqqq zzzx vvkq", "x", "qzxwvjjkqx", "\u042d\u0442\u043e \u0441\u043e\u0432\u0441\u0435\u043c \u0434\u0440\u0443\u0433\u043e\u0439 \u044f\u0437\u044b\u043a"]
+    extra = spark.createDataFrame([(10**6 + i, t, None, "a", len(t)) for i, t in enumerate(strange)], SCHEMA)
+    mixed = spark.createDataFrame([(2 * 10**6, "the of and to that der die und nicht", None, "a", 9), (2 * 10**6 + 1, "the and", None, "a", 7)], SCHEMA)
+    got = {x["doc_id"] for x in run(spark, "language", taught.unionByName(extra).unionByName(mixed)).select("doc_id").collect()}
+    assert got == {r[0] for r in taught.select("doc_id").collect()} | {2 * 10**6, 2 * 10**6 + 1}
+
+
 def test_near_duplicate_stage(spark):
+    """Rows are judged each, whatever their ids: the smallest id of a group stays, null last."""
     extra = [(3, None, None, "a", 0), (4000, "repeated row " * 9, "en", "a", 1), (4000, "repeated row " * 9, "en", "a", 1), (None, "no id " * 9, "en", "a", 1)]
-    got = run(spark, "near_duplicates", frame(spark, rows(extra), SCHEMA)).collect()
-    unique = {r[0]: r[1] for r in rows(extra)[: -4]} | {4000: extra[1][1]}
-    parts = brute.near_duplicates(unique, 5, (80, 100))
-    assert Counter(x["doc_id"] for x in got) == Counter([i for i, (_, c) in parts.items() if c == i] + [None])
+    extra += [(None, "no id " * 9, "en", "b", 1), (1, "text b " * 9, "en", "a", 1), (1, "text a " * 9, "en", "a", 1), (2, "text b " * 9, "en", "a", 1)]
+    given = rows(extra)
+    got = run(spark, "near_duplicates", frame(spark, given, SCHEMA)).collect()
+    parts = brute.near_duplicates({i: r[1] for i, r in enumerate(given)}, 5, (80, 100))
+    groups = {}
+    for i, (_, c) in parts.items():
+        groups.setdefault(c, []).append(i)
+    kept = [min(g, key=lambda i: (given[i][0] is None, given[i][0] or 0)) for g in groups.values()]
+    assert Counter((x["doc_id"], x["text"]) for x in got) == Counter((given[i][0], given[i][1]) for i in kept)
+    assert {(x["doc_id"], x["text"]) for x in got} >= {(1, "text b " * 9), (1, "text a " * 9), (None, "no id " * 9)}
 
 
 def test_repeat_stage(spark):
@@ -76,6 +93,19 @@ def test_mix_stage(spark):
     assert got == +expected and max(got.values()) == 2
 
 
+def test_mix_reaches_its_target_with_repeated_rows(spark, tmp_path):
+    """Rows that share id and text are taken each by its own place, from files and from memory."""
+    docs = spark.createDataFrame([(None, "one two three four five " * 20, "en", "a", 1)] * 50 + [(1, "a b c d " * 25, "en", "a", 2)] * 20, SCHEMA)
+    docs = docs.unionByName(spark.createDataFrame([(9, "w " * 10, "en", "b", 3)] * 30, SCHEMA))
+    docs.repartition(3).write.parquet(f"{tmp_path}/docs")
+    for given in (docs, spark.read.parquet(f"{tmp_path}/docs")):
+        target = {r["source"]: r["target"] for r in mixing.mix(given, corpus_pipeline.SCHEDULES).select("source", "target").distinct().collect()}
+        got = Counter()
+        for x in run(spark, "mix", given).collect():
+            got[x["source"]] += len(x["text"].split())
+        assert all(abs(got[s] - t) <= 100 for s, t in target.items()), (got, target)
+
+
 def test_piece_stage(spark):
     import sentencepiece
 

@@ -1,5 +1,6 @@
 """Operators on texts against plain versions, with null, empty, repeated, tied and very long inputs."""
 
+import hashlib
 import os
 import random
 import zlib
@@ -288,30 +289,62 @@ def test_fingerprints_of_odd_tables(spark):
     assert syncmers.compare_neighbours(frame(spark, [])).count() == 0
 
 
-def test_fingerprints_of_few_words_and_no_blanks(spark, monkeypatch):
+def test_fingerprints_of_few_words_and_no_blanks(spark):
+    """Texts of all lengths have one kind of anchor, and likeness is that of the fingerprints shown."""
     r = random.Random(11)
     word = lambda a: "".join(r.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(r.randint(a, 8)))
-    prose = [" ".join(word(4) for _ in range(n)) for n in [*range(4, 31), *range(4, 31), 60, 63, 64, 70, 300, 900]]
-    solid = ["".join(chr(r.randrange(0x4E00, 0x9FA5)) for _ in range(n)) for n in (16, 30, 200, 5000)] + ["\U0001f600\u6f22" * 30]
-    # Long by words, but not after the edit.
-    mixed = ["".join(r.choice("xyz") for _ in range(2000)) + " a" * 100]
-    texts = prose + solid + mixed + [None, "", " ", "one"]
+    prose = [" ".join(word(5) for _ in range(n)) for n in [*range(10, 31), *range(10, 31), 60, 63, 64, 70, 300, 900]]
+    solid = ["".join(chr(r.randrange(0x4E00, 0x9FA5)) for _ in range(n)) for n in (72, 200, 5000)] + ["\U0001f600\u6f22" * 40]
+    texts = prose + solid + ["".join(r.choice("xyz") for _ in range(2000)) + " a" * 100, None, "", " ", "one", "two words"]
     r.shuffle(texts)
     rows = list(enumerate(texts))
-    got = {x["doc_id"]: x for x in syncmers.compare_neighbours(frame(spark, rows), short=syncmers.SHORT).collect()}
+    got = {x["doc_id"]: x for x in syncmers.compare_neighbours(frame(spark, rows)).collect()}
     assert len(got) == len(rows)
+
+    def like(a, b):
+        x, y = ({p.split(":")[1] for p in f.split(" ") if p} for f in (a, b))
+        return 1.0 if not x and not y else len(x & y) / max(len(x), len(y))
+
     for i, text in rows:
         x = got[i]
-        assert (x["fingerprint"] == "") == (not text)
-        if len(text or "") > 12 and len(texts[(i - 1) % len(texts)] or "") > 4:
+        plain = " ".join(f"{p}:{h % (1 << 64):X}" for p, h in brute.anchors(text))
+        assert x["fingerprint"] == plain and (plain == "") == (not (text or "").strip())
+        assert x["near_edited"] == like(x["fingerprint"], x["edited_fingerprint"])
+        assert x["near_next"] == like(x["fingerprint"], got[(i - 1) % len(rows)]["fingerprint"])
+        if len(text or "") > 60 and len(texts[(i - 1) % len(texts)] or "") > 9:
             assert x["near_edited"] > x["near_next"]
 
-    # The plain version, with code points as the words of a short text.
-    monkeypatch.setattr(brute, "words", lambda text: list(text or "") if len((text or "").split()) < syncmers.SHORT else text.split())
-    for i, text in rows:
-        few = len((text or "").split()) < syncmers.SHORT
-        plain = brute.anchors(text, *((syncmers.CHAR_K, syncmers.CHAR_S) if few else (syncmers.K, syncmers.S)))
-        assert got[i]["fingerprint"] == " ".join(f"{p}:{h % (1 << 64):X}" for p, h in plain)
+
+def test_fingerprints_without_ids(spark):
+    """Rows without an id follow the others by a hash of their text, in many buckets."""
+    rows = [(None, f"some text number {i} of a few words {i * i}") for i in range(300)] + [(5, "with id"), (9, "with id too")]
+    got = syncmers.compare_neighbours(frame(spark, rows)).collect()
+    assert len(got) == 302
+    placed = syncmers.with_next(frame(spark, rows), "doc_id", "text").where("not _next_row").groupBy("bucket").count().collect()
+    assert len(placed) > 200 and max(r["count"] for r in placed) < 10
+    key = lambda t: brute._xx(t)
+    order = [(9, "with id too"), (5, "with id"), *sorted(rows[:300], key=lambda r: -key(r[1]))]
+    edited = Counter()
+    for i, (_, t) in enumerate(order):
+        other, half = order[(i + 1) % len(order)][1], len(t) // 2
+        edited[hashlib.sha256((t[: len(t) - half] + other[:half]).encode()).hexdigest()] += 1
+    assert Counter(x["edited_sha256"] for x in got) == edited
+
+
+def test_shards_hold_every_row(spark):
+    """Rows without an id, of one heavy text and of others, all get a shard and a slot."""
+    rows = [(None, "heavy " * 30)] * 400 + [(i, f"text {i}") for i in range(60)] + [(7, "heavy " * 30)] * 5 + [(None, None)] * 9
+    got = sharding.assign_shards(frame(spark, rows), 16).collect()
+    assert len(got) == len(rows) and Counter((r["doc_id"], r["size"]) for r in got) == Counter((i, len(t or "") + 1) for i, t in rows)
+    slots = defaultdict(list)
+    for r in got:
+        slots[r["shard"]].append(r["slot"])
+    assert all(sorted(v) == list(range(len(v))) for v in slots.values()) and set(slots) <= set(range(16))
+    sizes = Counter()
+    for r in got:
+        sizes[r["shard"]] += r["size"]
+    assert max(sizes.values()) - min(sizes.values()) < 2 * 181 + 20
+    assert sharding.assign_shards(frame(spark, [(None, "same")] * 100 + [(i, "x") for i in range(9)]), 16).count() == 109
 
 
 def test_anchors_need_no_context():

@@ -4,6 +4,7 @@ import base64
 import hashlib
 import json
 import math
+from collections import Counter
 import random
 import re
 
@@ -44,9 +45,9 @@ def linked(spark, rows, **kw):
     return {x["vec_id"]: (x["n_links"], x["component_id"]) for x in out}, len(out)
 
 
-@pytest.mark.parametrize("bucket, tile", [(2048, 512), (16, 8)])
-def test_similar_vectors(spark, monkeypatch, bucket, tile):
-    monkeypatch.setattr(binarycodes, "BUCKET", bucket)
+@pytest.mark.parametrize("sent, tile", [(500, 4096), (0, 4), (0, 4096), (500, 8)])
+def test_similar_vectors(spark, monkeypatch, sent, tile):
+    monkeypatch.setattr(binarycodes, "SENT", sent)
     monkeypatch.setattr(binarycodes, "TILE", tile)
     rows = vectors()
     got, n = linked(spark, rows)
@@ -64,11 +65,25 @@ def test_vectors_without_ids_and_empty_tables(spark):
 
 
 def test_number_of_tables_follows_the_label():
+    """The work grows like a power well below the square, and no pair is missed more often than told."""
+    work = []
     for n in (1, 2048, 10**5, 10**8, 10**11):
         bits, tables = binarycodes.tables_for(n, 0.93)
         together = (1 - math.acos(0.93) / math.pi) ** bits
-        assert n / 2**bits < 2 * binarycodes.BUCKET and (bits == 0 or (1 - together) ** tables <= binarycodes.MISS)
-    assert binarycodes.tables_for(10**11, 0.93)[1] < 500
+        assert bits == 0 or (1 - together) ** tables <= binarycodes.MISS
+        work.append(tables * n * (binarycodes.SENT + n / 2**bits))
+    assert binarycodes.tables_for(2048, 0.93) == (0, 1) and work[4] / work[3] < 1000**1.25
+
+
+@pytest.mark.parametrize("sent", [500, 0])
+def test_repeated_ids_count_each(spark, monkeypatch, sent):
+    """Rows of one id are vectors of their own, within a label and across labels."""
+    monkeypatch.setattr(binarycodes, "SENT", sent)
+    near = lambda x: [1.0, x, 0.5]
+    rows = [(1, near(0.1), 1), (1, near(0.11), 1), (1, near(0.1), 2), (4, near(0.12), 1), (3, near(0.12), 2), (2, near(0.12), 2), (1, [-1.0, 0.0, 0.0], 1)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    got = Counter(tuple(r) for r in binarycodes.near_vectors(df).collect())
+    assert got == Counter({(1, 2, 1, True): 3, (4, 2, 1, False): 1, (3, 2, 1, False): 1, (2, 2, 1, False): 1, (1, 0, 1, True): 1})
 
 
 def test_estimates_bound_the_cosine():
@@ -232,6 +247,6 @@ def test_vectors_of_usual_lengths(spark, monkeypatch):
     rows = [(10 * i + j, (c + r.standard_normal(1024) * 0.1).tolist(), 1) for i, c in enumerate(centres) for j in range(4)]
     expected = {r[0]: e for r, e in zip(rows, brute.similar_vectors(rows, 0.93))}
     assert set(expected.values()) == {(3, 10 * i) for i in range(6)}
-    for bucket in (2048, 8):
-        monkeypatch.setattr(binarycodes, "BUCKET", bucket)
+    for sent in (500, 0):
+        monkeypatch.setattr(binarycodes, "SENT", sent)
         assert linked(spark, rows)[0] == expected
