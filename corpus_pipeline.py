@@ -6,6 +6,7 @@ languages and sources, empty texts, repeated rows and empty tables are allowed;
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,29 +17,48 @@ from footlight.session import materialise
 # Weights 3, 1 and 2 in turn by source: falling, rising and even over the run.
 SCHEDULES = [[(0.0, 4.5), (1.0, 1.5)], [(0.0, 0.5), (0.5, 0.75), (1.0, 2.0)], [(0.0, 2.0), (1.0, 2.0)]]
 
+# Logarithm by which a letter may be less likely in the taught languages than among even trigrams: texts of taught languages, down
+# to single words, lie 5 above on average, random letters and untaught languages 2 to 8 below.
+STRANGE = 1.0
+
+
+def _own(docs: DataFrame, name: str) -> str:
+    """A column name that the documents do not have."""
+    while name in docs.columns:
+        name += "_"
+    return name
+
 
 def keep_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """A text that is null or has no letter goes; all others stay, also in languages that no labelled document teaches."""
+    """A text stays unless the taught languages explain it worse, by more than ``STRANGE`` per letter, than even trigrams do.
+
+    Null texts, texts without a letter, random letters and languages that no labelled document teaches go.  Where no document has
+    a language, nothing is taught, and every text with a letter stays.
+    """
     model = languages.fit(docs, "doc_id", "text", "lang")
     if not model[0]:
         return docs.where(F.col("text").rlike(r"\p{L}"))
     rest = [c for c in docs.columns if c != "text"]  # packed: identify adds columns that the table may have
     packed = docs.select("text", F.col("text").alias("_whole"), F.struct(F.lit(0).alias("_"), *rest).alias("_rest"))
-    judged = languages.identify(packed, model, ["_whole", "_rest"]).where(F.col("lang_pred") != languages.UNDETERMINED)
+    judged = languages.identify(packed, model, ["_whole", "_rest"]).where(F.col("fit") >= -STRANGE)
     return judged.select(*[F.col("_whole").alias(c) if c == "text" else F.col("_rest")[c].alias(c) for c in docs.columns])
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group stays, the one with the smallest id; of rows with one id, one.  Rows without id stay."""
-    found = materialise(minhash.near_duplicates(docs).select("doc_id", "kept"), "near_duplicates")
-    left = docs.join(found.where(~F.col("kept")).select("doc_id").distinct(), "doc_id", "left_anti")
-    often = found.where(F.col("kept") & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.count(F.lit(1)).alias("_n"))
-    often = materialise(often.where(F.col("_n") > 1), "repeated_ids")
-    if often.isEmpty():
-        return left.select(docs.columns)
-    marked = materialise(lookup_join(left, often, ["doc_id"], weight="_n"), "marked")
-    once = marked.where(F.col("_n").isNotNull()).dropDuplicates(["doc_id"])
-    return marked.where(F.col("_n").isNull()).unionByName(once).select(docs.columns)
+    """One row of each group of near duplicates stays, the one with the smallest id; rows without an id come last.
+
+    Rows are judged, not ids: each is a document of its own, also where it shares its id with others or has none.
+    """
+    row = _own(docs, "_row")
+    numbered = materialise(docs.withColumn(row, F.monotonically_increasing_id()), "numbered")
+    found = minhash.near_duplicates(numbered.select(row, "text"), id_column=row).select(row, "component_id")
+    named = numbered.select(row, "doc_id").join(found, row)
+    named = materialise(named, "components_of_rows")
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", row)
+    groups = named.groupBy("component_id").agg(F.min(order).alias("_first"), F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1)
+    groups = materialise(groups.select("component_id", "_n", F.col("_first")[row].alias("_kept")), "groups")
+    gone = lookup_join(named, groups, ["component_id"], weight="_n", how="inner").where(F.col(row) != F.col("_kept")).select(row)
+    return numbered.join(gone, row, "left_anti").select(docs.columns)
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -51,17 +71,27 @@ def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return left.select(*[made[c] if c in made else F.col("_rest")[c].alias(c) for c in docs.columns])
 
 
+def _keyed(docs: DataFrame) -> tuple[DataFrame, str]:
+    """The documents with a column that names each row: its place in its file, or a number written beside it."""
+    row = _own(docs, "_row")
+    try:
+        return docs.withColumn(row, F.concat_ws(":", "_metadata.file_path", F.col("_metadata.row_index").cast("string"))), row
+    except AnalysisException:  # not read from files
+        return materialise(docs.withColumn(row, F.monotonically_increasing_id().cast("string")), "numbered"), row
+
+
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mix takes at least half of them, in the order of training; the others go."""
-    mixed = mixing.mix(docs, SCHEDULES)
+    """Documents as often as the mix takes at least half of them, in the order of training; the others go.
+
+    Rows are taken, not ids: rows that share id and text are each taken as often as their own place in the mix says.
+    """
+    keyed, row = _keyed(docs)
+    mixed = mixing.mix(keyed, SCHEDULES, keep=[row])
     taken = F.filter("passes", lambda p: 2 * p["words"] >= F.col("size"))
-    times = mixed.select("doc_id", "digest", taken.alias("_passes")).where(F.size("_passes") > 0)
-    times = times.groupBy("doc_id", "digest").agg(F.max("_passes").alias("_passes"))  # rows of one id and text are taken alike
-    times = times.withColumnRenamed("doc_id", "_id")
-    digest = F.xxhash64(docs["text"].cast("string"))
-    each = docs.join(times, docs["doc_id"].eqNullSafe(times["_id"]) & (digest == times["digest"]))
-    each = each.select(*docs.columns, F.explode("_passes").alias("_pass"))
-    return each.orderBy("_pass.position", "doc_id").select(docs.columns)
+    passes, at = _own(docs, "_passes"), _own(docs, "_pass")
+    times = mixed.select(row, taken.alias(passes)).where(F.size(passes) > 0)
+    each = keyed.join(times, row).select(*docs.columns, F.explode(passes).alias(at))
+    return each.orderBy(f"{at}.position", "doc_id").select(docs.columns)
 
 
 def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
