@@ -103,6 +103,32 @@ def test_relations(spark, tmp_path, form):
     assert sorted(map(tuple, got.collect()), key=str) == sorted(EDGES, key=str)
 
 
+def test_one_array_is_many_tasks(spark, tmp_path):
+    """A single file with an array of a million objects is read in pieces, edges mended; what cannot be cut is read whole."""
+    n = 1_000_000
+    with open(tmp_path / "large.json", "w") as f:
+        f.write("[" + ", \n".join(f'{{"movie": "tt{i}", "writer": {f"""\"nm{i % 7}\"""" if i % 9 else "null"}}}' for i in range(n)) + "]\n")
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1m")
+    try:
+        got = tables.read_relation(spark, f"{tmp_path}/large.json")
+        assert got.rdd.getNumPartitions() > 10
+        row = got.agg(F.count("tconst"), F.countDistinct("tconst"), F.count("nconst"), F.max(F.length("nconst"))).first()
+        assert tuple(row) == (n, n, n - (n + 8) // 9, 3)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
+@pytest.mark.parametrize("movie", ["a } b", "x\"}, {\"movie\": \"y", "[", "tt\\1", "é,"])
+def test_arrays_with_odd_strings(spark, tmp_path, movie):
+    records = [{"movie": movie, "writer": "w"}, {"writer": None, "movie": "b", "more": 3}, {"movie": None}]
+    (tmp_path / "r.json").write_text(json.dumps(records, ensure_ascii=False))
+    got = tables.read_relation(spark, f"{tmp_path}/r.json")
+    assert sorted(map(tuple, got.collect()), key=str) == sorted([(movie, "w"), ("b", None), (None, None)], key=str)
+    (tmp_path / "e.json").write_text(" [ ]")
+    assert tables.read_relation(spark, f"{tmp_path}/e.json").count() == 0
+
+
 def test_payload_flattening(spark):
     full = {"popularity": 1.5, "budget": 10, "runtime": 90, "genres": [{"name": "Drama"}, {"name": "X"}], "origin_country": ["US", "FR"], "original_language": "en"}
     empty = {"genres": [], "production_companies": [], "origin_country": [], "runtime": None}
