@@ -4,19 +4,26 @@ Edges may repeat; repeats count (``dedupe=True`` counts each edge once).
 
 Titles with at most ``CROWD`` edges are *small*: their pairs are listed, a bounded number per edge.  The rest are *crowds*, at
 most edges/CROWD of them, and are solved through persons' credit profiles over the crowds (see ``_crowd_weights``): people
-with equal profiles are one, and profiles that cannot beat what is known are dropped.  What is left is compared pairwise inside
-a crowd, so many distinct profiles over several crowds cost the square of their number.
+with equal profiles are one, profiles that cannot beat what is known are dropped, and the others meet under several common
+crowds at once instead of one (see ``_raise_floor``).  Only profiles that overlap nearly all are compared pair by pair.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+import math
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from footlight.operators.skew import lookup_join
 from footlight.session import materialise
 
 CROWD = 128
+# Buckets are not refined any further when comparing all their pairs gives no more than this many rows per entry.
+FEW_PAIRS = 8
+# Pairs that one part of a bucket compares, and the largest number of tasks that the parts are dealt to.
+TASK_PAIRS = 50_000
+MOST_TASKS = 20_000
 _KEYS = ["tconst", "nconst"]
 
 
@@ -148,9 +155,9 @@ def _crowd_weights(profiles: DataFrame, same: bool, name: str) -> DataFrame:
     """Per crowd the largest weight over crowds alone, comparing profiles rather than people.
 
     People credited in the same crowds equally often are interchangeable: they share a profile, named by an
-    order-free 128-bit hash of its entries and represented by one person.  A pair where either side has a single
-    crowd shares just that crowd, and its weight is a product of two credit counts: the two largest decide.  Only
-    profiles spanning several crowds are compared, and only those whose norms allow more than what is already found.
+    order-free 128-bit hash of its entries and represented by one person.  A pair that shares a single crowd weighs
+    a product of two credit counts: the two largest decide.  Pairs of profiles that share several are searched by
+    ``_raise_floor``.
     """
     hashes = [F.bit_xor(F.xxhash64("tconst", "m")), F.bit_xor(F.xxhash64(F.lit("second"), "m", "tconst"))]
     people = profiles.groupBy("side", "nconst").agg(
@@ -168,34 +175,129 @@ def _crowd_weights(profiles: DataFrame, same: bool, name: str) -> DataFrame:
         by_count = Window.partitionBy("tconst").orderBy(F.desc("m"))
         top = counts.withColumns({"next": F.lead("m").over(by_count), "place": F.row_number().over(by_count)})
         second = F.when(F.col("heads") > 1, F.col("m")).otherwise(F.col("next"))
-        floor = top.where(F.col("place") == 1).select("tconst", (F.col("m") * second).alias(name))
-        floor = floor.unionByName(entries.where(F.col("heads") > 1).select("tconst", F.col("norm").alias(name)))
+        floor = top.where(F.col("place") == 1).select("tconst", (F.col("m") * second).alias("floor"))
+        floor = floor.unionByName(entries.where(F.col("heads") > 1).select("tconst", F.col("norm").alias("floor")))
     else:
         side = [counts.where(F.col("side") == s).groupBy("tconst").agg(F.max("m").alias(f"m{s}")) for s in (0, 1)]
-        floor = side[0].join(side[1], "tconst").select("tconst", (F.col("m0") * F.col("m1")).alias(name))
-    floor = floor.where(F.col(name).isNotNull()).groupBy("tconst").agg(F.max(name).alias(name))
+        floor = side[0].join(side[1], "tconst").select("tconst", (F.col("m0") * F.col("m1")).alias("floor"))
+    floor = floor.where(F.col("floor").isNotNull()).groupBy("tconst").agg(F.max("floor").alias("floor"))
     floor = materialise(floor, "crowd_floor")
 
-    members = entries.where(F.col("spans") > 1).select("side", "tconst", "kind", "norm", "m")
-    best = members.groupBy("tconst", "side").agg(F.max("norm").alias("best"))
-    rival = best.select("tconst", (F.lit(0) if same else 1 - F.col("side")).alias("side"), "best")
-    # Cauchy-Schwarz: a profile can only beat the floor when its norm times the best rival norm exceeds the floor squared.
-    able = (
-        members.join(rival, ["tconst", "side"])
-        .join(floor, "tconst")
-        .where(F.col("norm").cast("double") * F.col("best") > F.col(name).cast("double") * F.col(name))
-        .select("tconst", "side", "kind")
+    # A crowd's size among the compared profiles, and the largest credit count that either side can meet there.
+    members = materialise(entries.where(F.col("spans") > 1).select("side", "tconst", "kind", "m"), "members")
+    most = [F.max(F.when(F.col("side") == s, F.col("m"))).alias(f"most{s}") for s in (0, 1)]
+    crowds = materialise(members.groupBy("tconst").agg(F.count(F.lit(1)).alias("size"), *most), "crowd_sizes")
+    return _raise_floor(members, crowds, floor, same).select("tconst", F.col("floor").alias(name))
+
+
+def _raise_floor(members: DataFrame, crowds: DataFrame, floor: DataFrame, same: bool) -> DataFrame:
+    """(tconst, floor): the floors raised to the largest weight of a pair of profiles that shares the crowd.
+
+    A profile's crowds are ordered from rare to common.  Profiles are put into the bucket of every crowd of theirs (their
+    *head*) with the crowds behind it (their *tail*); a pair's whole weight is seen in the bucket of its first common crowd.
+    A bucket is either compared, all pairs of it, or refined: each profile goes on to the heads made longer by one crowd of
+    its tail, and the pairs that share the head alone are settled by the distinct credit counts over the head.  What would give
+    fewer rows, counted beforehand, is done, so the rows never exceed those of comparing at once, and where overlaps are by
+    chance they stay near the number of entries.  Profiles that even with the largest counts of the others cannot beat the
+    floors of their crowds are left out (the prefix filter), with floors that rise from round to round.
+    """
+    n = [F.count_if(F.col("side") == s) for s in (0, 1)]
+    pairs = F.floor(n[0] * (n[0] - 1) / 2) if same else n[0] * n[1]
+    heads = None
+    while True:
+        profile = _profiles(members, crowds, floor, same)
+        if heads is None:
+            placed = profile.select("side", "kind", "entries", F.explode(F.sequence(F.lit(0), F.size("entries") - 1)).alias("last"))
+            placed = placed.withColumn("at", F.array("last"))
+        else:
+            placed = heads.join(profile, ["side", "kind"]).withColumn("last", F.element_at("at", -1))
+        rows = materialise(_able(placed), "crowd_buckets")
+        tails = rows.select("bucket", "side", F.explode("tail.tconst").alias("next"))
+        further = tails.groupBy("bucket", "next").agg((F.count(F.lit(1)) + pairs).alias("rows"))
+        further = further.groupBy("bucket").agg(F.sum("rows").alias("rows"))
+        sizes = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), pairs.cast("long").alias("pairs")).where(F.col("pairs") > 0)
+        plan = sizes.join(further, "bucket", "left")
+        plan = materialise(plan.select("bucket", "n", "pairs", (F.col("rows") < F.col("pairs")).alias("refine")), "crowd_plan")
+        left = plan.agg(F.sum("pairs").alias("pairs"), F.sum("n").alias("n"), F.bool_or("refine").alias("refine")).first()
+        last = not left["refine"] or left["pairs"] <= FEW_PAIRS * left["n"]
+        marked = lookup_join(rows, plan, ["bucket"], weight="n", how="inner")
+        chosen = marked if last else marked.where(~F.coalesce("refine", F.lit(False)))
+        found = _compared(chosen, same, math.ceil((left["pairs"] or 0) / TASK_PAIRS) + 1)
+        if not last:
+            refined = materialise(marked.where("refine").drop("n", "pairs", "refine"), "crowd_refined")
+            found = found.unionByName(_settled(refined, same))
+        floor = materialise(floor.unionByName(found).groupBy("tconst").agg(F.max("floor").alias("floor")), "crowd_floor")
+        if last:
+            return floor
+        behind = F.sequence(F.element_at("at", -1) + 1, F.element_at("at", -1) + F.size("tail"))
+        longer = refined.where(F.size("tail") > 0).select("side", "kind", "at", F.explode(behind).alias("next"))
+        heads = longer.select("side", "kind", F.concat("at", F.array("next")).alias("at"))
+
+
+def _profiles(members: DataFrame, crowds: DataFrame, floor: DataFrame, same: bool) -> DataFrame:
+    """(side, kind, entries): crowds from rare to common with credits, most that a pair can gain there, and floor."""
+    rival = F.col("most0") if same else F.when(F.col("side") == 0, F.col("most1")).otherwise(F.col("most0"))
+    table = materialise(crowds.join(floor, "tconst"), "crowd_bounds")
+    bounded = lookup_join(members, table, ["tconst"], weight="size", how="inner").where(rival.isNotNull())
+    entry = F.struct("size", "tconst", "m", (F.col("m") * rival).alias("gain"), "floor")
+    return bounded.groupBy("side", "kind").agg(F.array_sort(F.collect_list(entry)).alias("entries"))
+
+
+def _able(placed: DataFrame) -> DataFrame:
+    """(bucket, side, kind, at, head, tail) of the placed profiles that may still beat a floor of theirs."""
+    head = F.transform("at", lambda i: F.element_at("entries", i + 1))
+    rows = placed.withColumns({"head": head, "tail": F.slice("entries", F.col("last") + 2, F.size("entries"))})
+    whole = F.concat("head", "tail")
+    gain = F.aggregate(F.transform(whole, lambda e: e["gain"]), F.lit(0).cast("long"), lambda s, g: s + g)
+    floor = F.array_min(F.transform(whole, lambda e: e["floor"]))
+    # What a single crowd gives is in the floors already: the first common crowd needs another behind it.
+    several = (F.size("at") > 1) | (F.size("tail") > 0)
+    bucket = F.md5(F.to_json(F.col("head.tconst")))
+    return rows.where(several & (gain > floor)).select(bucket.alias("bucket"), "side", "kind", "at", "head", "tail")
+
+
+def _dot(a: str, b: str) -> Column:
+    return F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0).cast("long"), lambda s, v: s + v)
+
+
+def _compared(rows: DataFrame, same: bool, tasks: int) -> DataFrame:
+    """(tconst, floor) from all pairs of a bucket: their credits over the head and the common crowds of the tails.
+
+    A bucket of many pairs is cut into parts of about ``TASK_PAIRS``, by its first side; the second is sent to all of them.
+    """
+    parts = F.ceil(F.col("pairs") / F.lit(TASK_PAIRS)).cast("int")
+    a = rows.where(F.col("side") == 0).select(
+        "bucket", F.pmod(F.xxhash64("kind"), parts).cast("int").alias("part"),
+        F.col("kind").alias("a"), "head", "tail", F.col("head.m").alias("ma"),
+    )
+    b = rows.where(F.col("side") == (0 if same else 1)).select(
+        "bucket", F.explode(F.sequence(F.lit(0), parts - 1)).alias("part"),
+        F.col("kind").alias("b"), F.col("head.m").alias("mb"), F.map_from_arrays("tail.tconst", "tail.m").alias("other"),
     )
-    a = able.where(F.col("side") == 0).select("tconst", F.col("kind").alias("a"))
-    b = able.where(F.col("side") == (0 if same else 1)).select("tconst", F.col("kind").alias("b"))
-    rivals = a.join(b, "tconst")
-    rivals = materialise(rivals.where(F.col("a") < F.col("b")) if same else rivals, "rival_profiles")
-    left = members.where(F.col("side") == 0).select(F.col("kind").alias("a"), "tconst", F.col("m").alias("m1"))
-    right = members.where(F.col("side") == (0 if same else 1)).select(F.col("kind").alias("b"), "tconst", F.col("m").alias("m2"))
-    scored = rivals.select("a", "b").distinct().join(left, "a").join(right, ["b", "tconst"])
-    scored = scored.groupBy("a", "b").agg(F.sum(F.col("m1") * F.col("m2")).alias(name))
-    compared = rivals.join(scored, ["a", "b"]).select("tconst", name)
-    return floor.unionByName(compared).groupBy("tconst").agg(F.max(name).alias(name))
+    tasks = min(tasks, MOST_TASKS)
+    both = a.repartition(tasks, "bucket", "part").join(b.repartition(tasks, "bucket", "part"), ["bucket", "part"])
+    both = both.where(F.col("a") < F.col("b")) if same else both
+    met = both.withColumn("met", F.filter("tail", lambda e: F.map_contains_key("other", e["tconst"])))
+    over = F.aggregate("met", F.lit(0).cast("long"), lambda s, e: s + e["m"] * F.element_at("other", e["tconst"]))
+    scored = met.select((_dot("ma", "mb") + over).alias("weight"), F.concat("head", "met").alias("shared"))
+    beaten = scored.select("weight", F.filter("shared", lambda e: e["floor"] < F.col("weight")).alias("beaten"))
+    each = beaten.select(F.explode("beaten.tconst").alias("tconst"), F.col("weight").alias("floor"))
+    return each.groupBy("tconst").agg(F.max("floor").alias("floor"))
+
+
+def _settled(rows: DataFrame, same: bool) -> DataFrame:
+    """(tconst, floor) from the credits over the heads alone: pairs of distinct counts, not of profiles."""
+    longer = rows.where(F.size("head") > 1)
+    kinds = longer.groupBy("bucket", "side", F.col("head.m").alias("ms")).agg(
+        F.count(F.lit(1)).alias("kinds"), F.first("head.tconst").alias("titles")
+    )
+    a = kinds.where(F.col("side") == 0).select("bucket", "titles", "kinds", F.col("ms").alias("ma"))
+    b = kinds.where(F.col("side") == (0 if same else 1)).select("bucket", F.col("ms").alias("mb"))
+    both = a.join(b, "bucket")
+    if same:
+        both = both.where((F.col("ma") < F.col("mb")) | ((F.col("ma") == F.col("mb")) & (F.col("kinds") > 1)))
+    best = both.select("titles", _dot("ma", "mb").alias("floor"))
+    return best.select(F.explode("titles").alias("tconst"), "floor").groupBy("tconst").agg(F.max("floor").alias("floor"))
 
 
 def feature_matrix(titles: DataFrame, directors: DataFrame | None = None, writers: DataFrame | None = None) -> DataFrame:

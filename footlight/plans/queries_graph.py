@@ -76,6 +76,32 @@ def cross_role_collab(spark: SparkSession, sf: str) -> DataFrame:
     return graph.cross_role_weight(writers(spark, sf), directors(spark, sf), "writer", "director")
 
 
+# Suppliers as titles: hundreds of lines each, all of them crowds; pairs are summed over distinct credits.
+_BUYERS = "(select l_suppkey as tconst, l_orderkey as nconst, count(*) as m from lineitem group by all)"
+_GOODS = "(select l_suppkey as tconst, l_partkey as nconst, count(*) as m from lineitem group by all)"
+
+
+def _crowded(spark: SparkSession, sf: str, person: str) -> DataFrame:
+    return table(spark, sf, "lineitem").select(F.col("l_suppkey").alias("tconst"), F.col(person).alias("nconst"))
+
+
+def _crowded_sql(a: str, b: str, on: str, name: str) -> str:
+    return f"""
+    with pairs as (select a.tconst, a.nconst as p, b.nconst as q, a.m * b.m as credits from {a} a join {b} b on {on}),
+    weights as (select p, q, sum(credits) as weight from pairs group by p, q)
+    select tconst, max(weight)::bigint as {name} from pairs join weights using (p, q) group by tconst"""
+
+
+@query(_crowded_sql(_BUYERS, _BUYERS, "a.tconst = b.tconst and a.nconst < b.nconst", "buyer_buyer_max_collab_weight"))
+def same_role_crowded(spark: SparkSession, sf: str) -> DataFrame:
+    return graph.same_role_weight(_crowded(spark, sf, "l_orderkey"), "buyer")
+
+
+@query(_crowded_sql(_BUYERS, _GOODS, "a.tconst = b.tconst", "buyer_goods_max_collab_weight"))
+def cross_role_crowded(spark: SparkSession, sf: str) -> DataFrame:
+    return graph.cross_role_weight(_crowded(spark, sf, "l_orderkey"), _crowded(spark, sf, "l_partkey"), "buyer", "goods")
+
+
 @query(f"""
 select o.o_orderkey as tconst, o.o_totalprice as total_price,
   round(dd.director_avg_centrality, 6) as director_avg_centrality, dd.director_count::double as director_count,
