@@ -169,6 +169,20 @@ def test_pair_weights_agree_with_listing_all_pairs(spark, crowd, seed):
     assert {r[0]: r[1] for r in cross.collect()} == brute_cross(a, b)[0]
 
 
+def test_refined_buckets_agree_with_listing_all_pairs(spark, monkeypatch):
+    """Chance overlaps over many titles: buckets go through several rounds, and large ones are cut into parts."""
+    monkeypatch.setattr(graph, "FEW_PAIRS", 0)
+    monkeypatch.setattr(graph, "TASK_PAIRS", 5)
+    monkeypatch.setattr(graph, "MOST_TASKS", 4)
+    rounds, kept = [], graph.materialise
+    monkeypatch.setattr(graph, "materialise", lambda df, name: rounds.append(name) or kept(df, name))
+    rng = random.Random(3)
+    edges = [(f"t{t}", f"p{p}") for p in range(150) for t in rng.choices(range(25), k=5)]
+    same = graph.same_role_weight(relation(spark, edges), "w", crowd=1)
+    assert {r[0]: r[1] for r in same.collect()} == brute_same(edges)[0]
+    assert rounds.count("crowd_refined") > 0
+
+
 def test_crowd_of_distinct_people(spark):
     """Large titles with many people: two share a core that also meets in a third."""
     edges = [("big", f"x{i}") for i in range(400)] + [("big2", f"x{i}") for i in range(390, 700)] + [("small", "x391"), ("small", "x395")]
