@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from footlight.llm import languages, minhash, mixing, pieces, recompression
+from footlight.operators.ordering import sorted_positions
 from footlight.operators.skew import lookup_join
 from footlight.session import materialise
 
@@ -44,13 +45,33 @@ def keep_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return judged.select(*[F.col("_whole").alias(c) if c == "text" else F.col("_rest")[c].alias(c) for c in docs.columns])
 
 
+# Bits of a row's number that tell its place in its file; the others tell the file.
+PLACE_BITS = 36
+
+
+def _keyed(docs: DataFrame) -> tuple[DataFrame, str]:
+    """The documents with a column that numbers each row: its file and place in it, or a number written beside it.
+
+    A row keeps its number whenever the files are read again, so no copy of the documents is written.
+    """
+    row, path, place = _own(docs, "_row"), _own(docs, "_path"), _own(docs, "_place")
+    try:
+        at = docs.withColumns({path: F.col("_metadata.file_path"), place: F.col("_metadata.row_index")})
+    except AnalysisException:  # not read from files
+        return materialise(docs.withColumn(row, F.monotonically_increasing_id()), "numbered"), row
+    code = _own(docs, "code")
+    files = sorted_positions(at.select(path).distinct(), path).withColumnRenamed("code", code)
+    numbered = lookup_join(at, materialise(files, "files"), [path])
+    number = F.shiftleft(F.col(code).cast("long"), PLACE_BITS) + F.col(place)
+    return numbered.select(*docs.columns, number.alias(row)), row
+
+
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each group of near duplicates stays, the one with the smallest id; rows without an id come last.
 
     Rows are judged, not ids: each is a document of its own, also where it shares its id with others or has none.
     """
-    row = _own(docs, "_row")
-    numbered = materialise(docs.withColumn(row, F.monotonically_increasing_id()), "numbered")
+    numbered, row = _keyed(docs)
     found = minhash.near_duplicates(numbered.select(row, "text"), id_column=row).select(row, "component_id")
     named = numbered.select(row, "doc_id").join(found, row)
     named = materialise(named, "components_of_rows")
@@ -58,7 +79,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     groups = named.groupBy("component_id").agg(F.min(order).alias("_first"), F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1)
     groups = materialise(groups.select("component_id", "_n", F.col("_first")[row].alias("_kept")), "groups")
     gone = lookup_join(named, groups, ["component_id"], weight="_n", how="inner").where(F.col(row) != F.col("_kept")).select(row)
-    return numbered.join(gone, row, "left_anti").select(docs.columns)
+    return lookup_join(numbered, materialise(gone, "copies"), [row], how="left_anti").select(docs.columns)
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -71,15 +92,6 @@ def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return left.select(*[made[c] if c in made else F.col("_rest")[c].alias(c) for c in docs.columns])
 
 
-def _keyed(docs: DataFrame) -> tuple[DataFrame, str]:
-    """The documents with a column that names each row: its place in its file, or a number written beside it."""
-    row = _own(docs, "_row")
-    try:
-        return docs.withColumn(row, F.concat_ws(":", "_metadata.file_path", F.col("_metadata.row_index").cast("string"))), row
-    except AnalysisException:  # not read from files
-        return materialise(docs.withColumn(row, F.monotonically_increasing_id().cast("string")), "numbered"), row
-
-
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix takes at least half of them, in the order of training; the others go.
 
