@@ -134,3 +134,17 @@ def test_whole_pipeline(spark):
 @pytest.mark.parametrize("name", ["language", "near_duplicates", "repeats", "mix", "pieces"])
 def test_stages_on_an_empty_table(spark, name):
     assert run(spark, name, frame(spark, [], SCHEMA)).count() == 0
+
+
+def test_rows_from_files_are_numbered_without_a_copy(spark, tmp_path):
+    """Numbers are distinct, the same on every reading, and the near-duplicate stage gives the same rows from files."""
+    given = rows([(None, "no id " * 9, "en", "a", 1), (1, "text b " * 9, "en", "a", 1), (2, "text b " * 9, "en", "a", 1)])
+    docs = frame(spark, given, SCHEMA).withColumns({"code": F.lit(1), "_path": F.lit("p")})
+    docs.repartition(5).write.parquet(f"{tmp_path}/docs")
+    read = spark.read.parquet(f"{tmp_path}/docs")
+    keyed, row = corpus_pipeline._keyed(read)
+    first, again = ({x[row]: (x["doc_id"], x["text"]) for x in keyed.select(row, "doc_id", "text").collect()} for _ in range(2))
+    assert len(first) == len(given) and first == again and keyed.columns == [*docs.columns, row]
+    other = docs.drop("code", "_path")
+    kept = Counter((x["doc_id"], x["text"]) for x in STAGES["near_duplicates"](spark, read, "").collect())
+    assert kept == Counter((x["doc_id"], x["text"]) for x in run(spark, "near_duplicates", other).collect())
