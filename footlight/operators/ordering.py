@@ -24,13 +24,12 @@ QUANTILE_BUCKETS = 256
 MOST_ROWS = 1_000_000
 
 
-def _bucket_count(spark: SparkSession) -> int:
+def bucket_count(spark: SparkSession) -> int:
     return min(MAX_BUCKETS, int(spark.conf.get("spark.sql.shuffle.partitions", "200")))
 
 
-def cut_points(df: DataFrame, columns: list[str], buckets: int | None = None) -> dict[str, list[float]]:
-    """Approximate quantile boundaries per column: at most ``MAX_BUCKETS`` numbers each, in one job."""
-    buckets = buckets or _bucket_count(df.sparkSession)
+def quantile_points(df: DataFrame, columns: list[str], buckets: int) -> dict[str, list[float]]:
+    """Approximate quantiles per column in order, repeated where a value holds several; finite ones only.  One job."""
     if buckets < 2:
         return {c: [] for c in columns}
     shares = [i / buckets for i in range(1, buckets)]
@@ -40,10 +39,13 @@ def cut_points(df: DataFrame, columns: list[str], buckets: int | None = None) ->
             for i, c in enumerate(columns)
         ]
     ).first()
-    return {
-        c: sorted({v + 0.0 for v in (row[i] or []) if not math.isnan(v) and not math.isinf(v)})
-        for i, c in enumerate(columns)
-    }
+    return {c: [v + 0.0 for v in (row[i] or []) if not math.isnan(v) and not math.isinf(v)] for i, c in enumerate(columns)}
+
+
+def cut_points(df: DataFrame, columns: list[str], buckets: int | None = None) -> dict[str, list[float]]:
+    """Approximate quantile boundaries per column: at most ``MAX_BUCKETS`` numbers each, in one job."""
+    points = quantile_points(df, columns, buckets or bucket_count(df.sparkSession))
+    return {c: sorted(set(v)) for c, v in points.items()}
 
 
 def with_buckets(df: DataFrame, cuts: dict[str, list[float]], prefix: str = "_b_") -> DataFrame:

@@ -3,14 +3,16 @@
 from __future__ import annotations
 
 import math
+import sys
+from collections import Counter
 from itertools import combinations
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from footlight.operators.ordering import average_rank_of, cut_points, running_totals, running_values, with_buckets
+from footlight.operators.ordering import average_rank_of, bucket_count, quantile_points, running_values, with_buckets
 from footlight.operators.skew import lookup_join
 from footlight.session import materialise
 
@@ -19,6 +21,12 @@ MIN_GROUP = 10
 COLLINEAR = 0.75
 # ----------------------------------------------------------------------------
 
+MAX_DOUBLE = sys.float_info.max
+# A column of at most this many values looks its ranks up in a broadcast table.
+FEW_VALUES = 10_000
+# The broadcast totals of buckets take at most this much, at 16 bytes a number; more columns get fewer buckets each.
+OFFSET_BYTES = 32 << 20
+
 
 def contingency(df: DataFrame, category: str, label: str) -> DataFrame:
     """(category, label_0, label_1): rows per category and binary label."""
@@ -116,83 +124,130 @@ def average_rank(df: DataFrame, column: str, output: str = "avg_rank") -> DataFr
     return lookup_join(df, materialise(ranks, "ranks"), [column], weight="_rows").drop("_rows")
 
 
-def _correlation(x: str, y: str, n, weight=None):
-    """Correlation of two rank columns around their known mean (n + 1) / 2; null without variation."""
-    w = F.lit(1) if weight is None else weight
-    mean = (n + 1) / F.lit(2.0).cast("double")
-    dx, dy = F.col(x) - mean, F.col(y) - mean
-    both, xx, yy = F.sum(w * dx * dy), F.sum(w * dx * dx), F.sum(w * dy * dy)
-    return F.when((xx > 0) & (yy > 0), both / F.sqrt(xx * yy))
-
-
-def _rank_cells(df: DataFrame, columns: list[str]) -> DataFrame:
-    """(column, value, n, rank) of several columns from one pass."""
-    cast = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
-    wide = with_buckets(cast, cut_points(cast, columns))
-    cells = [F.struct(F.lit(c).alias("column"), F.col(f"_b_{c}").alias("_bucket"), F.col(c).alias("value")) for c in columns]
-    long = wide.select(F.inline(F.array(*cells)))
-    n = F.count(F.lit(1)).alias("n")
-    running = running_totals(
-        long.groupBy("column", "_bucket", "value").agg(n), "value", ["n"], ("column",), long.groupBy("column", "_bucket").agg(n)
-    )
-    return materialise(running.select("column", "value", "n", average_rank_of(running).alias("rank")), "ranks")
+def _split_cuts(df: DataFrame, columns: list[str], buckets: int) -> dict[str, list[float]]:
+    """Cut points per column; a value that holds several of the approximate quantiles becomes a bucket of its own."""
+    out = {}
+    for c, found in quantile_points(df, columns, buckets).items():
+        hot = {v for v, n in Counter(found).items() if n > 1}
+        out[c] = sorted({*found, *[math.nextafter(v, math.inf) for v in hot if v < MAX_DOUBLE]})
+    return out
 
 
-def _dense_pairs(df: DataFrame, columns: list[str], n: int) -> DataFrame:
-    """Columns without nulls: each is ranked once, and all pairs come from one aggregation over the rank rows."""
-    ranks = _rank_cells(df, columns)
-    ranked = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
-    for c in columns:
-        own = ranks.where(F.col("column") == c).select(
-            F.col("value").alias(c), F.col("n").alias("_rows"), F.col("rank").alias(f"_r_{c}")
-        )
-        ranked = lookup_join(ranked, own, [c], weight="_rows").drop(c, "_rows")
-    pairs = list(combinations(columns, 2))
-    row = ranked.agg(*[_correlation(f"_r_{x}", f"_r_{y}", F.lit(n)).alias(f"r{i}") for i, (x, y) in enumerate(pairs)])
-    cells = [F.struct(F.lit(x).alias("x"), F.lit(y).alias("y"), F.col(f"r{i}").alias("rho")) for i, (x, y) in enumerate(pairs)]
-    return row.select(F.inline(F.array(*cells)))
-
-
-def _sparse_pairs(df: DataFrame, pairs: list[tuple[str, str]]) -> DataFrame:
-    """Pairs with nulls: ranks belong to the rows complete in that pair, so each pair is counted and ranked by itself."""
-    columns = sorted({c for p in pairs for c in p})
-    cast = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
-    wide = with_buckets(cast, cut_points(cast, columns))
+def _rank_of(before, upto, ties):
+    """Mean place of values that share a rank: ``upto`` of a part of the rows are not larger, ``ties`` are equal."""
+    return before + upto - (ties - 1) / F.lit(2.0).cast("double")
+
+
+def _few_value_ranks(rows: DataFrame, columns: list[str], sides: list[str]) -> DataFrame:
+    """(column, value, rank0..) of columns with at most about ``FEW_VALUES`` values: counted, then ordered per column."""
+    known = {f"n{k}": F.count(F.lit(1) if k == 0 else s) for k, s in enumerate(["", *sides])}
+    cells = rows.select(*sides, F.inline(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("value")) for c in columns])))
+    counted = cells.where(F.col("value").isNotNull()).groupBy("column", "value").agg(*[n.alias(k) for k, n in known.items()])
+    upto = Window.partitionBy("column").orderBy("value")
+    ranks = [_rank_of(F.lit(0), F.sum(n).over(upto), F.col(n)).alias(f"rank{k}") for k, n in enumerate(known)]
+    return materialise(counted.select("column", "value", *ranks), "value_ranks")
+
+
+def _cell_ranks(rows: DataFrame, columns: list[str], sides: list[str]) -> DataFrame:
+    """(_row, column, rank0..) of every filled cell, from one exchange of the values of all columns.
+
+    Cells are ordered inside buckets of their column.  A bucket with a single value needs no order: its cells get their rank
+    from the bucket's totals and are not moved, so no task orders a hot value.
+    """
+    counts = range(len(sides) + 1)
+    buckets = min(bucket_count(rows.sparkSession), OFFSET_BYTES // (32 * len(columns) * len(counts)))
+    cuts = _split_cuts(rows, columns, max(2, buckets))
+    alone = {c: [i + 1 for i, (u, v) in enumerate(zip(w, w[1:])) if v == math.nextafter(u, math.inf)] for c, w in cuts.items()}
+    alone = {c: [*v, len(cuts[c]) + 1] if cuts[c] else [] for c, v in alone.items()}  # not-a-number is in the last one
     cells = [
         F.struct(
-            F.lit(x).alias("x"),
-            F.lit(y).alias("y"),
-            F.col(x).alias("vx"),
-            F.col(y).alias("vy"),
-            F.col(f"_b_{x}").alias("bx"),
-            F.col(f"_b_{y}").alias("by"),
+            F.lit(c).alias("column"),
+            F.col(f"_b_{c}").alias("_bucket"),
+            (F.col(f"_b_{c}").isin(alone[c]) if alone[c] else F.lit(False)).alias("_alone"),
+            F.col(c).alias("value"),
         )
-        for x, y in pairs
+        for c in columns
     ]
-    long = wide.select(F.inline(F.array(*cells))).where(F.col("vx").isNotNull() & F.col("vy").isNotNull())
-    joint = materialise(long.groupBy("x", "y", "bx", "by", "vx", "vy").agg(F.count(F.lit(1)).alias("w")), "joint_counts")
-    pair = ("x", "y")
-    out = joint
-    for side in ("x", "y"):
-        margin = joint.groupBy(*pair, F.col(f"b{side}").alias("_bucket"), f"v{side}").agg(F.sum("w").alias("n"))
-        ranks = running_totals(margin, f"v{side}", ["n"], pair)
-        table = ranks.select(*pair, f"v{side}", "n", average_rank_of(ranks).alias(f"r{side}"), F.col("all_n").alias(f"n{side}"))
-        out = lookup_join(out, materialise(table, "pair_ranks"), [*pair, f"v{side}"], weight="n").drop("n")
-    found = out.groupBy(*pair, "nx").agg(_correlation("rx", "ry", F.col("nx"), F.col("w")).alias("rho")).drop("nx")
-    # Pairs that share no row have a null correlation.
-    return df.sparkSession.createDataFrame(pairs, "x string, y string").join(found, list(pair), "left")
+    known = [F.lit(1).alias("k0"), *[F.col(s).isNotNull().cast("int").alias(f"k{k + 1}") for k, s in enumerate(sides)]]
+    long = with_buckets(rows, cuts).select("_row", *known, F.inline(F.array(*cells))).where(F.col("value").isNotNull())
+    totals = long.groupBy("column", "_bucket").agg(*[F.sum(f"k{k}").alias(f"n{k}") for k in counts])
+    before = Window.partitionBy("column").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.withColumns({f"before{k}": F.coalesce(F.sum(f"n{k}").over(before), F.lit(0)) for k in counts})
+    # At most OFFSET_BYTES: a row per column and bucket.
+    placed = long.join(F.broadcast(materialise(offsets, "bucket_offsets")), ["column", "_bucket"])
+    inside = Window.partitionBy("column", "_bucket").orderBy("value")
+    ties = inside.rangeBetween(Window.currentRow, Window.currentRow)
+    settled = placed.where("_alone").select(
+        "_row", "column", *[_rank_of(F.col(f"before{k}"), F.col(f"n{k}"), F.col(f"n{k}")).alias(f"rank{k}") for k in counts]
+    )
+    ordered = placed.where(~F.col("_alone")).select(
+        "_row",
+        "column",
+        *[_rank_of(F.col(f"before{k}"), F.sum(f"k{k}").over(inside), F.sum(f"k{k}").over(ties)).alias(f"rank{k}") for k in counts],
+    )
+    return settled.unionByName(ordered)
+
+
+def _ranked_rows(rows: DataFrame, few: list[str], many: list[str], sides: list[str]) -> DataFrame:
+    """A row per row with ``<column>_<k>``: the rank among the rows where side ``k`` is known (0: all); null where the cell is.
+
+    Columns of few values look their ranks up.  The cells of the others are ranked together and brought back to their rows
+    by one more exchange, whatever their number.
+    """
+    counts = range(len(sides) + 1)
+    out = rows
+    if many:
+        rows = materialise(rows.withColumn("_row", F.monotonically_increasing_id()), "numbered")
+        # Dealt by row before the aggregation, as its partial form would widen every cell to a whole row.
+        cells = _cell_ranks(rows, many, sides).repartition("_row")
+        wide = [F.max(F.when(F.col("column") == c, F.col(f"rank{k}"))).alias(f"{c}_{k}") for c in many for k in counts]
+        out = cells.groupBy("_row").agg(*wide)
+        out = rows.select("_row", *few).join(out, "_row", "left") if few else out
+    if few:
+        ranks = _few_value_ranks(rows, few, sides)
+        for c in few:
+            own = ranks.where(F.col("column") == c).select(F.col("value").alias(c), *[F.col(f"rank{k}").alias(f"{c}_{k}") for k in counts])
+            out = out.join(F.broadcast(own), c, "left")  # about FEW_VALUES rows
+    return out
 
 
 def spearman_pairs(df: DataFrame, columns: list[str]) -> DataFrame:
-    """(x, y, rho) for every unordered pair of columns, over the rows where both are known."""
-    counts = df.agg(F.count(F.lit(1)).alias("_all"), *[F.count(c).alias(c) for c in columns]).first()
-    dense = [c for c in columns if counts[c] == counts["_all"]]
-    sparse = [p for p in combinations(columns, 2) if not set(p) <= set(dense)]
-    parts = [_dense_pairs(df, dense, counts["_all"])] if len(dense) > 1 else []
-    parts += [_sparse_pairs(df, sparse)] if sparse else []
-    if not parts:
+    """(x, y, rho) for every unordered pair of columns, over the rows where both are known.
+
+    In a pair, a value's rank counts the rows where the other column is known too.  So every value has one rank among all rows,
+    which serves all columns without nulls, and one for each column with nulls; pairs are never listed row by row.
+    """
+    if len(columns) < 2:
         raise ValueError("a rank correlation needs at least two columns")
-    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+    names = [f"c{i}" for i in range(len(columns))]
+    number = [F.col(c).cast("double") for c in columns]
+    # -0.0 ranks as 0.0.
+    rows = df.select(*[F.when(v == 0, F.lit(0.0)).otherwise(v).alias(n) for v, n in zip(number, names)])
+    pairs = list(combinations(names, 2))
+    both = {p: F.col(p[0]).isNotNull() & F.col(p[1]).isNotNull() for p in pairs}
+    seen = rows.agg(
+        F.count(F.lit(1)).alias("all"),
+        *[F.count(c).alias(f"n_{c}") for c in names],
+        *[F.approx_count_distinct(c).alias(f"d_{c}") for c in names],
+        *[F.count_if(known).alias(f"{x}_{y}") for (x, y), known in both.items()],
+    ).first()
+    sides = [c for c in names if seen[f"n_{c}"] < seen["all"]]
+    side = {c: sides.index(c) + 1 if c in sides else 0 for c in names}
+    few = [c for c in names if seen[f"d_{c}"] <= FEW_VALUES]
+    ranked = _ranked_rows(rows, few, [c for c in names if c not in few], sides)
+    sums = []
+    for i, (x, y) in enumerate(pairs):
+        mean = (seen[f"{x}_{y}"] + 1) / 2.0
+        known = F.col(f"{x}_0").isNotNull() & F.col(f"{y}_0").isNotNull()
+        dx, dy = (F.when(known, F.col(f"{c}_{side[o]}") - F.lit(mean)) for c, o in ((x, y), (y, x)))
+        xy, xx, yy = F.sum(dx * dy), F.sum(dx * dx), F.sum(dy * dy)
+        # Null without variation or common rows.
+        sums.append(F.when((xx > 0) & (yy > 0), xy / F.sqrt(xx * yy)).alias(f"r{i}"))
+    label = dict(zip(names, columns))
+    cells = [
+        F.struct(F.lit(label[x]).alias("x"), F.lit(label[y]).alias("y"), F.col(f"r{i}").alias("rho")) for i, (x, y) in enumerate(pairs)
+    ]
+    return ranked.agg(*sums).select(F.inline(F.array(*cells)))
 
 
 def spearman_matrix(df: DataFrame, columns: list[str]) -> DataFrame:

@@ -273,7 +273,10 @@ def test_enrichment(spark):
 # ---------------------------------------------------------------- statistics
 
 
-def test_spearman_with_nulls_matches_pandas(spark):
+@pytest.mark.parametrize("few_values", [stats.FEW_VALUES, 4, 0])
+def test_spearman_with_nulls_matches_pandas(spark, monkeypatch, few_values):
+    """Ranks looked up, ordered in buckets, and both."""
+    monkeypatch.setattr(stats, "FEW_VALUES", few_values)
     rng = random.Random(3)
     frame = pd.DataFrame(
         {
@@ -286,6 +289,7 @@ def test_spearman_with_nulls_matches_pandas(spark):
         }
     )
     frame["e"] = frame["a"] * 2
+    frame["hot"] = [0.0 if i % 3 else rng.choice([-1.5, -0.0, 2.5, 1e308, -1e308]) for i in range(200)]
     rows = [tuple(None if pd.isna(v) else float(v) for v in r) for r in frame.itertuples(index=False)]
     df = spark.createDataFrame(rows, ", ".join(f"{c} double" for c in frame.columns))
     got = {(r["x"], r["y"]): r["rho"] for r in stats.spearman_matrix(df, list(frame.columns)).collect()}
@@ -301,6 +305,27 @@ def test_spearman_with_nulls_matches_pandas(spark):
     assert [p[:2] for p in pairs] == [("a", "e")] and pairs[0][2] == pytest.approx(1.0)  # perfect pairs are reported
 
 
+def test_spearman_ranks_many_columns_in_one_exchange(spark, monkeypatch):
+    """The plan has two exchanges of cells (values, ranks back to rows) for any number of columns; a hot value stays in place."""
+    monkeypatch.setattr(stats, "FEW_VALUES", 0)
+    rng = random.Random(5)
+    data = [tuple(7.0 if rng.random() < 0.4 else rng.random() for _ in range(7)) for _ in range(2000)]
+    df = spark.createDataFrame(data, ", ".join(f"v{i} double" for i in range(7)))
+    plans = []
+    for n in (2, 7):
+        found = stats.spearman_pairs(df, [f"v{i}" for i in range(n)])
+        plans.append(found._jdf.queryExecution().executedPlan().toString())
+        assert found.count() == n * (n - 1) // 2
+    for plan in plans:
+        assert plan.count("Exchange hashpartitioning(column") == 1 and plan.count("Exchange hashpartitioning(_row") == 1
+        assert plan.count("Exchange ") - plan.count("BroadcastExchange ") == 3  # and the one row of sums
+    rows = df.withColumn("_row", F.monotonically_increasing_id())
+    moved = stats._cell_ranks(rows, ["v0"], [])
+    ranks = sorted(r[0] for r in moved.select("rank0").collect())
+    assert ranks == sorted(pd.Series([r[0] for r in data]).rank())
+    assert stats._split_cuts(df, ["v0"], 8)["v0"][-2:] == [7.0, math.nextafter(7.0, math.inf)]
+
+
 def label_rows(spark, table):
     rows = [(c, y) for c, (n0, n1) in table.items() for y, n in ((0, n0), (1, n1)) for _ in range(n)]
     return spark.createDataFrame(rows, "c string, y int")
@@ -451,6 +476,35 @@ def test_drift_report(spark):
     assert document["retrain_recommended"] is True and document["serving_dataset_size"] == 300 and len(document["drift_report"]) == 4
 
 
+def test_drift_of_all_columns_takes_the_same_jobs(spark):
+    """One pass whatever the number of columns, each with the values that it has alone."""
+    rng = random.Random(8)
+    names = [f"svd_{i}" for i in range(6)]
+
+    def side(shift):
+        data = [tuple(None if rng.random() < 0.1 else round(rng.gauss(shift * i, 1 + i), 1) for i in range(6)) for _ in range(150)]
+        return spark.createDataFrame([(*r[:5], None) for r in data], ", ".join(f"{c} double" for c in names))
+
+    base, serve = side(0.0), side(0.3)
+
+    def jobs(n):
+        spark.sparkContext.setJobGroup(f"drift{n}", "")
+        drift.drift_metrics(base, serve, tuple(names[:n]), "", tuple(names[:n])).collect()
+        return len(spark.sparkContext.statusTracker().getJobIdsForGroup(f"drift{n}"))
+
+    try:
+        assert jobs(1) == jobs(6)
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    for together, alone in ((drift.ks_tests, drift.ks_two_sample), (drift.kl_values, drift.kl_divergence), (drift.psi_values, drift.psi)):
+        got = {r["column"]: tuple(r)[1:] for r in together(base, serve, names).collect()}
+        for c in names:
+            want = tuple(alone(base, serve, c).first())
+            assert got[c] == want or got[c] == pytest.approx(want)
+    found = {r["metric"] for r in drift.drift_metrics(base, serve, ("svd_5",), "", ("svd_5",)).collect()}
+    assert not found  # a column without values has no test
+
+
 # ---------------------------------------------------------------- splits
 
 
