@@ -11,6 +11,7 @@ crowds at once instead of one (see ``_raise_floor``).  Only profiles that overla
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -302,7 +303,6 @@ def _settled(rows: DataFrame, same: bool) -> DataFrame:
 
 def feature_matrix(titles: DataFrame, directors: DataFrame | None = None, writers: DataFrame | None = None) -> DataFrame:
     """Titles with every crew feature that the given relations allow; titles without crew keep nulls."""
-    out = titles
     features = []
     if directors is not None:
         features.append(degree_features(directors, "director"))
@@ -310,6 +310,10 @@ def feature_matrix(titles: DataFrame, directors: DataFrame | None = None, writer
         features += [degree_features(writers, "writer"), same_role_weight(writers, "writer")]
     if directors is not None and writers is not None:
         features.append(cross_role_weight(writers, directors, "writer", "director"))
-    for table in features:
-        out = out.join(table, "tconst", "left")
-    return out
+    if not features:
+        return titles
+    # Brought together first, a row per title and table, so the titles are joined once: to a broadcast table, or in a shuffled
+    # join of two scans, whose partitions of null and hot keys adaptive execution splits.
+    cells = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), features)
+    crew = cells.groupBy("tconst").agg(*[F.max(c).alias(c) for c in cells.columns if c != "tconst"])
+    return lookup_join(titles, materialise(crew, "crew"), ["tconst"])

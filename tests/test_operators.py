@@ -2,6 +2,7 @@ import math
 import os
 import random
 from collections import Counter, defaultdict
+from functools import partial
 from itertools import combinations, product
 from types import SimpleNamespace
 
@@ -270,6 +271,38 @@ def test_enrichment(spark):
     assert tuple(enrich.coverage(extra).first()) == (2, 2, 1.0)
 
 
+SKEW = {
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "16k",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+    "spark.sql.shuffle.partitions": "16",
+}
+
+
+def test_left_joins_split_null_and_hot_keys(spark, monkeypatch):
+    """Both left joins are one shuffled join, whose partitions of null and of hot keys are dealt to several tasks."""
+    before = {k: spark.conf.get(k, None) for k in SKEW}
+    key = F.when(F.col("id") % 3 == 0, None).when(F.col("id") % 3 == 1, "hot").otherwise(F.concat(F.lit("t"), F.col("id").cast("string")))
+    titles = spark.range(0, 60000, 1, 8).select(key.alias("tconst"), F.md5(F.col("id").cast("string")).alias("name"))
+    extra = materialise(titles.select("tconst").where("tconst is not null").distinct().withColumn("tmdb_budget", F.length("tconst")), "extra")
+    monkeypatch.setattr(graph, "lookup_join", partial(skew.lookup_join, broadcast_bytes=0))
+    crew = extra.select("tconst", F.col("tconst").alias("nconst"))
+    try:
+        for k, v in SKEW.items():
+            spark.conf.set(k, v)
+        for out, column in ((enrich.enrich(titles, extra), "tmdb_budget"), (graph.feature_matrix(titles, crew), "director_count")):
+            rows = out.select("tconst", "name", column).toArrow().to_pandas()
+            assert len(rows) == 60000 and rows["name"].nunique() == 60000
+            assert rows.loc[rows["tconst"] == "hot", column].notna().all() and rows.loc[rows["tconst"].isna(), column].isna().all()
+            out.collect()
+            assert "skew=true" in out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
+
+
 # ---------------------------------------------------------------- statistics
 
 
