@@ -287,12 +287,15 @@ def kl_divergence(spark: SparkSession, sf: str) -> DataFrame:
     return drift.kl_divergence(*_clicks(spark, sf), "value").select(F.round("kl", 9).alias("kl"))
 
 
-@query(f"""
-with {_KS}, {_KL}, {_psi_sql('user_id', 5)}
+_METRICS = f"""
+with {_KS}, {_KL}, {_psi_sql('user_id', 5)}, metrics as (
 select 'ks' as metric, 'value' as "column", round(statistic, 9) as value, round(p_value, 9) as p_value, p_value < 0.05 as drifted from ks_test
 union all select 'kl', 'value', round(kl, 9), null, kl > 0.5 from kl
-union all select 'psi', 'user_id', round(psi, 9), null, psi > 0.2 from psi
-""")
+union all select 'psi', 'user_id', round(psi, 9), null, psi > 0.2 from psi)
+"""
+
+
+@query(f"{_METRICS} select * from metrics")
 def drift_metrics(spark: SparkSession, sf: str) -> DataFrame:
     metrics = drift.drift_metrics(*_clicks(spark, sf), ("value",), "user_id", ("value",))
     return metrics.withColumns({c: F.round(c, 9) for c in ("value", "p_value")})
@@ -304,6 +307,19 @@ def drift_passport(spark: SparkSession, sf: str) -> DataFrame:
     return drift.passport(drift.drift_metrics(baseline, serving, ("value",), "user_id", ("value",)), serving)
 
 
+_PASSPORT = """drift_report array<struct<metric: string, column: string, value: double, p_value: double, drifted: boolean>>,
+  retrain_recommended boolean, serving_dataset_size long"""
+
+
+@query(f"""{_METRICS} select *, bool_or(drifted) over () as retrain_recommended,
+  (select count(*) from events where event_type = 'view') as serving_dataset_size from metrics""")
+def drift_passport_read_back(spark: SparkSession, sf: str) -> DataFrame:
+    """The passport document, parsed again: a row per metric with the flag and the size."""
+    read = drift_passport(spark, sf).select(F.from_json("passport", _PASSPORT).alias("p")).select("p.*")
+    rows = read.select(F.inline("drift_report"), "retrain_recommended", "serving_dataset_size")
+    return rows.withColumns({c: F.round(c, 9) for c in ("value", "p_value")})
+
+
 _SHUFFLED = """(select doc_id, quality, row_number() over (partition by quality order by md5(cast(doc_id as varchar) || '|42'), doc_id) as place,
   count(*) over (partition by quality) as size from labels)"""
 
