@@ -5,7 +5,7 @@ Edges may repeat; repeats count (``dedupe=True`` counts each edge once).
 Titles with at most ``CROWD`` edges are *small*: their pairs are listed, a bounded number per edge.  The rest are *crowds*, at
 most edges/CROWD of them, and are solved through persons' credit profiles over the crowds (see ``_crowd_weights``): people
 with equal profiles are one, profiles that cannot beat what is known are dropped, and the others meet under several common
-crowds at once instead of one (see ``_raise_floor``).  Only profiles that overlap nearly all are compared pair by pair.
+crowds at once instead of one (see ``_raise_floor``), unless their tiles of profiles are cheaper to multiply out (``_tile``).
 """
 
 from __future__ import annotations
@@ -13,6 +13,9 @@ from __future__ import annotations
 import math
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -20,11 +23,13 @@ from footlight.operators.skew import lookup_join
 from footlight.session import materialise
 
 CROWD = 128
-# Buckets are not refined any further when comparing all their pairs gives no more than this many rows per entry.
-FEW_PAIRS = 8
-# Pairs that one part of a bucket compares, and the largest number of tasks that the parts are dealt to.
-TASK_PAIRS = 50_000
-MOST_TASKS = 20_000
+# Pairs that a tile compares in about the time that a row of a further round takes.
+FEW_PAIRS = 500
+# Pairs of profiles in one tile of a bucket, and the largest number of tasks that the tiles are dealt to.
+TASK_PAIRS = 4 << 20
+MOST_TASKS = 2_000
+# Common titles of pairs that a tile lists at once.
+BLOCK = 1 << 20
 _KEYS = ["tconst", "nconst"]
 
 
@@ -196,11 +201,11 @@ def _raise_floor(members: DataFrame, crowds: DataFrame, floor: DataFrame, same:
 
     A profile's crowds are ordered from rare to common.  Profiles are put into the bucket of every crowd of theirs (their
     *head*) with the crowds behind it (their *tail*); a pair's whole weight is seen in the bucket of its first common crowd.
-    A bucket is either compared, all pairs of it, or refined: each profile goes on to the heads made longer by one crowd of
-    its tail, and the pairs that share the head alone are settled by the distinct credit counts over the head.  What would give
-    fewer rows, counted beforehand, is done, so the rows never exceed those of comparing at once, and where overlaps are by
-    chance they stay near the number of entries.  Profiles that even with the largest counts of the others cannot beat the
-    floors of their crowds are left out (the prefix filter), with floors that rise from round to round.
+    A bucket is either compared, all pairs of it in tiles, or refined: each profile goes on to the heads made longer by one
+    crowd of its tail, and the pairs that share the head alone are settled by the distinct credit counts over the head.
+    Buckets of more than a tile are refined where that is cheaper, counted beforehand, with ``FEW_PAIRS`` pairs of a tile for a
+    row.  Profiles that even with the largest counts of the others cannot beat the floors of their crowds are left out (the
+    prefix filter), with floors that rise from round to round.
     """
     n = [F.count_if(F.col("side") == s) for s in (0, 1)]
     pairs = F.floor(n[0] * (n[0] - 1) / 2) if same else n[0] * n[1]
@@ -213,25 +218,28 @@ def _raise_floor(members: DataFrame, crowds: DataFrame, floor: DataFrame, same:
         else:
             placed = heads.join(profile, ["side", "kind"]).withColumn("last", F.element_at("at", -1))
         rows = materialise(_able(placed), "crowd_buckets")
-        tails = rows.select("bucket", "side", F.explode("tail.tconst").alias("next"))
-        further = tails.groupBy("bucket", "next").agg((F.count(F.lit(1)) + pairs).alias("rows"))
-        further = further.groupBy("bucket").agg(F.sum("rows").alias("rows"))
-        sizes = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), pairs.cast("long").alias("pairs")).where(F.col("pairs") > 0)
-        plan = sizes.join(further, "bucket", "left")
-        plan = materialise(plan.select("bucket", "n", "pairs", (F.col("rows") < F.col("pairs")).alias("refine")), "crowd_plan")
-        left = plan.agg(F.sum("pairs").alias("pairs"), F.sum("n").alias("n"), F.bool_or("refine").alias("refine")).first()
-        last = not left["refine"] or left["pairs"] <= FEW_PAIRS * left["n"]
+        sizes = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), n[0].alias("n0"), n[1].alias("n1"), pairs.cast("long").alias("pairs"))
+        plan = materialise(sizes.where(F.col("pairs") > 0).withColumn("refine", F.lit(False)), "crowd_plan")
+        left = plan.agg(F.sum("pairs").alias("pairs"), F.sum("n").alias("n")).first()
+        if (left["pairs"] or 0) > FEW_PAIRS * (left["n"] or 0):
+            large = materialise(plan.where(F.col("pairs") > TASK_PAIRS).select("bucket", "n"), "crowd_large")
+            tails = lookup_join(rows, large, ["bucket"], weight="n", how="inner").select("bucket", "side", F.explode("tails").alias("next"))
+            further = tails.groupBy("bucket", "next").agg((F.count(F.lit(1)) * max(FEW_PAIRS, 1) + pairs).alias("cost"))
+            further = further.groupBy("bucket").agg(F.sum("cost").alias("cost"))
+            plan = plan.join(further, "bucket", "left").withColumn("refine", F.coalesce(F.col("cost") < F.col("pairs"), F.lit(False)))
+            plan = materialise(plan.drop("cost"), "crowd_plan")
+        last = not plan.where("refine").limit(1).count()
         marked = lookup_join(rows, plan, ["bucket"], weight="n", how="inner")
-        chosen = marked if last else marked.where(~F.coalesce("refine", F.lit(False)))
-        found = _compared(chosen, same, math.ceil((left["pairs"] or 0) / TASK_PAIRS) + 1)
+        tasks = math.ceil((left["pairs"] or 0) / max(TASK_PAIRS, 1)) + 1
+        found = _compared(marked if last else marked.where(~F.col("refine")), same, tasks)
         if not last:
-            refined = materialise(marked.where("refine").drop("n", "pairs", "refine"), "crowd_refined")
+            refined = materialise(marked.where("refine").drop("n", "n0", "n1", "pairs", "refine"), "crowd_refined")
             found = found.unionByName(_settled(refined, same))
         floor = materialise(floor.unionByName(found).groupBy("tconst").agg(F.max("floor").alias("floor")), "crowd_floor")
         if last:
             return floor
-        behind = F.sequence(F.element_at("at", -1) + 1, F.element_at("at", -1) + F.size("tail"))
-        longer = refined.where(F.size("tail") > 0).select("side", "kind", "at", F.explode(behind).alias("next"))
+        behind = F.sequence(F.element_at("at", -1) + 1, F.element_at("at", -1) + F.size("tails"))
+        longer = refined.where(F.size("tails") > 0).select("side", "kind", "at", F.explode(behind).alias("next"))
         heads = longer.select("side", "kind", F.concat("at", F.array("next")).alias("at"))
 
 
@@ -245,7 +253,7 @@ def _profiles(members: DataFrame, crowds: DataFrame, floor: DataFrame, same: boo
 
 
 def _able(placed: DataFrame) -> DataFrame:
-    """(bucket, side, kind, at, head, tail) of the placed profiles that may still beat a floor of theirs."""
+    """(bucket, side, kind, at, titles, counts, tails, tail_counts) of the placed profiles that may still beat a floor of theirs."""
     head = F.transform("at", lambda i: F.element_at("entries", i + 1))
     rows = placed.withColumns({"head": head, "tail": F.slice("entries", F.col("last") + 2, F.size("entries"))})
     whole = F.concat("head", "tail")
@@ -254,7 +262,10 @@ def _able(placed: DataFrame) -> DataFrame:
     # What a single crowd gives is in the floors already: the first common crowd needs another behind it.
     several = (F.size("at") > 1) | (F.size("tail") > 0)
     bucket = F.md5(F.to_json(F.col("head.tconst")))
-    return rows.where(several & (gain > floor)).select(bucket.alias("bucket"), "side", "kind", "at", "head", "tail")
+    return rows.where(several & (gain > floor)).select(
+        bucket.alias("bucket"), "side", "kind", "at", F.col("head.tconst").alias("titles"), F.col("head.m").alias("counts"),
+        F.col("tail.tconst").alias("tails"), F.col("tail.m").alias("tail_counts"),
+    )
 
 
 def _dot(a: str, b: str) -> Column:
@@ -264,33 +275,97 @@ def _dot(a: str, b: str) -> Column:
 def _compared(rows: DataFrame, same: bool, tasks: int) -> DataFrame:
     """(tconst, floor) from all pairs of a bucket: their credits over the head and the common crowds of the tails.
 
-    A bucket of many pairs is cut into parts of about ``TASK_PAIRS``, by its first side; the second is sent to all of them.
+    Both sides of a bucket are cut into parts of about the root of ``TASK_PAIRS``, and every two parts are a tile.  With one
+    side, a part meets itself and the parts behind it.
     """
-    parts = F.ceil(F.col("pairs") / F.lit(TASK_PAIRS)).cast("int")
-    a = rows.where(F.col("side") == 0).select(
-        "bucket", F.pmod(F.xxhash64("kind"), parts).cast("int").alias("part"),
-        F.col("kind").alias("a"), "head", "tail", F.col("head.m").alias("ma"),
-    )
-    b = rows.where(F.col("side") == (0 if same else 1)).select(
-        "bucket", F.explode(F.sequence(F.lit(0), parts - 1)).alias("part"),
-        F.col("kind").alias("b"), F.col("head.m").alias("mb"), F.map_from_arrays("tail.tconst", "tail.m").alias("other"),
-    )
-    tasks = min(tasks, MOST_TASKS)
-    both = a.repartition(tasks, "bucket", "part").join(b.repartition(tasks, "bucket", "part"), ["bucket", "part"])
-    both = both.where(F.col("a") < F.col("b")) if same else both
-    met = both.withColumn("met", F.filter("tail", lambda e: F.map_contains_key("other", e["tconst"])))
-    over = F.aggregate("met", F.lit(0).cast("long"), lambda s, e: s + e["m"] * F.element_at("other", e["tconst"]))
-    scored = met.select((_dot("ma", "mb") + over).alias("weight"), F.concat("head", "met").alias("shared"))
-    beaten = scored.select("weight", F.filter("shared", lambda e: e["floor"] < F.col("weight")).alias("beaten"))
-    each = beaten.select(F.explode("beaten.tconst").alias("tconst"), F.col("weight").alias("floor"))
-    return each.groupBy("tconst").agg(F.max("floor").alias("floor"))
+    width = F.lit(max(math.isqrt(TASK_PAIRS), 1))
+    parts = [F.ceil(F.greatest(F.col(c), F.lit(1)) / width).cast("int") for c in ("n0", "n0" if same else "n1")]
+    part = [F.pmod(F.xxhash64("kind"), n).cast("int") for n in parts]
+    others = F.sequence(F.lit(0), F.when(F.col("side") == 0, parts[1]).otherwise(parts[0]) - 1)
+    own, other = F.when(F.col("side") == 0, part[0]).otherwise(part[1]), F.col("other")
+    dealt = rows.withColumns({"own": own, "other": F.explode(others)})
+    if same:
+        role = F.when(F.col("own") == other, F.lit(2)).otherwise((F.col("own") > other).cast("int"))
+        i, j = F.least("own", other), F.greatest("own", other)
+    else:
+        role, i, j = F.col("side"), F.when(F.col("side") == 0, F.col("own")).otherwise(other), F.when(F.col("side") == 0, other).otherwise(F.col("own"))
+    keys = [F.col("bucket"), i.alias("i"), j.alias("j")]
+    dealt = dealt.select(*keys, role.cast("int").alias("role"), "titles", "counts", "tails", "tail_counts")
+    kind = rows.schema["titles"].dataType.elementType.simpleString()
+    tiles = dealt.repartition(min(tasks, MOST_TASKS), "bucket", "i", "j").groupBy("bucket", "i", "j")
+    return tiles.applyInArrow(_tile, f"tconst {kind}, floor long").groupBy("tconst").agg(F.max("floor").alias("floor"))
+
+
+def _tile(table: pa.Table) -> pa.Table:
+    """(tconst, floor) of one tile: rows of role 0 meet those of role 1, rows of role 2 each other.
+
+    A sparse product: the weights of all pairs are one array, to which the entries of each common crowd add theirs.
+    """
+    role = table["role"].to_numpy()
+    same = bool((role == 2).any())
+    places = [np.flatnonzero(role != 1), np.flatnonzero(role != 0)]
+    heads = table["titles"].combine_chunks().flatten()[: len(table["titles"][0])]
+    nothing = pa.table({"tconst": heads[:0], "floor": pa.array([], pa.int64())})
+    if not len(places[0]) or not len(places[1]):
+        return nothing
+    counts = table["counts"].combine_chunks().flatten().to_numpy().reshape(len(role), len(heads))
+    weight = sum(np.multiply.outer(counts[places[0], k], counts[places[1], k]) for k in range(len(heads)))
+    if same:
+        weight = np.triu(weight, 1)
+    top = int(weight.max()) if len(heads) > 1 else 0
+
+    # Entries of both sides in the order of their crowds, numbered within the tile.
+    tails = table["tails"].combine_chunks()
+    named = tails.flatten().dictionary_encode()
+    crowd, m = named.indices.to_numpy(), table["tail_counts"].combine_chunks().flatten().to_numpy()
+    row = np.repeat(np.arange(len(role)), pc.list_value_length(tails).to_numpy())
+    sides = []
+    for at in places:
+        place = np.full(len(role), -1)
+        place[at] = np.arange(len(at))
+        mine = np.flatnonzero(place[row] >= 0)
+        mine = mine[np.argsort(crowd[mine], kind="stable")]
+        sides.append((crowd[mine], place[row[mine]], m[mine]))
+    (ca, ra, ma), (cb, rb, mb) = sides
+    start = np.searchsorted(cb, np.arange(len(named.dictionary) + 1))
+    meets = start[ca + 1] - start[ca]
+    ends = np.cumsum(meets)
+    cuts = np.unique(np.searchsorted(ends, np.arange(BLOCK, (ends[-1] if len(ends) else 0) + BLOCK, BLOCK)) + 1)
+
+    def blocks():
+        first = 0
+        for cut in cuts:
+            n = meets[first:cut]
+            a = np.repeat(np.arange(first, min(cut, len(meets))), n)
+            b = start[ca[a]] + np.arange(len(a)) - np.repeat(np.cumsum(n) - n, n)
+            if same:
+                ahead = ra[a] < rb[b]
+                a, b = a[ahead], b[ahead]
+            yield ca[a], ra[a] * weight.shape[1] + rb[b], ma[a] * mb[b]
+            first = cut
+
+    listed = list(blocks()) if len(cuts) < 4 else None
+    flat = weight.reshape(-1)
+    for _, cell, credits in listed or blocks():
+        np.add.at(flat, cell, credits)
+    best = np.zeros(len(named.dictionary), np.int64)
+    for of, cell, _ in listed or blocks():
+        if len(of):
+            found = np.flatnonzero(np.diff(of, prepend=-1))
+            best[of[found]] = np.maximum(best[of[found]], np.maximum.reduceat(flat[cell], found))
+    top = max(top, int(flat.max()) if len(heads) > 1 else int(best.max(initial=0)))
+    if not top:
+        return nothing
+    raised = np.flatnonzero(best)
+    floors = np.concatenate([np.full(len(heads), top), best[raised]])
+    return pa.table({"tconst": pa.concat_arrays([heads, named.dictionary.take(pa.array(raised))]), "floor": pa.array(floors, pa.int64())})
 
 
 def _settled(rows: DataFrame, same: bool) -> DataFrame:
     """(tconst, floor) from the credits over the heads alone: pairs of distinct counts, not of profiles."""
-    longer = rows.where(F.size("head") > 1)
-    kinds = longer.groupBy("bucket", "side", F.col("head.m").alias("ms")).agg(
-        F.count(F.lit(1)).alias("kinds"), F.first("head.tconst").alias("titles")
+    longer = rows.where(F.size("titles") > 1)
+    kinds = longer.groupBy("bucket", "side", F.col("counts").alias("ms")).agg(
+        F.count(F.lit(1)).alias("kinds"), F.first("titles").alias("titles")
     )
     a = kinds.where(F.col("side") == 0).select("bucket", "titles", "kinds", F.col("ms").alias("ma"))
     b = kinds.where(F.col("side") == (0 if same else 1)).select("bucket", F.col("ms").alias("mb"))

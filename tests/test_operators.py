@@ -8,6 +8,7 @@ from types import SimpleNamespace
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -184,6 +185,42 @@ def test_refined_buckets_agree_with_listing_all_pairs(spark, monkeypatch):
     assert rounds.count("crowd_refined") > 0
 
 
+def test_crowds_of_hundreds_are_compared_at_once(spark, monkeypatch):
+    """Chance overlaps of few people a title: one round of tiles, though a bucket has several."""
+    monkeypatch.setattr(graph, "TASK_PAIRS", 256)
+    rounds, kept = [], graph.materialise
+    monkeypatch.setattr(graph, "materialise", lambda df, name: rounds.append(name) or kept(df, name))
+    rng = random.Random(4)
+    a = [(f"t{t}", f"p{p}") for p in range(150) for t in rng.choices(range(12), k=4)]
+    b = [(f"t{t}", f"p{p}") for p in range(20) for t in rng.choices(range(12), k=14)]
+    cross = graph.cross_role_weight(relation(spark, a), relation(spark, b), "w", "d", crowd=1)
+    assert {r[0]: r[1] for r in cross.collect()} == brute_cross(a, b)[0]
+    same = graph.same_role_weight(relation(spark, a), "w", crowd=1)
+    assert {r[0]: r[1] for r in same.collect()} == brute_same(a)[0]
+    assert rounds.count("crowd_buckets") == 2 and "crowd_refined" not in rounds
+
+
+@pytest.mark.parametrize("same", [True, False])
+@pytest.mark.parametrize("block", [3, 1 << 20])
+def test_a_tile_weighs_all_its_pairs(monkeypatch, same, block):
+    monkeypatch.setattr(graph, "BLOCK", block)
+    rng = random.Random(block)
+    rows = []
+    for _ in range(30):
+        tail = {f"t{rng.randrange(9)}": rng.randrange(1, 4) for _ in range(rng.randrange(5))}
+        rows.append({"role": 2 if same else rng.randrange(2), "titles": ["x"], "counts": [rng.randrange(1, 4)], "tails": list(tail), "tail_counts": list(tail.values())})
+    pairs = combinations(rows, 2) if same else product(*[[r for r in rows if r["role"] == k] for k in (0, 1)])
+    best = defaultdict(int)
+    for p, q in pairs:
+        other = dict(zip(q["tails"], q["tail_counts"]))
+        met = {t: m * other[t] for t, m in zip(p["tails"], p["tail_counts"]) if t in other}
+        for t in [*met, *["x"] * bool(met)]:
+            best[t] = max(best[t], p["counts"][0] * q["counts"][0] + sum(met.values()))
+    kinds = pa.schema([("role", pa.int32()), ("titles", pa.list_(pa.string())), ("counts", pa.list_(pa.int64())), ("tails", pa.list_(pa.string())), ("tail_counts", pa.list_(pa.int64()))])
+    got = graph._tile(pa.Table.from_pylist(rows, kinds))
+    assert dict(zip(*[c.to_pylist() for c in got.columns])) == best
+
+
 def test_crowd_of_distinct_people(spark):
     """Large titles with many people: two share a core that also meets in a third."""
     edges = [("big", f"x{i}") for i in range(400)] + [("big2", f"x{i}") for i in range(390, 700)] + [("small", "x391"), ("small", "x395")]
