@@ -211,13 +211,8 @@ def _raise_floor(members: DataFrame, crowds: DataFrame, floor: DataFrame, same:
     pairs = F.floor(n[0] * (n[0] - 1) / 2) if same else n[0] * n[1]
     heads = None
     while True:
-        profile = _profiles(members, crowds, floor, same)
-        if heads is None:
-            placed = profile.select("side", "kind", "entries", F.explode(F.sequence(F.lit(0), F.size("entries") - 1)).alias("last"))
-            placed = placed.withColumn("at", F.array("last"))
-        else:
-            placed = heads.join(profile, ["side", "kind"]).withColumn("last", F.element_at("at", -1))
-        rows = materialise(_able(placed), "crowd_buckets")
+        bounded = _bounded(members, crowds, floor, same)
+        rows = materialise(_first(bounded) if heads is None else _able(heads.join(_profiles(bounded), ["side", "kind"])), "crowd_buckets")
         sizes = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), n[0].alias("n0"), n[1].alias("n1"), pairs.cast("long").alias("pairs"))
         plan = materialise(sizes.where(F.col("pairs") > 0).withColumn("refine", F.lit(False)), "crowd_plan")
         left = plan.agg(F.sum("pairs").alias("pairs"), F.sum("n").alias("n")).first()
@@ -243,27 +238,45 @@ def _raise_floor(members: DataFrame, crowds: DataFrame, floor: DataFrame, same:
         heads = longer.select("side", "kind", F.concat("at", F.array("next")).alias("at"))
 
 
-def _profiles(members: DataFrame, crowds: DataFrame, floor: DataFrame, same: bool) -> DataFrame:
-    """(side, kind, entries): crowds from rare to common with credits, most that a pair can gain there, and floor."""
+def _bounded(members: DataFrame, crowds: DataFrame, floor: DataFrame, same: bool) -> DataFrame:
+    """(side, kind, size, tconst, m, gain, floor): entries with the most that a pair can gain in the crowd, and its floor."""
     rival = F.col("most0") if same else F.when(F.col("side") == 0, F.col("most1")).otherwise(F.col("most0"))
     table = materialise(crowds.join(floor, "tconst"), "crowd_bounds")
     bounded = lookup_join(members, table, ["tconst"], weight="size", how="inner").where(rival.isNotNull())
-    entry = F.struct("size", "tconst", "m", (F.col("m") * rival).alias("gain"), "floor")
+    return bounded.select("side", "kind", "size", "tconst", "m", (F.col("m") * rival).alias("gain"), "floor")
+
+
+def _first(bounded: DataFrame) -> DataFrame:
+    """The rows of ``_able`` for heads of one crowd: the tail and its bounds are what follows it in its profile."""
+    ordered = Window.partitionBy("side", "kind").orderBy("size", "tconst")
+    rest, behind = [ordered.rowsBetween(first, Window.unboundedFollowing) for first in (0, 1)]
+    rows = bounded.select(
+        F.array("tconst").alias("bucket"), "side", "kind", F.array(F.row_number().over(ordered) - 1).alias("at"), F.array("m").alias("counts"),
+        F.collect_list("tconst").over(behind).alias("tails"), F.collect_list("m").over(behind).alias("tail_counts"),
+        F.sum("gain").over(rest).alias("gain"), F.min("floor").over(rest).alias("floor"),
+    )
+    # What a single crowd gives is in the floors already: the first common crowd needs another behind it.
+    return rows.where((F.size("tails") > 0) & (F.col("gain") > F.col("floor"))).drop("gain", "floor")
+
+
+def _profiles(bounded: DataFrame) -> DataFrame:
+    """(side, kind, entries): crowds from rare to common with credits, most that a pair can gain there, and floor."""
+    entry = F.struct("size", "tconst", "m", "gain", "floor")
     return bounded.groupBy("side", "kind").agg(F.array_sort(F.collect_list(entry)).alias("entries"))
 
 
 def _able(placed: DataFrame) -> DataFrame:
-    """(bucket, side, kind, at, titles, counts, tails, tail_counts) of the placed profiles that may still beat a floor of theirs."""
+    """(bucket, side, kind, at, counts, tails, tail_counts) of the placed profiles that may still beat a floor of theirs.
+
+    A bucket is named by the titles of its head.
+    """
     head = F.transform("at", lambda i: F.element_at("entries", i + 1))
-    rows = placed.withColumns({"head": head, "tail": F.slice("entries", F.col("last") + 2, F.size("entries"))})
+    rows = placed.withColumns({"head": head, "tail": F.slice("entries", F.element_at("at", -1) + 2, F.size("entries"))})
     whole = F.concat("head", "tail")
     gain = F.aggregate(F.transform(whole, lambda e: e["gain"]), F.lit(0).cast("long"), lambda s, g: s + g)
     floor = F.array_min(F.transform(whole, lambda e: e["floor"]))
-    # What a single crowd gives is in the floors already: the first common crowd needs another behind it.
-    several = (F.size("at") > 1) | (F.size("tail") > 0)
-    bucket = F.md5(F.to_json(F.col("head.tconst")))
-    return rows.where(several & (gain > floor)).select(
-        bucket.alias("bucket"), "side", "kind", "at", F.col("head.tconst").alias("titles"), F.col("head.m").alias("counts"),
+    return rows.where(gain > floor).select(
+        F.col("head.tconst").alias("bucket"), "side", "kind", "at", F.col("head.m").alias("counts"),
         F.col("tail.tconst").alias("tails"), F.col("tail.m").alias("tail_counts"),
     )
 
@@ -290,8 +303,8 @@ def _compared(rows: DataFrame, same: bool, tasks: int) -> DataFrame:
     else:
         role, i, j = F.col("side"), F.when(F.col("side") == 0, F.col("own")).otherwise(other), F.when(F.col("side") == 0, other).otherwise(F.col("own"))
     keys = [F.col("bucket"), i.alias("i"), j.alias("j")]
-    dealt = dealt.select(*keys, role.cast("int").alias("role"), "titles", "counts", "tails", "tail_counts")
-    kind = rows.schema["titles"].dataType.elementType.simpleString()
+    dealt = dealt.select(*keys, role.cast("int").alias("role"), "counts", "tails", "tail_counts")
+    kind = rows.schema["bucket"].dataType.elementType.simpleString()
     tiles = dealt.repartition(min(tasks, MOST_TASKS), "bucket", "i", "j").groupBy("bucket", "i", "j")
     return tiles.applyInArrow(_tile, f"tconst {kind}, floor long").groupBy("tconst").agg(F.max("floor").alias("floor"))
 
@@ -299,20 +312,17 @@ def _compared(rows: DataFrame, same: bool, tasks: int) -> DataFrame:
 def _tile(table: pa.Table) -> pa.Table:
     """(tconst, floor) of one tile: rows of role 0 meet those of role 1, rows of role 2 each other.
 
-    A sparse product: the weights of all pairs are one array, to which the entries of each common crowd add theirs.
+    A sparse product: the weights of the pairs are one array, to which the entries of each common crowd add theirs.
     """
     role = table["role"].to_numpy()
     same = bool((role == 2).any())
     places = [np.flatnonzero(role != 1), np.flatnonzero(role != 0)]
-    heads = table["titles"].combine_chunks().flatten()[: len(table["titles"][0])]
+    heads = table["bucket"].combine_chunks().flatten()[: len(table["bucket"][0])]
     nothing = pa.table({"tconst": heads[:0], "floor": pa.array([], pa.int64())})
     if not len(places[0]) or not len(places[1]):
         return nothing
     counts = table["counts"].combine_chunks().flatten().to_numpy().reshape(len(role), len(heads))
-    weight = sum(np.multiply.outer(counts[places[0], k], counts[places[1], k]) for k in range(len(heads)))
-    if same:
-        weight = np.triu(weight, 1)
-    top = int(weight.max()) if len(heads) > 1 else 0
+    width = len(places[1])
 
     # Entries of both sides in the order of their crowds, numbered within the tile.
     tails = table["tails"].combine_chunks()
@@ -341,11 +351,20 @@ def _tile(table: pa.Table) -> pa.Table:
             if same:
                 ahead = ra[a] < rb[b]
                 a, b = a[ahead], b[ahead]
-            yield ca[a], ra[a] * weight.shape[1] + rb[b], ma[a] * mb[b]
+            yield ca[a], ra[a] * width + rb[b], ma[a] * mb[b]
             first = cut
 
     listed = list(blocks()) if len(cuts) < 4 else None
-    flat = weight.reshape(-1)
+    if listed is not None and len(heads) == 1 and len(listed) < 2:
+        # Few pairs meet in a second crowd: only these have a place.
+        if not listed or not len(listed[0][1]):
+            return nothing
+        met, cell = np.unique(listed[0][1], return_inverse=True)
+        listed = [(listed[0][0], cell, listed[0][2])]
+        flat = counts[places[0], 0][met // width] * counts[places[1], 0][met % width]
+    else:
+        weight = sum(np.multiply.outer(counts[places[0], k], counts[places[1], k]) for k in range(len(heads)))
+        flat = (np.triu(weight, 1) if same else weight).reshape(-1)
     for _, cell, credits in listed or blocks():
         np.add.at(flat, cell, credits)
     best = np.zeros(len(named.dictionary), np.int64)
@@ -353,7 +372,7 @@ def _tile(table: pa.Table) -> pa.Table:
         if len(of):
             found = np.flatnonzero(np.diff(of, prepend=-1))
             best[of[found]] = np.maximum(best[of[found]], np.maximum.reduceat(flat[cell], found))
-    top = max(top, int(flat.max()) if len(heads) > 1 else int(best.max(initial=0)))
+    top = int(flat.max()) if len(heads) > 1 else int(best.max(initial=0))
     if not top:
         return nothing
     raised = np.flatnonzero(best)
@@ -363,17 +382,15 @@ def _tile(table: pa.Table) -> pa.Table:
 
 def _settled(rows: DataFrame, same: bool) -> DataFrame:
     """(tconst, floor) from the credits over the heads alone: pairs of distinct counts, not of profiles."""
-    longer = rows.where(F.size("titles") > 1)
-    kinds = longer.groupBy("bucket", "side", F.col("counts").alias("ms")).agg(
-        F.count(F.lit(1)).alias("kinds"), F.first("titles").alias("titles")
-    )
-    a = kinds.where(F.col("side") == 0).select("bucket", "titles", "kinds", F.col("ms").alias("ma"))
+    longer = rows.where(F.size("bucket") > 1)
+    kinds = longer.groupBy("bucket", "side", F.col("counts").alias("ms")).agg(F.count(F.lit(1)).alias("kinds"))
+    a = kinds.where(F.col("side") == 0).select("bucket", "kinds", F.col("ms").alias("ma"))
     b = kinds.where(F.col("side") == (0 if same else 1)).select("bucket", F.col("ms").alias("mb"))
     both = a.join(b, "bucket")
     if same:
         both = both.where((F.col("ma") < F.col("mb")) | ((F.col("ma") == F.col("mb")) & (F.col("kinds") > 1)))
-    best = both.select("titles", _dot("ma", "mb").alias("floor"))
-    return best.select(F.explode("titles").alias("tconst"), "floor").groupBy("tconst").agg(F.max("floor").alias("floor"))
+    best = both.select("bucket", _dot("ma", "mb").alias("floor"))
+    return best.select(F.explode("bucket").alias("tconst"), "floor").groupBy("tconst").agg(F.max("floor").alias("floor"))
 
 
 def feature_matrix(titles: DataFrame, directors: DataFrame | None = None, writers: DataFrame | None = None) -> DataFrame:

@@ -208,7 +208,7 @@ def test_a_tile_weighs_all_its_pairs(monkeypatch, same, block):
     rows = []
     for _ in range(30):
         tail = {f"t{rng.randrange(9)}": rng.randrange(1, 4) for _ in range(rng.randrange(5))}
-        rows.append({"role": 2 if same else rng.randrange(2), "titles": ["x"], "counts": [rng.randrange(1, 4)], "tails": list(tail), "tail_counts": list(tail.values())})
+        rows.append({"role": 2 if same else rng.randrange(2), "bucket": ["x"], "counts": [rng.randrange(1, 4)], "tails": list(tail), "tail_counts": list(tail.values())})
     pairs = combinations(rows, 2) if same else product(*[[r for r in rows if r["role"] == k] for k in (0, 1)])
     best = defaultdict(int)
     for p, q in pairs:
@@ -216,7 +216,7 @@ def test_a_tile_weighs_all_its_pairs(monkeypatch, same, block):
         met = {t: m * other[t] for t, m in zip(p["tails"], p["tail_counts"]) if t in other}
         for t in [*met, *["x"] * bool(met)]:
             best[t] = max(best[t], p["counts"][0] * q["counts"][0] + sum(met.values()))
-    kinds = pa.schema([("role", pa.int32()), ("titles", pa.list_(pa.string())), ("counts", pa.list_(pa.int64())), ("tails", pa.list_(pa.string())), ("tail_counts", pa.list_(pa.int64()))])
+    kinds = pa.schema([("role", pa.int32()), ("bucket", pa.list_(pa.string())), ("counts", pa.list_(pa.int64())), ("tails", pa.list_(pa.string())), ("tail_counts", pa.list_(pa.int64()))])
     got = graph._tile(pa.Table.from_pylist(rows, kinds))
     assert dict(zip(*[c.to_pylist() for c in got.columns])) == best
 
