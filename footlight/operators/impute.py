@@ -35,6 +35,8 @@ MIN_TRAINING_ROWS = 50
 MAX_CLASSES = 1000
 HASH_FEATURES = 256
 FILL_TEXT = "Unknown"
+# Feature values in one partition of a training table.
+VALUES = 4 << 20
 # ----------------------------------------------------------------------------
 
 
@@ -159,6 +161,16 @@ def feature_stages(df: DataFrame, inputs: list[str], text: list[str]) -> tuple[D
     return prepared, stages
 
 
+def _spread(rows: DataFrame, n: int, values: int) -> DataFrame:
+    """``n`` rows dealt to partitions of about ``VALUES`` feature values, if one partition cannot hold them.
+
+    Learners keep each partition's features and read them in every pass; a scan of few bytes has few partitions, whatever its rows
+    grow to.
+    """
+    parts = -(-n * max(values, 1) // VALUES)
+    return rows if parts < 2 else rows.repartition(parts)
+
+
 def imputation_branch(
     df: DataFrame, target: str, min_training_rows: int = MIN_TRAINING_ROWS, max_classes: int = MAX_CLASSES
 ) -> str:
@@ -237,10 +249,12 @@ def fit_imputer(
         return out
 
     inputs = [c for c in df.columns if c != target and c not in ignored]
-    counts = df.agg(F.count(F.lit(1)), *[F.count(F.when(F.col(target).isNotNull(), F.col(c))).alias(c) for c in inputs]).first()
+    counts = df.agg(F.count(target).alias("_known"), *[F.count(F.when(F.col(target).isNotNull(), F.col(c))).alias(c) for c in inputs]).first()
     out.inputs = [c for c in inputs if counts[c]]
-    prepared, stages = feature_stages(df, out.inputs, text)
-    training = prepared.where(F.col(target).isNotNull())
+    texts, categories, numbers = _kinds(df, out.inputs, text)
+    _, stages = feature_stages(df, out.inputs, text)
+    known = _spread(df.where(F.col(target).isNotNull()), counts["_known"], HASH_FEATURES * len(texts + categories) + len(numbers))
+    training = prepared_inputs(known, out.inputs, text)
     if isinstance(kind, T.StringType):
         features = Pipeline(stages=stages + [StringIndexer(inputCol=target, outputCol="_class")]).fit(training)
         classes = features.stages[-1].labels  # max_classes at most

@@ -303,6 +303,20 @@ def test_fits_of_a_row_do_not_depend_on_its_batch(spark, gaps, tmp_path):
     assert lost["clue"] == 1.0  # the median of training
 
 
+@pytest.mark.parametrize(
+    "target, learner, values", [("number", impute.GBTRegressor, 5000), ("letter", impute.MultilayerPerceptronClassifier, 50)]
+)
+def test_training_rows_are_dealt_by_their_values(spark, gaps, monkeypatch, target, learner, values):
+    """Rows that come in one partition do not stay in one."""
+    monkeypatch.setattr(impute, "VALUES", values, raising=False)
+    seen, real = [], learner.fit
+    monkeypatch.setattr(learner, "fit", lambda self, rows: seen.append(rows.rdd.glom().map(len).collect()) or real(self, rows))
+    one = gaps.coalesce(1)
+    filled(gaps, impute.impute_column(one, target, impute.Settings(epochs=2), ignored=["id"]), target)
+    known = gaps.where(F.col(target).isNotNull()).count()
+    assert sum(seen[0]) == known and len(seen[0]) > 7 and max(seen[0]) < 30
+
+
 def test_wide_categories_are_hashed(spark):
     rows = spark.range(2400).select(
         "id", F.concat(F.lit("c"), F.col("id") % 1200).alias("wide"), (F.col("id") % 2).cast("double").alias("clue"),
