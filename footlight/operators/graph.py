@@ -19,7 +19,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from footlight.operators.skew import lookup_join
+from footlight.operators.skew import HOT_SHARE, lookup_join
 from footlight.session import materialise
 
 CROWD = 128
@@ -94,26 +94,35 @@ def cross_role_weight(
     return _max_pair_weight(edges, False, f"{prefix_a}_{prefix_b}_max_collab_weight", crowd)
 
 
-def _small_pairs(edges: DataFrame, same: bool) -> DataFrame:
-    """(tconst, p1, p2) for every pair of edges of small titles; the arrays hold at most CROWD people."""
+def _small_pairs(edges: DataFrame, same: bool, lead: bool = False) -> DataFrame:
+    """(tconst, p1, p2) for every pair of edges of small titles; the arrays hold at most CROWD people.
+
+    ``lead`` adds a column of that name: true for one pair of each title (and its repeats).
+    """
     if same:
         people = edges.groupBy("tconst").agg(F.array_sort(F.collect_list("nconst")).alias("people"))
         first = people.where(F.size("people") > 1).select("tconst", "people", F.posexplode("people").alias("at", "p1"))
         rest = F.slice("people", F.col("at") + 2, F.size("people"))
-        return first.select("tconst", "p1", F.explode(rest).alias("p2")).where(F.col("p1") < F.col("p2"))
-    people = edges.groupBy("tconst").agg(
-        F.collect_list(F.when(F.col("side") == 0, F.col("nconst"))).alias("left"),
-        F.collect_list(F.when(F.col("side") == 1, F.col("nconst"))).alias("right"),
-    )
-    first = people.where((F.size("left") > 0) & (F.size("right") > 0)).select("tconst", "right", F.explode("left").alias("p1"))
-    return first.select("tconst", "p1", F.explode("right").alias("p2"))
+        ends = [F.element_at("people", i) for i in (1, -1)]
+        pairs = first.select("tconst", "p1", F.explode(rest).alias("p2"), *[e.alias(f"_end{i}") for i, e in enumerate(ends)])
+        pairs = pairs.where(F.col("p1") < F.col("p2"))
+    else:
+        people = edges.groupBy("tconst").agg(
+            F.collect_list(F.when(F.col("side") == 0, F.col("nconst"))).alias("left"),
+            F.collect_list(F.when(F.col("side") == 1, F.col("nconst"))).alias("right"),
+        )
+        first = people.where((F.size("left") > 0) & (F.size("right") > 0))
+        ends = [F.element_at("left", 1).alias("_end0"), F.element_at("right", 1).alias("_end1")]
+        pairs = first.select("tconst", "right", *ends, F.explode("left").alias("p1")).select("tconst", "p1", F.explode("right").alias("p2"), "_end0", "_end1")
+    marked = [((F.col("p1") == F.col("_end0")) & (F.col("p2") == F.col("_end1"))).alias("lead")] if lead else []
+    return pairs.select("tconst", "p1", "p2", *marked)
 
 
 def _max_pair_weight(edges: DataFrame, same: bool, name: str, crowd: int) -> DataFrame:
     sizes = edges.groupBy("tconst").agg(F.count(F.lit(1)).alias("size"))
     crowds = materialise(sizes.where(F.col("size") > crowd), "crowds")
     if crowds.isEmpty():
-        return _small_title_weights(_small_pairs(edges, same), None, name)
+        return _only_small_weights(edges, same, name)
 
     tagged = lookup_join(edges, crowds, ["tconst"], weight="size")
     small = tagged.where(F.col("size").isNull()).drop("size")
@@ -136,6 +145,29 @@ def _max_pair_weight(edges: DataFrame, same: bool, name: str, crowd: int) -> Dat
     return in_small.unionByName(in_crowds.unionByName(only_crowds).groupBy("tconst").agg(F.max(name).alias(name)))
 
 
+def _only_small_weights(edges: DataFrame, same: bool, name: str) -> DataFrame:
+    """Per title the largest weight of its pairs, where all titles are small: the pairs cross the network once.
+
+    Pairs are counted where they meet.  Of those met once a title sends a single one on: they all weigh 1.  A pair is hot only
+    if both its people are, fewer than ``HOT_SHARE`` of them; such pairs are counted on the map side first and looked up.
+    """
+    pairs = _small_pairs(edges, same, True)
+    degree = materialise(edges.groupBy("nconst").agg(F.count(F.lit(1)).alias("n")), "edge_degree")
+    total = degree.agg(F.sum("n")).first()[0] or 0
+    hot = materialise(degree.where(F.col("n") * HOT_SHARE > total).select("nconst"), "hot_people")
+    cold, found = pairs, []
+    if not hot.isEmpty():
+        for p in ("p1", "p2"):
+            pairs = pairs.join(F.broadcast(hot.select(F.col("nconst").alias(p), F.lit(True).alias(f"_{p}"))), p, "left")
+        both = F.col("_p1").isNotNull() & F.col("_p2").isNotNull()
+        cold = pairs.where(~both)
+        found.append(_small_title_weights(pairs.where(both).select("tconst", "p1", "p2"), None, name))
+    met = cold.select("tconst", "lead", F.count(F.lit(1)).over(Window.partitionBy("p1", "p2")).alias(name))
+    # The lead of a title may be among its hot pairs, which are all looked up.
+    found.append(met.where((F.col(name) > 1) | F.col("lead")).select("tconst", name))
+    return reduce(DataFrame.unionByName, found).groupBy("tconst").agg(F.max(name).alias(name))
+
+
 def _small_title_weights(pairs: DataFrame, totals: DataFrame | None, name: str) -> DataFrame:
     """Per small title the largest weight of its pairs.
 

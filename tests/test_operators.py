@@ -221,6 +221,20 @@ def test_a_tile_weighs_all_its_pairs(monkeypatch, same, block):
     assert dict(zip(*[c.to_pylist() for c in got.columns])) == best
 
 
+@pytest.mark.parametrize("hot_share", [1, 9])
+def test_pairs_of_small_titles_cross_the_network_once(spark, monkeypatch, hot_share):
+    """No pair is looked up but those of two hot people."""
+    monkeypatch.setattr(graph, "HOT_SHARE", hot_share, raising=False)
+    names, kept = [], graph.materialise
+    monkeypatch.setattr(graph, "materialise", lambda df, name: names.append(name) or kept(df, name))
+    a, b = random_edges(5, people=20), random_edges(6, people=20)
+    same = graph.same_role_weight(relation(spark, a), "w", crowd=10_000)
+    assert {r[0]: r[1] for r in same.collect()} == brute_same(a)[0]
+    cross = graph.cross_role_weight(relation(spark, a), relation(spark, b), "w", "d", crowd=10_000)
+    assert {r[0]: r[1] for r in cross.collect()} == brute_cross(a, b)[0]
+    assert hot_share > 1 or "recurring_pairs" not in names
+
+
 def test_crowd_of_distinct_people(spark):
     """Large titles with many people: two share a core that also meets in a third."""
     edges = [("big", f"x{i}") for i in range(400)] + [("big2", f"x{i}") for i in range(390, 700)] + [("small", "x391"), ("small", "x395")]
