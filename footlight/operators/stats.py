@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from footlight.operators.ordering import average_rank_of, bucket_count, quantile_points, running_values, with_buckets
+from footlight.operators.ordering import MAX_BUCKETS, average_rank_of, bucket_count, quantile_points, running_values, with_buckets
 from footlight.operators.skew import lookup_join
 from footlight.session import materialise
 
@@ -24,6 +24,8 @@ COLLINEAR = 0.75
 MAX_DOUBLE = sys.float_info.max
 # A column of at most this many values looks its ranks up in a broadcast table.
 FEW_VALUES = 10_000
+# Cells that a task orders or brings back to their rows: more cells get more tasks.
+CELLS = 500_000
 # The broadcast totals of buckets take at most this much, at 16 bytes a number; more columns get fewer buckets each.
 OFFSET_BYTES = 32 << 20
 
@@ -148,14 +150,15 @@ def _few_value_ranks(rows: DataFrame, columns: list[str], sides: list[str]) -> D
     return materialise(counted.select("column", "value", *ranks), "value_ranks")
 
 
-def _cell_ranks(rows: DataFrame, columns: list[str], sides: list[str]) -> DataFrame:
+def _cell_ranks(rows: DataFrame, columns: list[str], sides: list[str], parts: int | None = None) -> DataFrame:
     """(_row, column, rank0..) of every filled cell, from one exchange of the values of all columns.
 
     Cells are ordered inside buckets of their column.  A bucket with a single value needs no order: its cells get their rank
     from the bucket's totals and are not moved, so no task orders a hot value.
     """
     counts = range(len(sides) + 1)
-    buckets = min(bucket_count(rows.sparkSession), OFFSET_BYTES // (32 * len(columns) * len(counts)))
+    parts = parts or int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+    buckets = min(max(bucket_count(rows.sparkSession), min(parts, MAX_BUCKETS)), OFFSET_BYTES // (32 * len(columns) * len(counts)))
     cuts = _split_cuts(rows, columns, max(2, buckets))
     alone = {c: [i + 1 for i, (u, v) in enumerate(zip(w, w[1:])) if v == math.nextafter(u, math.inf)] for c, w in cuts.items()}
     alone = {c: [*v, len(cuts[c]) + 1] if cuts[c] else [] for c, v in alone.items()}  # not-a-number is in the last one
@@ -180,7 +183,7 @@ def _cell_ranks(rows: DataFrame, columns: list[str], sides: list[str]) -> DataFr
     settled = placed.where("_alone").select(
         "_row", "column", *[_rank_of(F.col(f"before{k}"), F.col(f"n{k}"), F.col(f"n{k}")).alias(f"rank{k}") for k in counts]
     )
-    ordered = placed.where(~F.col("_alone")).select(
+    ordered = placed.where(~F.col("_alone")).repartition(parts, "column", "_bucket").select(
         "_row",
         "column",
         *[_rank_of(F.col(f"before{k}"), F.sum(f"k{k}").over(inside), F.sum(f"k{k}").over(ties)).alias(f"rank{k}") for k in counts],
@@ -199,7 +202,8 @@ def _ranked_rows(rows: DataFrame, few: list[str], many: list[str], sides: list[s
     if many:
         rows = materialise(rows.withColumn("_row", F.monotonically_increasing_id()), "numbered")
         # Dealt by row before the aggregation, as its partial form would widen every cell to a whole row.
-        cells = _cell_ranks(rows, many, sides).repartition("_row")
+        parts = max(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")), 1 + rows.count() * len(many) // CELLS)
+        cells = _cell_ranks(rows, many, sides, parts).repartition(parts, "_row")
         wide = [F.max(F.when(F.col("column") == c, F.col(f"rank{k}"))).alias(f"{c}_{k}") for c in many for k in counts]
         out = cells.groupBy("_row").agg(*wide)
         out = rows.select("_row", *few).join(out, "_row", "left") if few else out

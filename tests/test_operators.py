@@ -389,6 +389,20 @@ def test_spearman_with_nulls_matches_pandas(spark, monkeypatch, few_values):
     assert [p[:2] for p in pairs] == [("a", "e")] and pairs[0][2] == pytest.approx(1.0)  # perfect pairs are reported
 
 
+def test_spearman_cells_per_task_are_bounded(spark, monkeypatch):
+    """More cells get more tasks, whatever the number of shuffle partitions, and the same result."""
+    monkeypatch.setattr(stats, "FEW_VALUES", 0)
+    rng = random.Random(9)
+    df = spark.createDataFrame([(rng.random(), rng.gauss(0, 1), rng.random()) for _ in range(1500)], "a double, b double, c double")
+    want = sorted(map(tuple, stats.spearman_pairs(df, df.columns).collect()))
+    monkeypatch.setattr(stats, "CELLS", 200, raising=False)
+    found = stats.spearman_pairs(df, df.columns)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count(", 23), REPARTITION_BY_NUM") == 2
+    got = sorted(map(tuple, found.collect()))
+    assert [r[:2] for r in got] == [r[:2] for r in want] and [r[2] for r in got] == pytest.approx([r[2] for r in want], abs=1e-12)
+
+
 def test_spearman_ranks_many_columns_in_one_exchange(spark, monkeypatch):
     """The plan has two exchanges of cells (values, ranks back to rows) for any number of columns; a hot value stays in place."""
     monkeypatch.setattr(stats, "FEW_VALUES", 0)
