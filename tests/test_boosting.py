@@ -9,7 +9,7 @@ from pyspark.ml import PipelineModel
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
-from footlight.operators import boosting, fits, learn, search
+from footlight.operators import boosting, evaluate, fits, learn, search
 
 
 @pytest.fixture(scope="module")
@@ -194,3 +194,54 @@ def test_dealt_fits_without_training_rows(noisy):
     got = fits.fit_each(lone, [(1, {"rounds": 3, "rate": 0.1, "depth": 2}), (0, {"rounds": 3, "rate": 0.1, "depth": 2})], 32).collect()
     assert {(r["trees"], r["predicted_prob"]) for r in got if r["fit"] == 0} == {(0, 0.5)} and sum(r["fit"] == 0 for r in got) == 300
     assert [(r["label"], r["trees"] > 0) for r in got if r["fit"] == 1] == [(None, True)]
+
+
+def test_areas_are_those_of_the_scores(noisy):
+    """One row per fit, told by its task: trees and area as ``roc_auc`` finds them in the scores; none without a class."""
+    each = [(fold, {"rounds": 4, "rate": 0.3, "depth": 2 + fold, "alpha": 2.0}) for fold in range(3)]
+    scores = fits.fit_each(noisy, each, 32)
+    want = {r["fit"]: r["auc"] for r in evaluate.roc_auc(scores, "label", "predicted_prob", by=("fit",)).collect()}
+    trees = {r["fit"]: r["trees"] for r in scores.collect()}
+    assert {r["fit"]: (r["trees"], r["auc"]) for r in fits.area_each(noisy, each, 32).collect()} == {k: (trees[k], want[k]) for k in want}
+    lone = noisy.where("fold = 1 or label = 1")
+    assert [r["auc"] is None for r in fits.area_each(lone, each, 32).orderBy("fit").collect()] == [True, False, True]
+    assert fits.area([0.0, 1.0, 1.0, 0.0], [0.1, 0.1, 0.4, 0.2]) == 0.625
+
+
+@pytest.mark.parametrize("min_rows", [1, 7])
+def test_nodes_that_the_penalty_outweighs_are_not_split(min_rows):
+    """No row gets another weight than from the whole tree, which has more leaves."""
+    r = np.random.default_rng(5)
+    codes = r.integers(0, 16, (4, 900))
+    codes[3] %= 5
+    g, h = r.normal(0, 0.4, 700), r.uniform(0.01, 0.25, 700)
+    g[codes[0, :700] > 11] += 0.3
+
+    def weights(alpha, pruned):
+        leaf = fits.grow(codes, g, h, 16, {3: 5}, 9, 0.0, min_rows, alpha if pruned else 0.0, fits.Room())
+        total = np.bincount(leaf[:700], g)
+        own = np.copysign(np.maximum(np.abs(total) - alpha, 0), total) / (np.bincount(leaf[:700], h) + 1)
+        return own[leaf], len(total)
+
+    for alpha in (1.0, 4.0, 9.0):
+        (some, few), (whole, many) = weights(alpha, True), weights(alpha, False)
+        assert np.array_equal(np.abs(some), np.abs(whole)) and few <= many
+    assert few < many and np.any(weights(4.0, True)[0])
+
+
+def test_the_first_trials_of_a_search_are_one_batch(spark, noisy):
+    """They look at no others: as many jobs as one batch, one fit to a task, and the trials that smaller batches find."""
+    bounds = {"max_depth": (2, 3), "learning_rate": (0.1, 0.3), "n_estimators": (2, 4)}
+
+    def searched(batch, n):
+        group = f"first-{batch}-{n}"
+        spark.sparkContext.setJobGroup(group, group)
+        found = learn.model_search(noisy, n, bounds, batch=batch)
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        return found.collect(), len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+
+    (small, a), (large, b), (one, c) = searched(2, search.STARTUP), searched(search.STARTUP, search.STARTUP), searched(1, 1)
+    assert small == large and a == b == c and one == large[:1]
+    dealt = fits._dealt(noisy, [(0, {})] * 12).applyInArrow(lambda t: t.select(["fit"]).slice(0, 1), "fit int")
+    places = [r[0] for r in dealt.select(F.spark_partition_id()).collect()]
+    assert len(set(places)) == len(places) == 12
