@@ -245,3 +245,63 @@ def test_the_first_trials_of_a_search_are_one_batch(spark, noisy):
     dealt = fits._dealt(noisy, [(0, {})] * 12).applyInArrow(lambda t: t.select(["fit"]).slice(0, 1), "fit int")
     places = [r[0] for r in dealt.select(F.spark_partition_id()).collect()]
     assert len(set(places)) == len(places) == 12
+
+
+def plain_weights(codes, g, h, depth, min_rows, kinds):
+    """Sum of gradients over that of curvature in the leaf of each row; every split tried by itself on all rows of its node."""
+    out, nodes = np.zeros(codes.shape[1]), [(np.arange(codes.shape[1]), depth)]
+    while nodes:
+        rows, left = nodes.pop()
+        own = rows[rows < len(g)]
+        total, best = g[own].sum() ** 2 / h[own].sum(), (0.0, None)
+        for f in range(len(codes) if left else 0):
+            there = sorted(set(codes[f, own]))
+            if f in kinds:
+                there.sort(key=lambda c: -g[own][codes[f, own] == c].sum() / h[own][codes[f, own] == c].sum())
+            for k in range(1, len(there)):
+                side = np.isin(codes[f, own], there[:k])
+                if min(side.sum(), (~side).sum()) >= min_rows:
+                    gain = sum(g[own][s].sum() ** 2 / h[own][s].sum() for s in (side, ~side)) - total
+                    best = max(best, (gain, (f, there[:k])), key=lambda b: b[0])
+        if best[1] is None or best[0] < 1e-9 * h[own].sum():
+            out[rows] = g[own].sum() / h[own].sum()
+            continue
+        side = np.isin(codes[best[1][0], rows], best[1][1])
+        nodes += [(rows[side], left - 1), (rows[~side], left - 1)]
+    return out
+
+
+@pytest.mark.parametrize("min_rows, few", [(1, 1 << 12), (9, 1 << 12), (1, 16)])
+def test_features_summed_in_groups_give_the_same_tree(monkeypatch, min_rows, few):
+    """As every split tried by itself; in any order of the rows; with a pass of half the rows per feature and level at most."""
+    monkeypatch.setattr(fits, "FEW", few)
+    r = np.random.default_rng(3)
+    codes = r.integers(0, 16, (5, 20000)).astype(np.uint8)
+    codes[3], codes[4] = r.integers(0, 6, 20000), np.minimum(codes[4], 1)
+    g, h = r.normal(0, 0.4, 20000), r.uniform(0.01, 0.25, 20000)
+    g += np.where((codes[0] > 11) == np.isin(codes[3], (1, 4)), 0.2, -0.1)
+    passed, real = [], np.bincount
+    monkeypatch.setattr(np, "bincount", lambda x, *args, **kw: (passed.append(len(x)), real(x, *args, **kw))[1])
+    leaf = fits.grow(codes, g, h, 16, {3: 6}, 6, 0.0, min_rows, 0.0, fits.Room()).copy()
+    assert sum(passed) < 0.5 * 6 * 5 * (2 + (min_rows > 1)) * 20000
+    monkeypatch.setattr(np, "bincount", real)
+    want = plain_weights(codes, g, h, 6, min_rows, {3})
+    assert (real(leaf, g) / real(leaf, h))[leaf] == pytest.approx(want, rel=1e-9)
+    turn = r.permutation(20000)
+    other = fits.grow(codes[:, turn], g[turn], h[turn], 16, {3: 6}, 6, 0.0, min_rows, 0.0, fits.Room())
+    assert len(set(zip(leaf[turn], other))) == len(set(leaf)) == len(set(other))
+
+
+def test_sums_on_the_grid_do_not_depend_on_the_order():
+    r = np.random.default_rng(4)
+    for values in (r.normal(0, 1, 5000), r.uniform(0, 1e-6, 3000), np.array([0.75, -1e-9]), np.zeros(3)):
+        on = fits.exact(values, np.empty(len(values)))
+        assert np.max(np.abs(on - values)) <= 2.0**-52 * max(np.sum(np.abs(values)), 1e-300)
+        assert np.cumsum(on)[-1] == math.fsum(on) == np.cumsum(on[::-1])[-1]
+
+
+def test_groups_of_features_keep_to_their_cells():
+    got = fits.grouped([32, 32, 5, 32, 21], 1024)
+    assert sorted(f for group in got for f in group) == [0, 1, 2, 3, 4] and len(got) == 3
+    assert all(math.prod([32, 32, 5, 32, 21][f] for f in group) <= 1024 for group in got)
+    assert fits.grouped([9, 4], 0) == [(0,), (1,)]
