@@ -29,7 +29,9 @@ from footlight.session import materialise
 PATIENCE = 20
 CUT = 10
 # Rows per partition of a training table, by their number of feature values.
-VALUES = 4 << 20
+PART = 4 << 20
+# Feature values of a training table that one task holds, if many fits are dealt to tasks (see ``fits``): 100 MB, and about 250 bytes a row beside.
+VALUES = 12 << 20
 # Curvature below this would make a row's target as large as its inverse.
 LEAST_H = 1e-6
 # A smaller gain is rounding: the rows of the node agree in their target.
@@ -103,7 +105,7 @@ def _best(losses: list[float]) -> int:
 def _sized(df: DataFrame) -> DataFrame:
     """Fewer partitions where a training table is small for those it has."""
     row = df.agg(F.count(F.lit(1)), F.max(F.size(F.col("_values")))).first()
-    return df.drop("_values").coalesce(1 + (row[0] or 0) * (row[1] or 0) // VALUES)
+    return df.drop("_values").coalesce(1 + (row[0] or 0) * (row[1] or 0) // PART)
 
 
 def fit(

@@ -305,3 +305,14 @@ def test_groups_of_features_keep_to_their_cells():
     assert sorted(f for group in got for f in group) == [0, 1, 2, 3, 4] and len(got) == 3
     assert all(math.prod([32, 32, 5, 32, 21][f] for f in group) <= 1024 for group in got)
     assert fits.grouped([9, 4], 0) == [(0,), (1,)]
+
+
+def test_tables_of_a_million_rows_are_dealt(spark, noisy):
+    """1.3 million rows of 7 features are; 3 million are not.  Rows cross the network in batches of bytes."""
+
+    def wide(n):
+        return spark.range(n).select(array_to_vector(F.array(*[F.col("id").cast("double")] * 7)).alias("features"))
+
+    assert fits.bounded(wide(1_300_000)) and not fits.bounded(wide(3_000_000))
+    sent = fits._dealt(noisy, [(0, {})] * 3).applyInArrow(lambda t: t.select(["fit"]), "fit int").count()
+    assert sent <= 3 * noisy.rdd.getNumPartitions()
